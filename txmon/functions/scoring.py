@@ -59,4 +59,5 @@ def composite(severity, cust, geo, beh) -> Column:
     """round(clamp(100 * weighted sum, 0, 100), 2)."""
     raw = (_d(W_RULE) * _c(severity).cast(D) + _d(W_CUST) * _c(cust) + _d(W_GEO) * _c(geo)
            + _d(W_BEH) * _c(beh)) * F.lit(100)
-    return F.round(F.least(F.lit(100).cast(D), F.greatest(F.lit(0).cast(D), raw)), 2).cast("decimal(5,2)")
+    return F.round(F.least(F.lit(100).cast("decimal(8,4)"), F.greatest(F.lit(0).cast("decimal(8,4)"), raw)),
+                   2).cast("decimal(5,2)")

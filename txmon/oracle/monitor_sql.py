@@ -168,16 +168,16 @@ rules_m AS (
   SELECT * FROM (VALUES
     {_rules_values()}
   ) r(id, name, description, category, sql_condition, severity, is_active)),
-fired AS ({' UNION ALL '.join(_rule_branch(r) for r in rule_rows())}),
-scored AS (
+fired_m AS ({' UNION ALL '.join(_rule_branch(r) for r in rule_rows())}),
+scored_m AS (
   SELECT f.*,
          {_map('risk_rating', CUSTOMER_RISK_NORM, '0.2')} AS customer_risk_score,
          {_map('country_risk_score', GEO_RISK_NORM, '0.1')} AS geographic_risk_score,
          CAST({beh} AS DECIMAL(6,4)) AS behavioral_score
-  FROM fired f),
+  FROM fired_m f),
 alerts_m AS (
   SELECT transaction_id * 100 + rule_id AS alert_id, transaction_id, rule_id,
-         CAST(round(LEAST(CAST(100 AS DECIMAL(6,4)), GREATEST(CAST(0 AS DECIMAL(6,4)),
+         CAST(round(LEAST(CAST(100 AS DECIMAL(8,4)), GREATEST(CAST(0 AS DECIMAL(8,4)),
               (0.30 * rule_score + 0.25 * customer_risk_score + 0.25 * geographic_risk_score
                + 0.20 * behavioral_score) * 100)), 2) AS DOUBLE) AS score,
          'open' AS status,
@@ -185,7 +185,7 @@ alerts_m AS (
          CAST(customer_risk_score AS DOUBLE) AS customer_risk_score,
          CAST(geographic_risk_score AS DOUBLE) AS geographic_risk_score,
          CAST(behavioral_score AS DOUBLE) AS behavioral_score
-  FROM scored),
+  FROM scored_m),
 wide_m AS (
   SELECT t.*, te.* EXCLUDE (transaction_id), a.customer_id
   FROM transactions_m t JOIN te ON te.transaction_id = t.id JOIN accounts_m a ON a.id = t.account_id)"""

@@ -171,3 +171,24 @@ def load_monitor_sources(spark: SparkSession, sf_dir: str) -> MonitorSources:
         accounts=build_accounts(events, customer),
         transactions=build_transactions(events, orders),
     )
+
+
+# The eight ground-truth pattern keys of the data_loaded metadata.
+FRAUD_PATTERNS = ["structuring", "rapid_velocity", "round_trip", "geo_risk", "layering",
+                  "dormant_activation", "unusual_amounts", "cross_acct_smurf"]
+
+
+def build_fraud_customers(customers: DataFrame) -> DataFrame:
+    """Ground truth (pattern, customer_id): customers with id % 20 = 0, spread over the 8 patterns."""
+    cid = F.col("id")
+    pats = F.array(*[F.lit(p) for p in FRAUD_PATTERNS])
+    return customers.filter(cid % 20 == 0).select(
+        F.element_at(pats, ((cid / 20).cast("bigint") % len(FRAUD_PATTERNS) + 1).cast("int")).alias("pattern"),
+        cid.alias("customer_id"))
+
+
+def build_audit_log(spark: SparkSession, events: list[tuple]) -> DataFrame:
+    """Audit rows (event_type, entity_type, entity_id, description, metadata JSON, created_at)."""
+    schema = ("event_type string, entity_type string, entity_id bigint, description string, "
+              "metadata string, created_at timestamp_ntz")
+    return spark.createDataFrame(events, schema)
