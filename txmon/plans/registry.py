@@ -72,3 +72,11 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     from txmon.oracle.monitor_queries_sql import Q
     return dict(Q)
+
+
+# Queries timed by bench.py (monitor model, over materialized tables).
+BENCH_QUERIES: dict[str, Callable[[Monitor], DataFrame]] = {
+    "rule_summary": rule_summary_q,
+    "rule_performance": MQ.rule_performance_table,
+    **MQ.ALL,
+}
