@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from txmon.operators.rules import rule_summary
 from txmon.plans import monitor_queries as MQ
+from txmon.plans import showcase as KQ
 from txmon.plans.model import Monitor, load_monitor
+from txmon.sources.report import Report, load_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +24,14 @@ def _m(fn: Callable[[Monitor], DataFrame]) -> Query:
     return run
 
 
+def _r(fn: Callable[[Report], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(load_report(spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def enrichment_totals(m: Monitor) -> DataFrame:
     w = m.wide
     return w.agg(
@@ -64,14 +74,19 @@ MONITOR: dict[str, Callable[[Monitor], DataFrame]] = {
 }
 
 
+REPORT: dict[str, Callable[[Report], DataFrame]] = {**KQ.ALL}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _m(fn) for name, fn in MONITOR.items()}
+    out.update({name: _r(fn) for name, fn in REPORT.items()})
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     from txmon.oracle.monitor_queries_sql import Q
-    return dict(Q)
+    from txmon.oracle.report_sql import K
+    return {**Q, **K}
 
 
 # Queries timed by bench.py (monitor model, over materialized tables).
