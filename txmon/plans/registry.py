@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txmon.operators.rules import rule_summary
 from txmon.plans import monitor_queries as MQ
+from txmon.plans import readmodels as HQ
 from txmon.plans import showcase as KQ
 from txmon.plans.model import Monitor, load_monitor
 from txmon.sources.report import Report, load_report
@@ -71,6 +72,7 @@ MONITOR: dict[str, Callable[[Monitor], DataFrame]] = {
     "rule_summary": rule_summary_q,
     "rule_performance": MQ.rule_performance_table,
     **MQ.ALL,
+    **HQ.ALL,
 }
 
 
@@ -85,8 +87,9 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     from txmon.oracle.monitor_queries_sql import Q
+    from txmon.oracle.readmodel_sql import H
     from txmon.oracle.report_sql import K
-    return {**Q, **K}
+    return {**Q, **K, **H}
 
 
 # Queries timed by bench.py (monitor model, over materialized tables).
