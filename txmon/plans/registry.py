@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txmon.operators.rules import rule_summary
 from txmon.plans import monitor_queries as MQ
+from txmon.plans import detectors as ZQ
 from txmon.plans import readmodels as HQ
 from txmon.plans import showcase as KQ
 from txmon.plans.model import Monitor, load_monitor
@@ -73,10 +74,13 @@ MONITOR: dict[str, Callable[[Monitor], DataFrame]] = {
     "rule_performance": MQ.rule_performance_table,
     **MQ.ALL,
     **HQ.ALL,
+    "n2_rolling_cash_deposits": ZQ.n2_rolling_cash_deposits,
+    "n3_tuned_dormant": ZQ.n3_tuned_dormant,
+    "n4_score_decay": ZQ.n4_score_decay,
 }
 
 
-REPORT: dict[str, Callable[[Report], DataFrame]] = {**KQ.ALL}
+REPORT: dict[str, Callable[[Report], DataFrame]] = {**KQ.ALL, "z_detection_counts": ZQ.detection_counts}
 
 
 def queries() -> dict[str, Query]:
@@ -87,9 +91,10 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     from txmon.oracle.monitor_queries_sql import Q
+    from txmon.oracle.detector_sql import D
     from txmon.oracle.readmodel_sql import H
     from txmon.oracle.report_sql import K
-    return {**Q, **K, **H}
+    return {**Q, **K, **H, **D}
 
 
 # Queries timed by bench.py (monitor model, over materialized tables).
