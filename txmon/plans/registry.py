@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txmon.operators.rules import rule_summary
 from txmon.plans import monitor_queries as MQ
+from txmon.operators import quality as DQ
 from txmon.plans import detectors as ZQ
 from txmon.plans import readmodels as HQ
 from txmon.plans import showcase as KQ
@@ -80,7 +81,15 @@ MONITOR: dict[str, Callable[[Monitor], DataFrame]] = {
 }
 
 
-REPORT: dict[str, Callable[[Report], DataFrame]] = {**KQ.ALL, "z_detection_counts": ZQ.detection_counts}
+REPORT: dict[str, Callable[[Report], DataFrame]] = {
+    **KQ.ALL,
+    "z_detection_counts": ZQ.detection_counts,
+    "dq_completeness": DQ.completeness,
+    "dq_completeness_score": DQ.completeness_score,
+    "dq_consistency": DQ.consistency,
+    "dq_consistency_score": DQ.consistency_score,
+    "dq_missing_months": DQ.missing_months,
+}
 
 
 def queries() -> dict[str, Query]:
@@ -92,9 +101,10 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     from txmon.oracle.monitor_queries_sql import Q
     from txmon.oracle.detector_sql import D
+    from txmon.oracle.quality_sql import DQ as DQS
     from txmon.oracle.readmodel_sql import H
     from txmon.oracle.report_sql import K
-    return {**Q, **K, **H, **D}
+    return {**Q, **K, **H, **D, **DQS}
 
 
 # Queries timed by bench.py (monitor model, over materialized tables).
