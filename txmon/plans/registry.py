@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from txmon.operators.rules import rule_summary
 from txmon.plans import monitor_queries as MQ
 from txmon.operators import quality as DQ
+from txmon.operators.graph import shared_counterparty_components
 from txmon.plans import detectors as ZQ
 from txmon.plans import readmodels as HQ
 from txmon.plans import showcase as KQ
@@ -78,6 +79,7 @@ MONITOR: dict[str, Callable[[Monitor], DataFrame]] = {
     "n2_rolling_cash_deposits": ZQ.n2_rolling_cash_deposits,
     "n3_tuned_dormant": ZQ.n3_tuned_dormant,
     "n4_score_decay": ZQ.n4_score_decay,
+    "n5_counterparty_components": lambda m: shared_counterparty_components(m.wide),
 }
 
 
