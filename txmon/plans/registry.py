@@ -13,6 +13,7 @@ from txmon.operators import quality as DQ
 from txmon.operators.graph import shared_counterparty_components
 from txmon.plans import detectors as ZQ
 from txmon.plans import readmodels as HQ
+from txmon.plans import reports as RQ
 from txmon.plans import showcase as KQ
 from txmon.plans.model import Monitor, load_monitor
 from txmon.sources.report import Report, load_report
@@ -91,6 +92,7 @@ REPORT: dict[str, Callable[[Report], DataFrame]] = {
     "dq_consistency": DQ.consistency,
     "dq_consistency_score": DQ.consistency_score,
     "dq_missing_months": DQ.missing_months,
+    **RQ.ALL,
 }
 
 
@@ -106,7 +108,8 @@ def oracle_sql() -> dict[str, str]:
     from txmon.oracle.quality_sql import DQ as DQS
     from txmon.oracle.readmodel_sql import H
     from txmon.oracle.report_sql import K
-    return {**Q, **K, **H, **D, **DQS}
+    from txmon.oracle.reports_sql import RP
+    return {**Q, **K, **H, **D, **DQS, **RP}
 
 
 # Queries timed by bench.py (monitor model, over materialized tables).
