@@ -20,14 +20,24 @@ def _c(col: Column | str) -> Column:
 
 
 def micros(ts: Column | str) -> Column:
-    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (or DATE) value."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(ts).cast("timestamp_ntz"))
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (or DATE) value.
+
+    Built from the wall-clock fields (day number, hour, minute, seconds with
+    fraction), which never consult the session time zone; ``timestampdiff``
+    would cast through it and shift across daylight-saving changes.
+    """
+    t = _c(ts).cast("timestamp_ntz")
+    day = F.unix_date(t.cast("date")).cast("bigint")
+    sec_us = (F.date_part(F.lit("SECOND"), t) * US_PER_SECOND).cast("bigint")
+    return (day * US_PER_DAY + F.hour(t).cast("bigint") * US_PER_HOUR
+            + F.minute(t).cast("bigint") * (60 * US_PER_SECOND) + sec_us)
 
 
 def trunc_seconds(ts: Column | str) -> Column:
     """Drop the sub-second part, keeping TIMESTAMP_NTZ."""
     t = _c(ts).cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", -(micros(t) % US_PER_SECOND), t)
+    frac = (F.date_part(F.lit("SECOND"), t) * US_PER_SECOND).cast("bigint") % US_PER_SECOND
+    return F.timestamp_add("MICROSECOND", -frac, t)
 
 
 def to_ntz(col: Column | str) -> Column:
