@@ -101,3 +101,15 @@ def test_plan_pushdown_and_broadcast(spark):
     scan = m.transactions.filter(F.col("amount") > 0).select("id")
     txt = scan._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema" in txt or "FileScan" in txt
+
+
+def test_bucketed_previous_equals_lag(spark):
+    import random
+    from txmon.operators.windows import with_previous
+    random.seed(3)
+    rows = [(i, random.choice([1, 2, 3]), random.randrange(0, 10_000)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id bigint, k bigint, us bigint")
+    got = {r["id"]: r["prev_us"] for r in with_previous(df, "k", "us", "id", ["us"], bucket_us=97).collect()}
+    want = {r["id"]: r["p"] for r in df.withColumn(
+        "p", F.lag("us").over(Window.partitionBy("k").orderBy("us", "id"))).collect()}
+    assert got == want

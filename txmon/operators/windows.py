@@ -64,3 +64,23 @@ def trailing_aggregates(
         else:
             raise ValueError(f"unsupported trailing aggregate {fn}")
     return (exploded.select("*", *outs).filter(own).drop("_b", "_own_b"))
+
+
+def with_previous(df: DataFrame, key: str, us: str, tie: str, cols: list[str], out_prefix: str = "prev_",
+                  bucket_us: int = 30 * 86_400_000_000) -> DataFrame:
+    """``LAG`` of ``cols`` per ``key`` in ``(us, tie)`` order, without one task per key.
+
+    Inside each ``(key, time bucket)`` a window gives the previous row; the first
+    row of a bucket takes the last row of the previous non-empty bucket, found on
+    the small per-bucket table (one row per key and bucket).
+    """
+    b = F.floor(F.col(us) / F.lit(bucket_us)).cast("bigint")
+    rec = F.struct(F.col(us).alias("_u"), F.col(tie).alias("_t"), *[F.col(c).alias(c) for c in cols])
+    d = df.withColumn("_b", b).withColumn("_rec", rec)
+    inner = Window.partitionBy(key, "_b").orderBy(us, tie)
+    d = d.withColumn("_prev_in", F.lag("_rec").over(inner))
+    last = d.groupBy(key, "_b").agg(F.max("_rec").alias("_last"))
+    last = last.withColumn("_prev_b", F.lag("_last").over(Window.partitionBy(key).orderBy("_b"))).drop("_last")
+    d = d.join(last, [key, "_b"], "left")
+    prev = F.coalesce(F.col("_prev_in"), F.col("_prev_b"))
+    return d.select(*df.columns, *[prev[c].alias(out_prefix + c) for c in cols])

@@ -73,10 +73,10 @@ def z05_round_amount(t, r):
 
 def z06_dormant(t, r, days=180):
     """Gap to the previous transaction on the account above ``days`` (previous row via a time-bucket-free lag)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("account_id").orderBy("us", "transaction_id")
-    g = t.select("account_id", "transaction_id", "us").withColumn("_prev", F.lag("us").over(w))
-    return _hits(g.filter((F.col("us") - F.col("_prev")) > days * US_PER_DAY), 6)
+    from txmon.operators.windows import with_previous
+    g = with_previous(t.select("account_id", "transaction_id", "us"), "account_id", "us", "transaction_id",
+                      ["us"], out_prefix="_p_")
+    return _hits(g.filter((F.col("us") - F.col("_p_us")) > days * US_PER_DAY), 6)
 
 
 def z07_small_deposits(t, r, under=3000, days=3, min_count=5):
@@ -182,10 +182,9 @@ def n2_rolling_cash_deposits(m: Monitor, days: int = 7, threshold: float = 25000
 
 def n3_tuned_dormant(m: Monitor, idle_days: int = 14, min_age_days: int = 90) -> DataFrame:
     """Dormant rule, tuned: idle at least ``idle_days`` and account at least ``min_age_days`` old."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("account_id").orderBy("us", "id")
-    g = m.wide.select("id", "account_id", "us", "timestamp", "account_age_days", "amount_usd").withColumn(
-        "_prev", F.lag("us").over(w))
+    from txmon.operators.windows import with_previous
+    g = with_previous(m.wide.select("id", "account_id", "us", "timestamp", "account_age_days", "amount_usd"),
+                      "account_id", "us", "id", ["us"], out_prefix="_p_").withColumnRenamed("_p_us", "_prev")
     gap = (F.col("us") - F.col("_prev")) / float(US_PER_DAY)
     return g.filter((gap >= idle_days) & (F.col("account_age_days") >= min_age_days)).select(
         F.col("id").alias("transaction_id"), "account_id", "timestamp", rnd(gap, 1).alias("idle_days"),

@@ -183,9 +183,10 @@ def q09_round_trip_detection(m: Monitor, max_hours: int = 48) -> DataFrame:
 
 
 def with_prev_timestamp(wide: DataFrame) -> DataFrame:
-    """LAG(timestamp) per account in (timestamp, id) order."""
-    w = Window.partitionBy("account_id").orderBy("us", "id")
-    return wide.withColumn("prev_ts", F.lag("timestamp").over(w))
+    """LAG(timestamp) per account in (timestamp, id) order (time-bucketed, skew-safe)."""
+    from txmon.operators.windows import with_previous
+    return with_previous(wide, "account_id", "us", "id", ["timestamp"]).withColumnRenamed(
+        "prev_timestamp", "prev_ts")
 
 
 def q10_dormant_activation(m: Monitor, min_gap_days: int = 180) -> DataFrame:

@@ -175,9 +175,12 @@ def k11_large_weekday_hour(r: Report, min_amount: float = 10000) -> DataFrame:
 
 
 def k12_dormant_gaps(r: Report, min_days: float = 180) -> DataFrame:
-    w = Window.partitionBy("account_id").orderBy("transaction_date", "transaction_id")
+    from txmon.functions.timefn import micros
+    from txmon.operators.windows import with_previous
     g = r.transactions.select("account_id", "transaction_id", "transaction_date", "amount").withColumn(
-        "prev_txn_date", F.lag("transaction_date").over(w))
+        "_us", micros("transaction_date"))
+    g = with_previous(g, "account_id", "_us", "transaction_id", ["transaction_date"]).withColumnRenamed(
+        "prev_transaction_date", "prev_txn_date")
     gap = julian_days("transaction_date", "prev_txn_date")
     g = g.filter(F.col("prev_txn_date").isNotNull() & (gap >= min_days))  # unrounded test
     return (g.select("account_id", "prev_txn_date", F.col("transaction_date").alias("current_txn_date"),
