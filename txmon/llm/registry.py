@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from txmon.llm import chat_format, exact_dedup, url_filter
+from txmon.llm import (ann, chat_format, exact_dedup, html_extract, language_id, mixing, near_dedup, packing,
+                       toxicity, url_filter)
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
     "op2_chat_format": chat_format.op2_chat_format,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op4_near_dedup": near_dedup.op4_near_dedup,
+    "op5_ann": ann.op5_ann,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_packing": packing.op7_packing,
     "op8_url_filter": url_filter.op8_url_filter,
+    "op9_language_id": language_id.op9_language_id,
+    "op10_html_extract": html_extract.op10_html_extract,
 }
 ORACLES = {
     "op2_chat_format": chat_format.ORACLE,
