@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from txmon.llm.common import read, staged
 
-TABLES, HASHES, WIDTH, PROBES, SEED = 4, 5, 1.5, 80, 7
+TABLES, HASHES, WIDTH, PROBES, SEED = 5, 5, 1.5, 80, 7
 INDEX_BLOCK, QUERY_BLOCK = 4096, 1024
 
 

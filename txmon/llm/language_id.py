@@ -175,6 +175,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no recognisable language go: texts without a letter, and those between languages."""
+    """Documents the method rejects go: those in no language (null, empty and letterless texts).  A text
+    between two languages is flagged by the operator but is not rejected."""
     out = identify(docs.select(*DOC_COLUMNS), DOC_COLUMNS)
-    return out.where("lang_pred <> 'und' AND NOT ambiguous").select(*DOC_COLUMNS)
+    return out.where("lang_pred <> 'und'").select(*DOC_COLUMNS)

@@ -112,7 +112,7 @@ def select(rows: DataFrame, quota: dict[str, int], sizes: dict[str, int], seed:
 
     A pattern's quota is some whole passes over its documents and a rest.  For the rest documents
     are taken in the seeded order while they fit; documents that still fit into what is left are
-    taken in further rounds.
+    taken in further rounds, and at last one document more if that comes nearer to the quota.
     """
     spark = rows.sparkSession
     base = {p: quota[p] // sizes[p] if sizes[p] else 0 for p in quota}
@@ -152,8 +152,17 @@ def select(rows: DataFrame, quota: dict[str, int], sizes: dict[str, int], seed:
             own = before
             break
         left = now
+    left = {p: v for p, v in left.items() if v > 0}
+    if left:  # one document more where that comes nearer than stopping short
+        near = own.where("extra = 0 AND size > 0").join(F.broadcast(table(left, "room")), "pattern").where("size < 2 * room")
+        best = near.groupBy("pattern").agg(F.min(F.struct(F.abs(F.col("size") - F.col("room")), "h", "doc_id", "size")).alias("b"))
+        one = best.select("pattern", F.col("b.h").alias("bh"), F.col("b.doc_id").alias("bid"), F.col("b.size").alias("bs"))
+        hit = F.coalesce((F.col("h") == F.col("bh")) & F.col("doc_id").eqNullSafe(F.col("bid"))
+                         & (F.col("size") == F.col("bs")) & (F.col("extra") == 0), F.lit(False))
+        # a row for each pattern at most
+        own = own.join(F.broadcast(one), "pattern", "left").withColumn("extra", F.when(hit, 1).otherwise(F.col("extra")))
     return own.withColumn("taken", F.col("size") * (F.col("passes") + F.col("extra"))).drop(
-        "passes", "extra", "h", "slice")
+        "passes", "extra", "h", "slice", "bh", "bid", "bs")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, repeats: int = REPEATS,
@@ -162,8 +171,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     added; and the sources: source, source_size, target.
 
     Rows of equal id and size share their place in the seeded order and stand for themselves; a
-    document of size 0 is never taken; repeated sources of a document count once.  A source's taken
-    words miss its target by less than its smallest document left over, whole documents only.
+    document of size 0 is never taken; repeated sources of a document count once.  Whole documents
+    only, so a source's taken words miss its target by a part of one of its documents.
     """
     rows = docs.withColumn("sources", F.array_sort(F.array_distinct("sources"))).withColumn(
         "pattern", F.to_json(F.struct("sources"), {"ignoreNullFields": "false"}))

@@ -23,6 +23,8 @@ from txmon.llm.common import held_out, read
 
 SAMPLE = 6000
 FEATURES = 1500
+#: A word is a feature if its share of toxic rows differs from its share of others by so many standard errors.
+SIGNIFICANT = 4.0
 THRESHOLD = 0.3
 #: Groups of identity terms; a term is swapped within its group.
 IDENTITY = [
@@ -101,9 +103,10 @@ def fit(labelled: DataFrame) -> Toxicity:
     n = {r["toxic"]: r["count"] for r in totals}
     if not n.get(0) or not n.get(1):
         return Toxicity({}, float(np.log(0.1 / 0.9)))
-    gain = F.abs(F.col("pos") / n[1] - F.col("neg") / n[0]) / F.sqrt(
-        (F.col("pos") + F.col("neg") + 10) / (n[0] + n[1]))
-    top = counted.where("pos + neg >= 3").orderBy(gain.desc(), "word").limit(FEATURES).select("word").collect()
+    share = (F.col("pos") + F.col("neg") + 1) / (n[0] + n[1] + 2)
+    gain = F.abs(F.col("pos") / n[1] - F.col("neg") / n[0]) / F.sqrt(share * (1 - share) * (1 / n[1] + 1 / n[0]))
+    top = (counted.withColumn("gain", F.round(gain, 9)).where((F.col("pos") + F.col("neg") >= 3) & (F.col("gain") >= SIGNIFICANT))
+           .orderBy(F.desc("gain"), "word").limit(FEATURES).select("word").collect())
     vocabulary = sorted({r["word"] for r in top} | SWAP.keys())
     place = {w: i for i, w in enumerate(vocabulary)}
 
