@@ -10,8 +10,9 @@ Links are found in two rounds, both confirmed on full shingle sets:
 1. each node proposes the strongest spanning links among its classes (by signature agreement), nodes
    that stay too large at full depth are read as chunks of neighbours in the sorted order; the
    confirmed ones are joined into components;
-2. each node proposes every pair that may be similar enough and whose classes are still in different
-   components; a node too large at full depth is compared block by block, so nothing is dropped.
+2. each node tests every pair that may be similar enough and whose classes are still in different
+   components, and returns the links that join components; a node too large at full depth is compared
+   block by block, so nothing is dropped.
 
 A dense group of g near copies so costs about g links instead of g squared, while a pair in two
 components is always put to the test.  A pair with similarity 0.85 shares no node of depth 3 in any of
@@ -35,7 +36,7 @@ SHINGLE = 5
 PERCENT = 85
 TREES, DEPTH, FIRST_DEPTH = 16, 8, 3
 NODE = 256
-BLOCK = 1024
+BLOCK = 512
 #: Of 128 minhashes, pairs agreeing on less than this share are not tested: 4.7 standard deviations
 #: below the threshold.
 MAY_LINK = 0.70
@@ -226,46 +227,77 @@ def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = rows.iloc[-32:]
 
 
-def _crossing(ids: np.ndarray, sig: np.ndarray, comp: np.ndarray, one: np.ndarray, two: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of different components, between rows ``one`` and ``two``, that may be similar enough."""
-    out: set[tuple[int, int]] = set()
-    for at in range(0, len(one), 256):
-        rows = one[at:at + 256]
-        ok = (_agreement(sig[rows], sig[two]) >= MAY_LINK) & (comp[rows][:, None] != comp[two][None, :])
-        for i, j in zip(*np.nonzero(ok), strict=True):
-            a, b = int(ids[rows[i]]), int(ids[two[j]])
-            out.add((min(a, b), max(a, b)))
-    return sorted(out)
-
-
-def apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows, starts in _runs(batches, ["tree", "at"]):
-        comp = rows["component"].to_numpy()
-        first = np.repeat(comp[starts], np.diff(np.r_[starts, len(rows)]))
-        group = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(rows)]))
-        mixed = np.bincount(group, weights=comp != first) > 0  # groups of one component need no look
-        keep = mixed[group]
-        rows, group = rows.iloc[keep], group[keep]
-        if len(rows):
-            comp = comp[keep]
-            begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-            yield from _pairs_in(rows, begin, lambda ids, sig, s, e, c=comp: _crossing(
-                ids, sig, c[s:e], np.arange(e - s), np.arange(e - s)))
-
-
-def apart_blocks(group: pd.DataFrame) -> pd.DataFrame:
-    """One block of a large node's rows outside its largest component against one block of all its rows."""
-    group = group.sort_values(["asks", "cls"])
-    asks = group["asks"].to_numpy()
-    if asks.all() or not asks.any():
-        return _frame([])
-    return _frame(_crossing(group["cls"].to_numpy(), _signatures(group), group["component"].to_numpy(),
-                            np.flatnonzero(asks), np.flatnonzero(~asks)))
+def _may_cross(sig: np.ndarray, comp: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Rows ``one`` x rows ``two``: in different components, and may be similar enough."""
+    return (_agreement(sig[one], sig[two]) >= MAY_LINK) & (comp[one][:, None] != comp[two][None, :])
+
+
+def _sides(rows: pd.DataFrame, s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+    asks = rows["asks"].to_numpy()[s:e]
+    return np.flatnonzero(asks != 0), np.flatnonzero(asks != 1)
+
+
+def worth_testing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each group that have a pair to be tested; groups of one component cost nothing."""
+    for rows, starts in _runs(batches, ["g"]):
+        comp, ends = rows["component"].to_numpy(), np.r_[starts[1:], len(rows)]
+        low, high = np.minimum.reduceat(comp, starts), np.maximum.reduceat(comp, starts)
+        mixed = np.flatnonzero(low != high)
+        keep = np.zeros(len(rows), bool)
+        if len(mixed):
+            sig = _signatures(rows)
+            for k in mixed:
+                s, e = starts[k], ends[k]
+                one, two = _sides(rows, s, e)
+                for at in range(0, len(one), 256):
+                    part = one[at:at + 256]
+                    ok = _may_cross(sig[s:e], comp[s:e], part, two)
+                    keep[s + part[ok.any(axis=1)]] = True
+                    keep[s + two[ok.any(axis=0)]] = True
+        yield rows[keep]
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """Common values of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
+def tested(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
+    """Confirmed links that join different components, one for each two that a group joins.  All pairs
+    that may be similar enough are tested on their full sets until a link has joined their components."""
+    for rows, starts in _runs(batches, ["g"]):
+        ids, comp, sig = rows["cls"].to_numpy(), rows["component"].to_numpy(), _signatures(rows)
+        ends, out = np.r_[starts[1:], len(rows)], []
+        for s, e in zip(starts, ends, strict=True):
+            sets = [np.frombuffer(x, np.uint64) for x in rows["s"].iloc[s:e]]
+            c, root = comp[s:e], {}
+
+            def find(x: int, root=root) -> int:
+                while root.get(x, x) != x:
+                    x = root[x]
+                return x
+
+            one, two = _sides(rows, s, e)
+            for at in range(0, len(one), 256):
+                part = one[at:at + 256]
+                for i, j in zip(*np.nonzero(_may_cross(sig[s:e], c, part, two)), strict=True):
+                    i, j = int(part[i]), int(two[j])
+                    a, b = find(int(c[i])), find(int(c[j]))
+                    n, m = len(sets[i]), len(sets[j])
+                    if a == b or 100 * min(n, m) < percent * max(n, m):
+                        continue
+                    both = _shared(sets[i], sets[j])
+                    if 100 * both >= percent * (n + m - both):
+                        root[max(a, b)] = min(a, b)
+                        out.append((int(min(ids[s + i], ids[s + j])), int(max(ids[s + i], ids[s + j]))))
+        yield _frame(out)
 
 
 def large_nodes(big: DataFrame) -> DataFrame:
-    """Round 2 for nodes too large at full depth: every row outside the node's largest component meets
-    every row, in blocks; a node of one component costs nothing."""
+    """Nodes too large at full depth, in groups: every row outside the node's largest component meets
+    every row, block by block; a node of one component costs nothing."""
     key = ["tree", "at"]
     counts = big.groupBy(*key, "component").count()
     main = staged(counts.groupBy(*key).agg(F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("n"))
@@ -277,26 +309,48 @@ def large_nodes(big: DataFrame) -> DataFrame:
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     asking = rows.where("component <> main").withColumn("i", block(F.col("na"))).withColumn("j", every("nb"))
     all_ = rows.withColumn("j", block(F.col("nb"))).withColumn("i", every("na"))
-    cols = [*key, "i", "j", "cls", "component", "short"]
-    both = asking.select(*cols, F.lit(True).alias("asks")).unionByName(all_.select(*cols, F.lit(False).alias("asks")))
-    return both.groupBy(*key, "i", "j").applyInPandas(apart_blocks, "a bigint, b bigint")
+    cols = [F.xxhash64(*key, "i", "j").alias("g"), "cls", "component", "short"]
+    return asking.select(*cols, F.lit(1).alias("asks")).unionByName(all_.select(*cols, F.lit(0).alias("asks")))
+
+
+def joining_links(groups: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Round 2 over groups (g, cls, component, short, asks) of bounded size."""
+    by_group = lambda df: df.repartition("g").sortWithinPartitions("g", "cls", "asks")
+    worth = staged(by_group(groups).mapInPandas(worth_testing, groups.schema), "worth")
+    sets = full_sets(docs, worth.select(F.col("cls").alias("doc_id")).distinct(), k)
+    return by_group(worth.join(sets, F.col("cls") == F.col("doc_id"))).mapInPandas(
+        lambda batches: tested(batches, percent), "a bigint, b bigint")
+
+
+def full_sets(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """doc_id, s (sorted 64-bit shingle hashes) of the documents asked for."""
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "s": [shingle_set(t, k).tobytes() for t in batch["text"]]})
+
+    return staged(docs.select("doc_id", "text").join(staged(asked, "asked"), "doc_id", "left_semi").mapInPandas(
+        sets, "doc_id bigint, s binary").dropDuplicates(["doc_id"]), "sets")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of class representatives whose full sets are similar enough."""
     pairs = staged(pairs.distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = full_sets(docs, pairs.select(F.col("a").alias("doc_id")).unionByName(
+        pairs.select(F.col("b").alias("doc_id"))).distinct(), k)
+    joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), "a").join(
+        sets.select(F.col("doc_id").alias("b"), F.col("s").alias("y")), "b")
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "s": [shingle_set(t, k).view(np.int64) for t in batch["text"]]})
+            ok = []
+            for x, y in zip(batch["x"], batch["y"], strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = _shared(x, y)
+                ok.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield batch.loc[np.array(ok, bool), ["a", "b"]]
 
-    full = staged(docs.select("doc_id", "text").join(staged(asked, "asked"), "doc_id", "left_semi").mapInPandas(
-        sets, "doc_id bigint, s array<bigint>").dropDuplicates(["doc_id"]), "sets")
-    joined = pairs.join(full.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), "a").join(
-        full.select(F.col("doc_id").alias("b"), F.col("s").alias("y")), "b")
-    both = F.size(F.array_intersect("x", "y"))
-    return staged(joined.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"), "confirmed")
+    return staged(joined.mapInPandas(test, "a bigint, b bigint"), "confirmed")
 
 
 def near_dedup(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -327,10 +381,10 @@ def near_dedup(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Dat
     # round 2: what is still apart
     label = lambda df: df.join(found, F.col("cls") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "cls")).drop("node")
-    second = by_node(label(small)).mapInPandas(apart, pair)
+    groups = label(small).select(F.xxhash64("tree", "at").alias("g"), "cls", "component", "short", F.lit(-1).alias("asks"))
     if dense:
-        second = second.unionByName(large_nodes(label(big)))
-    more = confirmed(second, docs, k, percent)
+        groups = groups.unionByName(large_nodes(label(big)))
+    more = staged(joining_links(groups, docs, k, percent), "more")
     final = found if more.isEmpty() else staged(components(links.unionByName(more)), "components")
 
     named = staged(classes.select("set_key", "cls").join(final, F.col("cls") == F.col("node"), "left").select(
