@@ -23,10 +23,24 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows in one Arrow batch to Python.  Texts are long: Spark's default of 10,000 rows takes hundreds of
+#: MB in a worker, several times over where texts go both ways.
+BATCH_ROWS = 1000
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    modest_batches(spark)
     return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch to ``BATCH_ROWS`` rows; a lower setting of the caller's stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
@@ -34,6 +48,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     Every call takes a folder of its own, so no live frame is ever overwritten.
     """
     spark = df.sparkSession
+    modest_batches(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
