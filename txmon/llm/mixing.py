@@ -194,7 +194,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
     """doc_id, source, size, source_size, target, taken of every row."""
-    docs = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    # the texts are read once; everything after works on this narrow table
+    docs = staged(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
     mixed, sources = mix(docs.withColumn("sources", F.array("source")))
     sources = sources.withColumnRenamed("source", "of")
     # a row for each source, no more than the network holds
