@@ -50,6 +50,19 @@ def test_components_match_union_find(spark):
     assert got == {1: 1, 2: 1, 3: 1, 9: 9, 7: 7, 8: 7}
 
 
+def test_components_long_chain(spark):
+    from txmon.operators.graph import shared_counterparty_components
+    rows = [(i, f"C{i + d}") for i in range(1, 71) for d in (0, 1)]
+    wide = spark.createDataFrame(rows, "account_id bigint, counterparty_account string")
+    assert {r["component_id"] for r in shared_counterparty_components(wide).collect()} == {1}
+
+
+def test_padding_never_truncates(spark):
+    from txmon.sources.report import key
+    got = spark.sql("SELECT explode(array(7, 1234567, 1234568)) AS i").select(key("CUST", F.col("i"), 6)).collect()
+    assert [r[0] for r in got] == ["CUST000007", "CUST1234567", "CUST1234568"]
+
+
 def test_q20_closed_form_equals_pairs(spark):
     from txmon.plans.model import Monitor
     from txmon.plans.monitor_queries import q20_network_clusters

@@ -121,7 +121,7 @@ def valid_rules(joined: DataFrame, rules: list) -> tuple[list, list[tuple[str, s
         try:
             joined.filter(F.expr(f"({r['sql_condition'].strip()})")).schema  # forces analysis
             ok.append(r)
-        except (AnalysisException, Exception) as e:  # noqa: BLE001 - any parse/analysis error
+        except AnalysisException as e:  # parse errors included; anything else stops the run
             log.warning("rule %s skipped: %s", r["name"], str(e).splitlines()[0])
             skipped.append((r["name"], str(e).splitlines()[0]))
     return ok, skipped
@@ -152,7 +152,9 @@ def evaluate_rules(wide: DataFrame, accounts: DataFrame, customers: DataFrame, r
              "customer_risk_score", "geographic_risk_score", "behavioral_score")
     fired = fired.withColumn("composite_score", scoring.composite(
         "rule_score", "customer_risk_score", "geographic_risk_score", "behavioral_score"))
-    fired = fired.withColumn("alert_id", F.col("transaction_id") * 100 + F.col("rule_id"))
+    # room for every rule id of the catalogue, so that (transaction, rule) pairs never share an id
+    room = max([100, *(10 ** len(str(r["id"])) for r in active)])
+    fired = fired.withColumn("alert_id", F.col("transaction_id") * room + F.col("rule_id"))
     if existing_alerts is not None:  # T02: skip pairs already alerted
         fired = fired.join(existing_alerts.select("transaction_id", "rule_id"),
                            ["transaction_id", "rule_id"], "left_anti")

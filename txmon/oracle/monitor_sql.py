@@ -19,7 +19,7 @@ def DIV(num: str, den: str) -> str:
 
 
 def _cc(k: str) -> str:
-    return f"('N' || lpad(CAST({k} AS VARCHAR), 2, '0'))"
+    return f"('N' || lpad(CAST({k} AS VARCHAR), CAST(greatest(2, length(CAST({k} AS VARCHAR))) AS INTEGER), '0'))"
 
 
 def _fx(cur: str) -> str:
@@ -128,7 +128,7 @@ tx_raw AS (
 transactions_m AS (
   SELECT id, account_id, transaction_type, amount, currency, timestamp,
          CASE WHEN transaction_type IN ('wire_out','wire_in','transfer_out')
-              THEN 'CP-' || lpad(CAST(k AS VARCHAR), 3, '0') END AS counterparty_account,
+              THEN 'CP-' || lpad(CAST(k AS VARCHAR), CAST(greatest(3, length(CAST(k AS VARCHAR))) AS INTEGER), '0') END AS counterparty_account,
          CASE WHEN transaction_type IN ('wire_out','wire_in','transfer_out')
               THEN 'Party ' || CAST(k AS VARCHAR) END AS counterparty_name,
          CASE WHEN transaction_type IN ('wire_out','wire_in','transfer_out') THEN {_cc('k % 25')} END

@@ -35,7 +35,7 @@ SELECT (SELECT COUNT(*) FROM customers_m) AS customers, (SELECT COUNT(*) FROM ac
        {R(DIV('100.0 * (SELECT COUNT(DISTINCT transaction_id) FROM alerts_m)', '(SELECT COUNT(*) FROM wide_m)'), 2)}
          AS alert_rate_pct""")
 
-H["h02_transactions"] = sql("""
+H["h02_alerted_wires"] = sql("""
 , f AS (
   SELECT t.id, t.account_id, t.transaction_type, CAST(t.amount AS DOUBLE) AS amount, t.currency, t.timestamp,
          t.counterparty_account, t.counterparty_name, t.counterparty_country, t.channel, t.status,
@@ -48,7 +48,30 @@ tot AS (SELECT COUNT(*) AS total FROM f)
 SELECT f.*, tot.total, CAST(floor((tot.total + 49) / 50) AS BIGINT) AS pages
 FROM f CROSS JOIN tot ORDER BY f.timestamp DESC, f.id DESC LIMIT 50 OFFSET 0""")
 
-H["h03_alerts"] = sql(ALERT_ROWS + """
+H["h02_transactions"] = sql("""
+, f AS (
+  SELECT t.id, t.account_id, t.transaction_type, CAST(t.amount AS DOUBLE) AS amount, t.currency, t.timestamp,
+         t.counterparty_account, t.counterparty_name, t.counterparty_country, t.channel, t.status,
+         CAST(t.amount_usd AS DOUBLE) AS amount_usd, t.velocity_1h, t.velocity_24h, t.country_risk_score,
+         t.is_round_amount, t.is_large_cash, c.id AS customer_id, c.name AS customer_name
+  FROM wide_m t JOIN customers_m c ON c.id = t.customer_id),
+tot AS (SELECT COUNT(*) AS total FROM f)
+SELECT f.*, tot.total, CAST(floor((tot.total + 49) / 50) AS BIGINT) AS pages
+FROM f CROSS JOIN tot ORDER BY f.timestamp DESC, f.id DESC LIMIT 50 OFFSET 0""")
+
+H["h02_before_date"] = sql("""
+, f AS (
+  SELECT t.id, t.account_id, t.transaction_type, CAST(t.amount AS DOUBLE) AS amount, t.currency, t.timestamp,
+         t.counterparty_account, t.counterparty_name, t.counterparty_country, t.channel, t.status,
+         CAST(t.amount_usd AS DOUBLE) AS amount_usd, t.velocity_1h, t.velocity_24h, t.country_risk_score,
+         t.is_round_amount, t.is_large_cash, c.id AS customer_id, c.name AS customer_name
+  FROM wide_m t JOIN customers_m c ON c.id = t.customer_id
+  WHERE t.timestamp < TIMESTAMP '1998-01-01 00:00:00'),
+tot AS (SELECT COUNT(*) AS total FROM f)
+SELECT f.*, tot.total, CAST(floor((tot.total + 199) / 200) AS BIGINT) AS pages
+FROM f CROSS JOIN tot ORDER BY f.timestamp DESC, f.id DESC LIMIT 200 OFFSET 200""")
+
+H["h03_geographic"] = sql(ALERT_ROWS + """
 , f AS (
   SELECT alert_id, transaction_id, rule_id, score, status, created_date, resolved_date, rule_name, category,
          severity, amount, currency, timestamp AS txn_timestamp, transaction_type, customer_id, customer_name,
@@ -58,6 +81,16 @@ tot AS (SELECT COUNT(*) AS total FROM f)
 SELECT f.*, tot.total, CAST(floor((tot.total + 49) / 50) AS BIGINT) AS pages
 FROM f CROSS JOIN tot ORDER BY score DESC, created_date DESC, alert_id LIMIT 50 OFFSET 0""")
 
+H["h03_alerts"] = sql(ALERT_ROWS + """
+, f AS (
+  SELECT alert_id, transaction_id, rule_id, score, status, created_date, resolved_date, rule_name, category,
+         severity, amount, currency, timestamp AS txn_timestamp, transaction_type, customer_id, customer_name,
+         risk_rating, pep_status
+  FROM ar),
+tot AS (SELECT COUNT(*) AS total FROM f)
+SELECT f.*, tot.total, CAST(floor((tot.total + 49) / 50) AS BIGINT) AS pages
+FROM f CROSS JOIN tot ORDER BY score DESC, created_date DESC, alert_id LIMIT 50 OFFSET 0""")
+
 H["h04_alert_detail"] = sql(ALERT_ROWS + """
 SELECT alert_id, transaction_id, rule_id, score, status, rule_name, category, severity, account_id, customer_id,
        customer_name, customer_type, risk_rating, kyc_status, pep_status, customer_country, transaction_type, amount,

@@ -337,8 +337,10 @@ def q20_network_clusters(m: Monitor, min_size: int = 3) -> DataFrame:
     """Closed form of the pairwise self-join: size k, pairs ((Σn)² − Σn²) / 2, alerts of all member accounts."""
     edges = (m.wide.filter(F.col("counterparty_account").isNotNull())
              .groupBy("counterparty_account", "account_id").agg(F.count("*").alias("n")))
+    n = F.col("n").cast("decimal(19,0)")  # squares exceed a bigint
     clusters = edges.groupBy("counterparty_account").agg(
-        F.count("*").alias("accounts_in_cluster"), F.sum("n").alias("_s"), F.sum(F.col("n") * F.col("n")).alias("_s2"))
+        F.count("*").alias("accounts_in_cluster"), F.sum(n).alias("_s"),
+        F.sum((n * n).cast("decimal(38,0)")).alias("_s2"))
     clusters = clusters.filter(F.col("accounts_in_cluster") >= min_size)
     acct_alerts = (m.alerts.join(m.wide.select(F.col("id").alias("transaction_id"), "account_id"), "transaction_id")
                    .groupBy("account_id").agg(F.count("*").alias("_al")))
@@ -347,7 +349,7 @@ def q20_network_clusters(m: Monitor, min_size: int = 3) -> DataFrame:
                      .groupBy("counterparty_account").agg(F.coalesce(F.sum("_al"), F.lit(0)).alias("cluster_alerts")))
     return (clusters.join(member_alerts, "counterparty_account")
             .select(F.col("counterparty_account").alias("shared_counterparty"), "accounts_in_cluster",
-                    ((F.col("_s") * F.col("_s") - F.col("_s2")) / 2).cast("bigint").alias("total_shared_txns"),
+                    F.expr("CAST((CAST(_s AS DECIMAL(19,0)) * CAST(_s AS DECIMAL(19,0)) - _s2) div 2 AS BIGINT)").alias("total_shared_txns"),
                     F.col("cluster_alerts").cast("bigint").alias("cluster_alerts"))
             .orderBy(F.desc("accounts_in_cluster"), F.desc("total_shared_txns"), "shared_counterparty").limit(10))
 

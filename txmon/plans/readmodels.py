@@ -38,7 +38,8 @@ def h01_stats(m: Monitor) -> DataFrame:
 
 
 def _page(df: DataFrame, order: list, page: int, per_page: int) -> DataFrame:
-    per_page = min(per_page, MAX_PAGE)
+    if not 1 <= per_page <= MAX_PAGE or page < 1:
+        raise ValueError(f"page {page} of {per_page} rows: a page holds 1 to {MAX_PAGE}")
     total = df.agg(F.count("*").alias("total"))
     rows = df.orderBy(*order).offset((page - 1) * per_page).limit(per_page)
     return rows.crossJoin(F.broadcast(total)).withColumn(  # one-row total
@@ -46,8 +47,8 @@ def _page(df: DataFrame, order: list, page: int, per_page: int) -> DataFrame:
 
 
 def h02_transactions(m: Monitor, page: int = 1, per_page: int = 50, account_id=None, customer_id=None,
-                     txn_type="wire_out", min_amount=1000, max_amount=None, start_date=None, end_date=None,
-                     alerted_only=True) -> DataFrame:
+                     txn_type=None, min_amount=None, max_amount=None, start_date=None, end_date=None,
+                     alerted_only=False) -> DataFrame:
     t = m.wide
     conds = []
     if account_id is not None:
@@ -63,7 +64,8 @@ def h02_transactions(m: Monitor, page: int = 1, per_page: int = 50, account_id=N
     if start_date:
         conds.append(F.col("timestamp") >= ts_lit(start_date))
     if end_date:
-        conds.append(F.col("timestamp") <= ts_lit(end_date))
+        # a bare date excludes its whole day, midnight too
+        conds.append(F.col("timestamp") < ts_lit(end_date) if len(end_date) == 10 else F.col("timestamp") <= ts_lit(end_date))
     for c in conds:
         t = t.filter(c)
     if alerted_only:
@@ -88,8 +90,8 @@ def _alert_rows(m: Monitor) -> DataFrame:
     return a.join(c, "customer_id").join(t, a["transaction_id"] == t["_tid"]).drop("_tid")
 
 
-def h03_alerts(m: Monitor, page: int = 1, per_page: int = 50, status=None, min_score=50.0, rule_id=None,
-               category="geographic", customer_id=None) -> DataFrame:
+def h03_alerts(m: Monitor, page: int = 1, per_page: int = 50, status=None, min_score=None, rule_id=None,
+               category=None, customer_id=None) -> DataFrame:
     a = _alert_rows(m)
     if status:
         a = a.filter(F.col("status") == status)
@@ -287,7 +289,10 @@ def write_csv(df: DataFrame, path: str) -> str:
 ALL = {
     "h01_stats": h01_stats,
     "h02_transactions": h02_transactions,
+    "h02_alerted_wires": lambda m: h02_transactions(m, txn_type="wire_out", min_amount=1000, alerted_only=True),
+    "h02_before_date": lambda m: h02_transactions(m, end_date="1998-01-01", page=2, per_page=200),
     "h03_alerts": h03_alerts,
+    "h03_geographic": lambda m: h03_alerts(m, min_score=50.0, category="geographic"),
     "h04_alert_detail": h04_alert_detail,
     "h05_customer_profiles": h05_customer_profiles,
     "h06_rules": h06_rules,

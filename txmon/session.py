@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="txmon-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     jsc = spark.sparkContext._jsc
@@ -55,6 +58,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables/{name}"
-    df.write.mode("overwrite").parquet(path)
+    # a folder of its own for every run: nothing a live frame points to is replaced
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.parquet(path)

@@ -30,8 +30,14 @@ PRIORITY_TYPE_MAP = {"1": "wire_out", "2": "wire_in", "3": "deposit", "4": "cash
 COUNTERPARTY_TYPES = ("wire_out", "wire_in", "transfer_out")
 
 
+def padded(key: Column, width: int) -> Column:
+    """The number with leading zeros up to ``width`` digits; longer numbers stay whole."""
+    text = key.cast("string")
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+
+
 def country_code(key: Column) -> Column:
-    return F.concat(F.lit("N"), F.lpad(key.cast("string"), 2, "0"))
+    return F.concat(F.lit("N"), padded(key, 2))
 
 
 def _case(col: Column, mapping: dict, default=None) -> Column:
@@ -114,7 +120,7 @@ def _with_counterparty_and_channel(df: DataFrame) -> DataFrame:
                .when(tid % 3 == 0, "online").when(tid % 3 == 1, "mobile").otherwise("api"))
     return df.select(
         "id", "account_id", "transaction_type", "amount", "currency", "timestamp",
-        F.when(has_cp, F.concat(F.lit("CP-"), F.lpad(k.cast("string"), 3, "0"))).alias("counterparty_account"),
+        F.when(has_cp, F.concat(F.lit("CP-"), padded(k, 3))).alias("counterparty_account"),
         F.when(has_cp, F.concat(F.lit("Party "), k.cast("string"))).alias("counterparty_name"),
         F.when(has_cp, country_code(k % 25)).alias("counterparty_country"),
         channel.alias("channel"),
