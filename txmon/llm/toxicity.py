@@ -4,8 +4,8 @@ A logistic model over the presence of words.  Beside the label loss, training pe
 change of the score when the identity terms of a labelled sentence are swapped for others of their
 group, so a neutral mention of a group is not held against a text.
 
-The model is fitted on at most ``SAMPLE`` labelled rows of either label outside the held-out fold
-(a documented bound; the rows with the smallest hash of their id) and ``FEATURES`` words, chosen by a
+The model is fitted on at most ``SAMPLE`` labelled documents of either label outside the held-out fold
+(a documented bound; those with the smallest hash of their id) and ``FEATURES`` words, chosen by a
 distributed count over those rows.  Scoring is one map over all documents.
 """
 
@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txmon.llm.common import held_out, read
+from txmon.llm.common import held_out, read, staged
 
 SAMPLE = 6000
 FEATURES = 1500
@@ -91,6 +91,17 @@ class Toxicity:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def sampled(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """doc_id, text, toxic of at most ``SAMPLE`` documents of either label, those with the smallest hash of
+    their id.  Only ids meet in the choice; the chosen ids, few by their bound, then find their texts in a
+    map over the documents.  A repeated id teaches once, by its smallest text."""
+    known = marks.where("toxic IN (0, 1)").select("doc_id", "toxic").distinct()
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi").withColumn("_order", F.xxhash64("doc_id"))
+    first = [known.where(F.col("toxic") == y).orderBy("_order", "doc_id").limit(SAMPLE) for y in (1, 0)]
+    chosen = F.broadcast(first[0].unionByName(first[1]).select("doc_id", "toxic"))  # 2 x SAMPLE rows at most
+    return docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+
+
 def fit(labelled: DataFrame) -> Toxicity:
     """``labelled``: doc_id, text, toxic (0 or 1).  With no row of a label the score is 0.1 for all."""
     rows = labelled.where("toxic IN (0, 1)").withColumn("_order", F.xxhash64(F.col("doc_id"), F.col("text")))
@@ -144,9 +155,9 @@ def score(docs: DataFrame, model: Toxicity, id_col: str = "doc_id", text_col: st
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents.  Null ids keep their rows and teach nothing; repeated ids are scored
-    row by row; labels other than 0 and 1 teach nothing; an empty table gives an empty result."""
+    row by row and teach once; labels other than 0 and 1 teach nothing; an empty table gives an empty result."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     marks = labels.where(~held_out()).select("doc_id", "toxic")
-    model = fit(docs.select("doc_id", "text").join(marks, "doc_id"))
+    model = fit(staged(sampled(docs, marks), "labelled"))
     out = score(docs, model)
     return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")
