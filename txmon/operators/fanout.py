@@ -36,3 +36,16 @@ def with_alert_weights(wide: DataFrame, alerts: DataFrame, dedupe: bool = False)
             .withColumn("score_sum", F.coalesce(F.col("score_sum"), F.lit(0).cast("decimal(5,2)")))
             .withColumn("n_alerts_60", F.coalesce(F.col("n_alerts_60"), F.lit(0)).cast("bigint"))
             .withColumn("w", F.lit(1).cast("bigint") if dedupe else F.greatest(n, F.lit(1).cast("bigint"))))
+
+
+def with_hit_weights(fired: DataFrame) -> DataFrame:
+    """The same columns from the ``hits`` on the row itself (txmon.operators.rules.fire): no join, no shuffle."""
+    n = F.size("hits").cast("bigint")
+    score = lambda x: x["composite_score"]
+    return fired.select(
+        "*", n.alias("n_alerts"),
+        F.aggregate("hits", F.lit(0).cast("decimal(15,2)"), lambda acc, x: (acc + score(x)).cast("decimal(15,2)"))
+        .alias("score_sum"),
+        F.array_max(F.transform("hits", score)).cast("double").alias("score_max"),
+        F.size(F.filter("hits", lambda x: score(x) >= 60)).cast("bigint").alias("n_alerts_60"),
+        F.greatest(n, F.lit(1).cast("bigint")).alias("w"))

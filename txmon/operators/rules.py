@@ -15,7 +15,7 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +98,7 @@ def seed_rules(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 @dataclass
 class RuleRun:
+    fired: DataFrame  # the input rows with their component scores and ``hits``, one entry per rule that fires
     alerts: DataFrame
     alert_scores: DataFrame
     skipped: list[tuple[str, str]]
@@ -110,8 +111,8 @@ def _joined(wide: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataF
     t = wide.select("*", F.struct(*ENRICHMENT_COLUMNS).alias("te")).alias("t")
     a = broadcast_if_small(accounts).alias("a")
     c = broadcast_if_small(customers).alias("c")
-    return (t.join(a, F.col("t.account_id") == F.col("a.id"), "inner")
-             .join(c, F.col("a.customer_id") == F.col("c.id"), "inner"))
+    return (t.join(a, F.col("t.account_id") == F.col("a.id"), "left")
+             .join(c, F.col("a.customer_id") == F.col("c.id"), "left"))
 
 
 def valid_rules(joined: DataFrame, rules: list) -> tuple[list, list[tuple[str, str]]]:
@@ -127,58 +128,67 @@ def valid_rules(joined: DataFrame, rules: list) -> tuple[list, list[tuple[str, s
     return ok, skipped
 
 
-def evaluate_rules(wide: DataFrame, accounts: DataFrame, customers: DataFrame, rules: DataFrame,
-                   existing_alerts: DataFrame | None = None, created: str = "2025-01-01 00:00:00") -> RuleRun:
-    """One-pass evaluation of all active rules -> alerts and alert score breakdowns."""
+def fire(wide: DataFrame, accounts: DataFrame, customers: DataFrame, rules: DataFrame) -> tuple[DataFrame, list]:
+    """Every row of ``wide`` with its component scores and ``hits``: alert id, rule, severity and composite
+    score of each active rule that fires.  Rows without account or customer fire none."""
     active = [r.asDict() for r in rules.filter("is_active = 1").orderBy("category", "name").collect()]
     joined = _joined(wide, accounts, customers)
     active, skipped = valid_rules(joined, active)
-    completed = F.col("t.status") == "completed"
-    hits = F.array(*[
-        F.when(F.expr(f"({r['sql_condition'].strip()})") & completed,
-               F.struct(F.lit(r["id"]).cast("bigint").alias("rule_id"),
-                        F.lit(str(r["severity"])).cast("decimal(3,2)").alias("severity")))
-        for r in active
-    ]) if active else F.array().cast("array<struct<rule_id:bigint,severity:decimal(3,2)>>")
-    cust = scoring.customer_risk_norm(F.col("c.risk_rating"))
-    geo = scoring.geo_risk_norm(F.col("t.country_risk_score"))
-    beh = scoring.behavioral_score("t.velocity_1h", "t.velocity_24h", "t.amount_usd",
-                                   "t.amount_velocity_24h", "t.is_round_amount", "t.is_new_counterparty")
-    fired = joined.select(
-        F.col("t.id").alias("transaction_id"),
-        cust.alias("customer_risk_score"), geo.alias("geographic_risk_score"), beh.alias("behavioral_score"),
-        F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("hit"),
-    ).select("transaction_id", "hit.rule_id", F.col("hit.severity").alias("rule_score"),
-             "customer_risk_score", "geographic_risk_score", "behavioral_score")
-    fired = fired.withColumn("composite_score", scoring.composite(
-        "rule_score", "customer_risk_score", "geographic_risk_score", "behavioral_score"))
+    joined = joined.select(
+        "*", scoring.customer_risk_norm(F.col("c.risk_rating")).alias("customer_risk_score"),
+        scoring.geo_risk_norm(F.col("t.country_risk_score")).alias("geographic_risk_score"),
+        scoring.behavioral_score("t.velocity_1h", "t.velocity_24h", "t.amount_usd", "t.amount_velocity_24h",
+                                 "t.is_round_amount", "t.is_new_counterparty").alias("behavioral_score"))
+    completed = (F.col("t.status") == "completed") & F.col("c.id").isNotNull()
     # room for every rule id of the catalogue, so that (transaction, rule) pairs never share an id
     room = max([100, *(10 ** len(str(r["id"])) for r in active)])
-    fired = fired.withColumn("alert_id", F.col("transaction_id") * room + F.col("rule_id"))
+
+    def hit(r: dict) -> Column:
+        severity = F.lit(str(r["severity"])).cast("decimal(3,2)")
+        return F.when(F.expr(f"({r['sql_condition'].strip()})") & completed, F.struct(
+            (F.col("t.id") * F.lit(room).cast("bigint") + F.lit(r["id"]).cast("bigint")).alias("alert_id"),
+            F.lit(r["id"]).cast("bigint").alias("rule_id"), severity.alias("rule_score"),
+            scoring.composite(severity, "customer_risk_score", "geographic_risk_score", "behavioral_score")
+            .alias("composite_score")))
+    hits = F.filter(F.array(*map(hit, active)), lambda x: x.isNotNull()) if active else F.array().cast(
+        "array<struct<alert_id:bigint,rule_id:bigint,rule_score:decimal(3,2),composite_score:decimal(5,2)>>")
+    return joined.select(*[F.col(f"t.{c}") for c in wide.columns], "customer_risk_score", "geographic_risk_score",
+                         "behavioral_score", hits.alias("hits")), skipped
+
+
+def alert_rows(fired: DataFrame, *keep: str, created: str = "2025-01-01 00:00:00") -> DataFrame:
+    """One row per hit: the alert, its score breakdown and the columns ``keep`` of its transaction."""
+    parts = ["customer_risk_score", "geographic_risk_score", "behavioral_score"]
+    hit = fired.select(F.col("id").alias("transaction_id"), *parts, *keep, F.explode("hits").alias("hit"))
+    return hit.select(
+        "hit.alert_id", "transaction_id", "hit.rule_id", F.col("hit.composite_score").cast("double").alias("score"),
+        F.lit("open").alias("status"), ts_lit(created).alias("created_date"),
+        F.lit(None).cast("timestamp_ntz").alias("resolved_date"), F.lit(None).cast("string").alias("notes"),
+        F.col("hit.rule_score").cast("double").alias("rule_score"),
+        *[F.col(c).cast("double").alias(c) for c in parts],
+        F.col("hit.composite_score").cast("double").alias("composite_score"), *keep)
+
+
+ALERT_COLUMNS = ["alert_id", "transaction_id", "rule_id", "score", "status", "created_date", "resolved_date", "notes"]
+SCORE_COLUMNS = ["alert_id", "rule_score", "customer_risk_score", "geographic_risk_score", "behavioral_score",
+                 "composite_score"]
+
+
+def evaluate_rules(wide: DataFrame, accounts: DataFrame, customers: DataFrame, rules: DataFrame,
+                   existing_alerts: DataFrame | None = None, created: str = "2025-01-01 00:00:00") -> RuleRun:
+    """One-pass evaluation of all active rules -> alerts and alert score breakdowns."""
+    fired, skipped = fire(wide, accounts, customers, rules)
+    rows = alert_rows(fired, created=created)
     if existing_alerts is not None:  # T02: skip pairs already alerted
-        fired = fired.join(existing_alerts.select("transaction_id", "rule_id"),
-                           ["transaction_id", "rule_id"], "left_anti")
-    alerts = fired.select(
-        "alert_id", "transaction_id", "rule_id",
-        F.col("composite_score").cast("double").alias("score"),
-        F.lit("open").alias("status"),
-        ts_lit(created).alias("created_date"),
-        F.lit(None).cast("timestamp_ntz").alias("resolved_date"),
-        F.lit(None).cast("string").alias("notes"),
-    )
-    scores = fired.select(
-        "alert_id",
-        *[F.col(c).cast("double").alias(c) for c in
-          ("rule_score", "customer_risk_score", "geographic_risk_score", "behavioral_score", "composite_score")],
-    )
-    return RuleRun(alerts, scores, skipped)
+        rows = rows.join(existing_alerts.select("transaction_id", "rule_id"), ["transaction_id", "rule_id"], "left_anti")
+    return RuleRun(fired, rows.select(*ALERT_COLUMNS), rows.select(*SCORE_COLUMNS), skipped)
 
 
 def rule_summary(rules: DataFrame, alerts: DataFrame) -> DataFrame:
     """Per active rule (zero-hit rules included) alerts and avg/min/max score."""
     from txmon.functions.money import rnd
     per_rule = alerts.groupBy("rule_id").agg(
-        F.count("*").alias("total_alerts"), F.sum("score").alias("_sum"),
+        F.count("*").alias("total_alerts"), F.sum(F.col("score").cast("decimal(5,2)")).alias("_sum"),
         F.min("score").alias("_min"), F.max("score").alias("_max"))
     r = rules.filter("is_active = 1")
     return (r.join(per_rule, r["id"] == per_rule["rule_id"], "left")

@@ -5,9 +5,13 @@ AQE cannot split window partitions.  Trailing windows are bounded in time, so
 the key's timeline is cut into buckets of ``bucket_us`` and each bucket also
 receives a *halo*: the rows of the preceding ``max_width`` microseconds.
 Window partitions become ``(key, bucket)``; halo rows feed the frames but are
-dropped from the output.  With ``bucket_us = 4 * max_width`` at most a quarter
-of the rows is sent twice, and a key holding a third of all rows is spread
-over (time span / bucket) tasks instead of one.
+dropped from the output.  Buckets default to the widest window, so a row is
+sent twice (its payload once) and a key holding a third of all rows is spread
+over (time span / widest window) tasks instead of one.
+
+A sliding frame is added up anew for every row, the square of a busy key's
+rows.  Frames here only grow: ``[t - w, t)`` is what came before ``t`` less
+what came before ``t - w``, two running totals that each row enters once.
 """
 
 from __future__ import annotations
@@ -16,6 +20,21 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _difference(df: DataFrame, fn: str, value: str | None, before, expired) -> Column:
+    """The total over ``before`` less the total over ``expired``, a frame inside it."""
+    if fn == "count":
+        return (F.count(F.lit(1)).over(before) - F.count(F.lit(1)).over(expired)).cast("bigint")
+    if fn != "sum":
+        raise ValueError(f"unsupported trailing aggregate {fn}")
+    kind = df.schema[value].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        raise ValueError(f"{value} is {kind.simpleString()}: differences of running totals need an exact type")
+    exact = T.DecimalType(min(38, kind.precision + 10), kind.scale) if isinstance(kind, T.DecimalType) else T.LongType()
+    total = [F.coalesce(F.sum(value).over(f), F.lit(0)) for f in (before, expired)]
+    return (total[0] - total[1]).cast(exact)
 
 
 def trailing_aggregates(
@@ -29,12 +48,12 @@ def trailing_aggregates(
     """Add trailing-window columns over the half-open frame ``[t - width, t)``.
 
     aggregates: ``{out_name: (fn, value_col, width_us)}`` with fn ``count`` or ``sum``
-      (``sum`` is 0, not NULL, on an empty frame).
+      (``sum`` is 0, not NULL, on an empty frame; integers and decimals only).
     payload: columns only needed on output rows; they are nulled on halo rows
       before the shuffle so the halo costs only key, time and values.
     """
     max_w = max(w for _, _, w in aggregates.values())
-    b_us = bucket_us or 4 * max_w
+    b_us = bucket_us or max_w
     halo_copies = math.ceil(max_w / b_us)
     t = F.col(us)
     own_b = F.floor(t / F.lit(b_us)).cast("bigint")
@@ -54,15 +73,11 @@ def trailing_aggregates(
     exploded = exploded.select(*nulled)
 
     w = Window.partitionBy(key, "_b").orderBy(t)
+    before = w.rangeBetween(Window.unboundedPreceding, -1)
     outs: list[Column] = []
     for name, (fn, value, width) in aggregates.items():
-        frame = w.rangeBetween(-width, -1)
-        if fn == "count":
-            outs.append(F.count(F.lit(1)).over(frame).cast("bigint").alias(name))
-        elif fn == "sum":
-            outs.append(F.coalesce(F.sum(value).over(frame), F.lit(0)).alias(name))
-        else:
-            raise ValueError(f"unsupported trailing aggregate {fn}")
+        expired = w.rangeBetween(Window.unboundedPreceding, -width - 1)
+        outs.append(_difference(df, fn, value, before, expired).alias(name))
     return (exploded.select("*", *outs).filter(own).drop("_b", "_own_b"))
 
 

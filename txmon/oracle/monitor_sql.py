@@ -96,15 +96,15 @@ customers_m AS (
   FROM customer),
 accounts_m AS (
   SELECT {_ACCOUNT_COLS.format(currency=_currency('src'))} FROM (
-    SELECT user_id AS id, user_id // 2 AS customer_id, user_id AS src,
+    SELECT 2 * user_id - user_id % 1000000 AS id, user_id // 2 AS customer_id, user_id AS src,
            CAST(DATE '2023-11-01' + CAST(user_id % 60 AS INTEGER) AS DATE) AS opened_date
     FROM (SELECT DISTINCT user_id FROM events)
     UNION ALL
-    SELECT 1000000 + c_custkey, c_custkey, c_custkey,
-           CAST(DATE '1994-10-01' + CAST((1000000 + c_custkey) % 400 AS INTEGER) AS DATE)
+    SELECT 2 * c_custkey - c_custkey % 1000000 + 1000000, c_custkey, c_custkey,
+           CAST(DATE '1994-10-01' + CAST((2 * c_custkey - c_custkey % 1000000 + 1000000) % 400 AS INTEGER) AS DATE)
     FROM customer WHERE c_custkey % 10 <> 9)),
 tx_raw AS (
-  SELECT event_id AS id, user_id AS account_id,
+  SELECT 2 * event_id - event_id % 1000000000 AS id, 2 * user_id - user_id % 1000000 AS account_id,
          CASE event_type WHEN 'purchase' THEN 'wire_out' WHEN 'view' THEN 'wire_in' WHEN 'signup' THEN 'cash_deposit'
               WHEN 'click' THEN 'transfer_out' WHEN 'error' THEN 'withdrawal' END AS transaction_type,
          CAST(CAST(value AS DECIMAL(18,2)) * 200 AS DECIMAL(18,2)) AS amount,
@@ -115,7 +115,7 @@ tx_raw AS (
               WHEN event_id % 50 = 2 THEN 'reversed' ELSE 'completed' END AS status
   FROM events
   UNION ALL
-  SELECT 1000000000 + o_orderkey, 1000000 + o_custkey,
+  SELECT 2 * o_orderkey - o_orderkey % 1000000000 + 1000000000, 2 * o_custkey - o_custkey % 1000000 + 1000000,
          CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'wire_out' WHEN '2' THEN 'wire_in' WHEN '3' THEN 'deposit'
               WHEN '4' THEN 'cash_deposit' WHEN '5' THEN 'cash_withdrawal' END,
          CAST(CASE WHEN o_orderkey % 20 = 0 THEN floor(o_totalprice / 1000) * 1000 + 1000

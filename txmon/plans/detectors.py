@@ -193,7 +193,7 @@ def n3_tuned_dormant(m: Monitor, idle_days: int = 14, min_age_days: int = 90) ->
 
 def n4_score_decay(m: Monitor, as_of: str = "2025-01-01 00:00:00", half_life_days: float = 30.0) -> DataFrame:
     """Alert score decayed by transaction age: score * 0.5 ** (age_days / half_life)."""
-    a = m.alerts.join(m.wide.select(F.col("id").alias("transaction_id"), "us"), "transaction_id")
+    a = m.alerts_wide()
     age = (micros(ts_lit(as_of)) - F.col("us")) / float(US_PER_DAY)
     return a.select("alert_id", "transaction_id", "rule_id", "score",
                     rnd(F.col("score") * F.pow(F.lit(0.5), F.greatest(age, F.lit(0.0)) / half_life_days), 2)

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txmon.operators.enrich import enrich, enrichment_table
-from txmon.operators.rules import evaluate_rules, rules_frame
+from txmon.operators.fanout import with_hit_weights
+from txmon.operators.rules import ALERT_COLUMNS, SCORE_COLUMNS, alert_rows, fire, rules_frame
 from txmon.session import materialize
 from txmon.sources.monitor import load_monitor_sources
 
@@ -30,20 +31,24 @@ class Monitor:
     alerts: DataFrame
     alert_scores: DataFrame
     skipped_rules: list = field(default_factory=list)
+    fired: DataFrame | None = None  # wide + component scores + hits: rules are evaluated once, on the row
 
     @property
     def enrichment(self) -> DataFrame:
         return enrichment_table(self.wide)
 
+    def weighted(self) -> DataFrame:
+        """``wide`` with alert counts and fan-out weights, read off the hits of each row."""
+        return with_hit_weights(self.fired)
+
     def alerts_wide(self) -> DataFrame:
-        """Alerts with their rule and transaction attributes (one join each)."""
-        w = self.wide.select(F.col("id").alias("_tid"), "account_id", "customer_id", "timestamp",
-                             "amount_usd", "transaction_type")
+        """Alerts with score breakdown, rule and transaction attributes; the hits carry them, so only the
+        rule catalogue is joined."""
         r = F.broadcast(self.rules.select(F.col("id").alias("_rid"), F.col("name").alias("rule_name"),
                                           "category", "severity"))  # bounded: rule catalog
-        a = self.alerts
-        return (a.join(r, a["rule_id"] == r["_rid"]).join(w, a["transaction_id"] == w["_tid"])
-                .drop("_rid", "_tid"))
+        keep = [c for c in self.wide.columns if c not in ("id", "transaction_id", "status", "created_at")]
+        a = alert_rows(self.fired, *keep)
+        return a.join(r, a["rule_id"] == r["_rid"]).drop("_rid")
 
 
 def load_monitor(spark: SparkSession, sf_dir: str, include_scaled: bool = True,
@@ -51,12 +56,15 @@ def load_monitor(spark: SparkSession, sf_dir: str, include_scaled: bool = True,
     src = load_monitor_sources(spark, sf_dir)
     rules = rules_frame(spark, include_scaled)
     wide = enrich(src.transactions, src.accounts, src.country_risk, bucket_us=bucket_us)
+    columns = wide.columns
+    fired, skipped = fire(wide, src.accounts, src.customers, rules)
     if materialized:
-        wide = materialize(wide, "enriched")
-    run = evaluate_rules(wide, src.accounts, src.customers, rules)
-    alerts, scores = run.alerts, run.alert_scores
+        fired = materialize(fired, "enriched")
+        wide = fired.select(*columns)
+    rows = alert_rows(fired)
+    alerts, scores = rows.select(*ALERT_COLUMNS), rows.select(*SCORE_COLUMNS)
     if materialized:
-        alerts = materialize(run.alerts, "alerts")
-        scores = materialize(run.alert_scores, "alert_scores")
+        alerts = materialize(alerts, "alerts")
+        scores = materialize(scores, "alert_scores")
     return Monitor(spark, src.country_risk, src.customers, src.accounts, src.transactions, rules,
-                   wide, alerts, scores, run.skipped)
+                   wide, alerts, scores, skipped, fired)

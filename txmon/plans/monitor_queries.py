@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from txmon.functions.money import rnd, safe_div
 from txmon.functions.timefn import US_PER_DAY, US_PER_HOUR, julian_days, month_key, weekday_sun0
-from txmon.operators.fanout import with_alert_weights
 from txmon.operators.joins import time_band_self_join
 from txmon.operators.precision import rule_performance
 from txmon.plans.model import Monitor
@@ -46,7 +45,7 @@ def q01_monthly_trends(m: Monitor) -> DataFrame:
 
 
 def _per_customer_weighted(m: Monitor) -> DataFrame:
-    t = with_alert_weights(m.wide, m.alerts)
+    t = m.weighted()
     return t.groupBy("customer_id").agg(
         F.count("*").alias("n_txn"), F.sum("w").alias("sum_w"),
         F.sum(F.col("amount_usd") * F.col("w")).alias("usd_w"), F.sum("n_alerts").alias("n_alerts"))
@@ -119,7 +118,7 @@ RISK_LABELS = {1: "Low", 2: "Medium", 3: "High", 4: "Very High", 5: "Sanctioned"
 
 
 def q06_geographic_flows(m: Monitor, min_txns: int = 50) -> DataFrame:
-    t = with_alert_weights(m.wide, m.alerts)
+    t = m.weighted()
     g = t.groupBy("counterparty_country").agg(
         F.sum("w").alias("txn_count"), F.sum(F.col("amount_usd") * F.col("w")).alias("_usd"),
         F.countDistinct("account_id").alias("unique_accounts"), F.sum("n_alerts").alias("alerts_generated"))
@@ -202,9 +201,7 @@ def q10_dormant_activation(m: Monitor, min_gap_days: int = 180) -> DataFrame:
 
 
 def q11_velocity_comparison(m: Monitor, rule_name: str = "VEL-001 Rapid transaction burst") -> DataFrame:
-    rid = m.rules.filter(F.col("name") == rule_name).select(F.col("id").alias("rule_id"))
-    flagged_txn = m.alerts.join(F.broadcast(rid), "rule_id").select(F.col("transaction_id").alias("_tid"))
-    accts = (m.wide.join(flagged_txn, m.wide["id"] == flagged_txn["_tid"], "left_semi")
+    accts = (m.alerts_wide().filter(F.col("rule_name") == rule_name)
              .select(F.col("account_id").alias("_acct")).distinct().withColumn("_flag", F.lit(1)))
     t = m.wide.join(accts, m.wide["account_id"] == accts["_acct"], "left")
     label = F.when(F.col("_flag").isNotNull(), "Fraud (VEL-001)").otherwise("Normal")
@@ -216,7 +213,7 @@ def q11_velocity_comparison(m: Monitor, rule_name: str = "VEL-001 Rapid transact
 
 
 def q12_counterparty_analysis(m: Monitor) -> DataFrame:
-    t = with_alert_weights(m.wide.filter(F.col("counterparty_account").isNotNull()), m.alerts)
+    t = m.weighted().filter(F.col("counterparty_account").isNotNull())
     lvl1 = t.groupBy("counterparty_account", "customer_id", "account_id").agg(
         F.min("counterparty_name").alias("_name"), F.sum("w").alias("_w"),
         F.sum(F.col("amount_usd") * F.col("w")).alias("_usd"), F.sum("n_alerts").alias("_al"))
@@ -234,7 +231,7 @@ def q12_counterparty_analysis(m: Monitor) -> DataFrame:
 
 
 def q13_currency_exposure(m: Monitor) -> DataFrame:
-    t = with_alert_weights(m.wide, m.alerts)
+    t = m.weighted()
     g = t.groupBy("currency").agg(
         F.sum("w").alias("txn_count"), F.sum(F.col("amount") * F.col("w")).alias("_nat"),
         F.sum(F.col("amount_usd") * F.col("w")).alias("_usd"), F.sum("n_alerts").alias("alerts"))
@@ -260,8 +257,12 @@ def rule_pairs(alerts: DataFrame) -> DataFrame:
     Alerts of one transaction are at most one per rule, so the per-transaction
     list is bounded by the catalog size; pairs are generated inside the row.
     """
-    per = alerts.groupBy("transaction_id").agg(
-        F.collect_list(F.struct("rule_id", F.col("score").cast("decimal(5,2)").alias("s"))).alias("a"))
+    return pairs_in(alerts.groupBy("transaction_id").agg(
+        F.collect_list(F.struct("rule_id", F.col("score").cast("decimal(5,2)").alias("s"))).alias("a")))
+
+
+def pairs_in(per: DataFrame) -> DataFrame:
+    """The rule pairs inside each array ``a`` of (rule_id, s)."""
     pairs = F.flatten(F.transform("a", lambda x: F.transform(
         F.filter("a", lambda y: y["rule_id"] > x["rule_id"]),
         lambda y: F.struct(x["rule_id"].alias("r1"), y["rule_id"].alias("r2"), (x["s"] + y["s"]).alias("s")))))
@@ -269,7 +270,9 @@ def rule_pairs(alerts: DataFrame) -> DataFrame:
 
 
 def q15_rule_cooccurrence(m: Monitor, min_count: int = 5) -> DataFrame:
-    g = rule_pairs(m.alerts).groupBy("r1", "r2").agg(F.count("*").alias("co_occurrences"), F.sum("s").alias("_s"))
+    per = m.fired.select(F.transform("hits", lambda h: F.struct(
+        h["rule_id"].alias("rule_id"), h["composite_score"].alias("s"))).alias("a"))
+    g = pairs_in(per).groupBy("r1", "r2").agg(F.count("*").alias("co_occurrences"), F.sum("s").alias("_s"))
     g = g.filter(F.col("co_occurrences") >= min_count)
     r = F.broadcast(m.rules.select("id", "name"))  # bounded: rule catalog
     r1, r2 = r.alias("r1n"), r.alias("r2n")
@@ -308,7 +311,7 @@ def q17_threshold_sensitivity(m: Monitor) -> DataFrame:
 
 
 def q18_new_customer_risk(m: Monitor, days: int = 90) -> DataFrame:
-    t = with_alert_weights(m.wide, m.alerts)
+    t = m.weighted()
     phase = F.when(F.col("account_age_days") <= days, "First 90 days").otherwise("After 90 days")
     g = t.groupBy(phase.alias("tenure_phase")).agg(
         F.sum("w").alias("txn_count"), F.sum(F.col("amount_usd") * F.col("w")).alias("_usd"),
@@ -355,7 +358,7 @@ def q20_network_clusters(m: Monitor, min_size: int = 3) -> DataFrame:
 
 
 def q21_high_risk_matrix(m: Monitor) -> DataFrame:
-    t = with_alert_weights(m.wide.filter(F.col("country_risk_score") >= 2), m.alerts)
+    t = m.weighted().filter(F.col("country_risk_score") >= 2)
     c = m.customers.select(F.col("id").alias("customer_id"), "risk_rating")
     g = t.join(c, "customer_id").groupBy("risk_rating", "country_risk_score").agg(
         F.sum("w").alias("transactions"), F.sum("n_alerts").alias("alerts"), F.sum("score_sum").alias("_ss"))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from txmon.functions.money import rnd, safe_div
 from txmon.functions.timefn import month_key, ts_lit
-from txmon.operators.fanout import with_alert_weights
 from txmon.plans.model import Monitor
 
 MAX_PAGE = 200
@@ -49,7 +48,7 @@ def _page(df: DataFrame, order: list, page: int, per_page: int) -> DataFrame:
 def h02_transactions(m: Monitor, page: int = 1, per_page: int = 50, account_id=None, customer_id=None,
                      txn_type=None, min_amount=None, max_amount=None, start_date=None, end_date=None,
                      alerted_only=False) -> DataFrame:
-    t = m.wide
+    t = m.fired.filter(F.size("hits") > 0) if alerted_only else m.wide
     conds = []
     if account_id is not None:
         conds.append(F.col("account_id") == account_id)
@@ -68,8 +67,6 @@ def h02_transactions(m: Monitor, page: int = 1, per_page: int = 50, account_id=N
         conds.append(F.col("timestamp") < ts_lit(end_date) if len(end_date) == 10 else F.col("timestamp") <= ts_lit(end_date))
     for c in conds:
         t = t.filter(c)
-    if alerted_only:
-        t = t.join(m.alerts.select(F.col("transaction_id").alias("id")), "id", "left_semi")
     c = m.customers.select(F.col("id").alias("customer_id"), F.col("name").alias("customer_name"))
     t = t.join(c, "customer_id").select(
         "id", "account_id", "transaction_type", F.col("amount").cast("double").alias("amount"), "currency",
@@ -84,10 +81,7 @@ def _alert_rows(m: Monitor) -> DataFrame:
     c = m.customers.select(F.col("id").alias("customer_id"), F.col("name").alias("customer_name"),
                            "risk_rating", "pep_status", "customer_type", "kyc_status",
                            F.col("country").alias("customer_country"))
-    t = m.wide.select(F.col("id").alias("_tid"), F.col("amount").cast("double").alias("amount"), "currency",
-                      "counterparty_account", "counterparty_country", "channel", "velocity_1h", "velocity_24h",
-                      "velocity_7d", "country_risk_score", "is_new_counterparty", "is_round_amount")
-    return a.join(c, "customer_id").join(t, a["transaction_id"] == t["_tid"]).drop("_tid")
+    return a.withColumn("amount", F.col("amount").cast("double")).join(c, "customer_id")
 
 
 def h03_alerts(m: Monitor, page: int = 1, per_page: int = 50, status=None, min_score=None, rule_id=None,
@@ -113,8 +107,7 @@ def h03_alerts(m: Monitor, page: int = 1, per_page: int = 50, status=None, min_s
 def h04_alert_detail(m: Monitor) -> DataFrame:
     """Every alert with rule, transaction, enrichment, customer and score breakdown (filter by key)."""
     a = _alert_rows(m)
-    s = m.alert_scores.withColumnRenamed("alert_id", "_aid")
-    return a.join(s, a["alert_id"] == s["_aid"], "left").select(
+    return a.select(
         "alert_id", "transaction_id", "rule_id", "score", "status", "rule_name", "category", "severity",
         "account_id", "customer_id", "customer_name", "customer_type", "risk_rating", "kyc_status", "pep_status",
         "customer_country", "transaction_type", "amount", "currency",
@@ -164,7 +157,7 @@ def h06_rules(m: Monitor) -> DataFrame:
 
 
 def h07_timeline(m: Monitor) -> DataFrame:
-    t = with_alert_weights(m.wide, m.alerts)
+    t = m.weighted()
     g = t.groupBy(month_key("timestamp").alias("month")).agg(
         F.sum("w").alias("transaction_count"), F.sum(F.col("amount_usd") * F.col("w")).alias("_usd"),
         F.sum("n_alerts").alias("alert_count"), F.sum("n_alerts_60").alias("high_alerts"))
@@ -173,7 +166,7 @@ def h07_timeline(m: Monitor) -> DataFrame:
 
 
 def h08_risk_distribution(m: Monitor) -> DataFrame:
-    t = with_alert_weights(m.wide, m.alerts).groupBy("customer_id").agg(
+    t = m.weighted().groupBy("customer_id").agg(
         F.count("*").alias("_n"), F.sum("n_alerts").alias("_a"), F.sum("score_sum").alias("_s"))
     c = m.customers
     j = c.join(t, c["id"] == t["customer_id"], "left")
@@ -186,7 +179,7 @@ def h08_risk_distribution(m: Monitor) -> DataFrame:
 
 
 def h09_rule_performance(m: Monitor) -> DataFrame:
-    a = m.alerts.join(m.wide.select(F.col("id").alias("transaction_id"), "account_id"), "transaction_id")
+    a = m.alerts_wide()
     per = a.groupBy("rule_id").agg(
         F.count("*").alias("total_alerts"), F.sum(F.col("score").cast("decimal(5,2)")).alias("_s"),
         F.min("score").alias("_mn"), F.max("score").alias("_mx"),
@@ -204,7 +197,7 @@ def h09_rule_performance(m: Monitor) -> DataFrame:
 
 
 def h10_geographic(m: Monitor, k: int = 40) -> DataFrame:
-    t = with_alert_weights(m.wide, m.alerts)
+    t = m.weighted()
     g = t.groupBy("counterparty_country").agg(
         F.sum("w").alias("transaction_count"), F.sum(F.col("amount_usd") * F.col("w")).alias("_usd"),
         F.sum("n_alerts").alias("alert_count"))
@@ -216,7 +209,7 @@ def h10_geographic(m: Monitor, k: int = 40) -> DataFrame:
 
 
 def h11_top_customers(m: Monitor, k: int = 20) -> DataFrame:
-    t = with_alert_weights(m.wide, m.alerts)
+    t = m.weighted()
     g = t.groupBy("customer_id").agg(
         F.sum("n_alerts").alias("total_alerts"), F.max("score_max").alias("_mx"), F.sum("score_sum").alias("_s"),
         F.count("*").alias("total_transactions"), F.sum(F.col("amount_usd") * F.col("w")).alias("_usd"))
@@ -244,8 +237,7 @@ def x01_transactions_export(m: Monitor) -> DataFrame:
 
 def x02_alerts_export(m: Monitor) -> DataFrame:
     a = _alert_rows(m)
-    s = m.alert_scores.withColumnRenamed("alert_id", "_aid")
-    return a.join(s, a["alert_id"] == s["_aid"], "left").select(
+    return a.select(
         "alert_id", "score", "status", "created_date", "resolved_date", "rule_name", "category", "severity",
         "transaction_id", "transaction_type", "amount", "currency", "timestamp", "counterparty_country",
         "customer_id", "customer_name", "risk_rating", "customer_type", "pep_status", "rule_score",
@@ -253,7 +245,7 @@ def x02_alerts_export(m: Monitor) -> DataFrame:
 
 
 def x03_customer_risk_summary(m: Monitor) -> DataFrame:
-    t = with_alert_weights(m.wide, m.alerts).groupBy("customer_id").agg(
+    t = m.weighted().groupBy("customer_id").agg(
         F.count("*").alias("transaction_count"), F.sum(F.col("amount_usd") * F.col("w")).alias("_usd"),
         F.sum("n_alerts").alias("total_alerts"), F.max("score_max").alias("_mx"), F.sum("score_sum").alias("_s"))
     n_acc = m.accounts.groupBy("customer_id").agg(F.count("*").alias("account_count"))

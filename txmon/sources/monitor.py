@@ -19,8 +19,9 @@ from txmon.functions.money import MONEY
 from txmon.functions.timefn import trunc_seconds
 from txmon.sources.driver import read_table
 
-LEDGER_BASE = 1_000_000          # ledger account id = LEDGER_BASE + c_custkey
-ORDER_TXN_BASE = 1_000_000_000   # order transaction id = ORDER_TXN_BASE + o_orderkey
+# Two sources share one id space: its blocks of this many ids belong to them in turn.
+LEDGER_BASE = 1_000_000          # accounts: even blocks from events, odd blocks from the ledger
+ORDER_TXN_BASE = 1_000_000_000   # transactions: even blocks from events, odd blocks from orders
 
 ACCOUNT_TYPES = ["checking", "savings", "business", "investment", "crypto"]
 EVENT_TYPE_MAP = {"purchase": "wire_out", "view": "wire_in", "signup": "cash_deposit",
@@ -30,6 +31,21 @@ PRIORITY_TYPE_MAP = {"1": "wire_out", "2": "wire_in", "3": "deposit", "4": "cash
 COUNTERPARTY_TYPES = ("wire_out", "wire_in", "transfer_out")
 
 
+def even_space(key: Column, block: int) -> Column:
+    """``key`` moved to the even blocks; keys of the first block stay as they are."""
+    k = key.cast("bigint")
+    return k * 2 - F.pmod(k, F.lit(block).cast("bigint"))
+
+
+def odd_space(key: Column, block: int) -> Column:
+    """``key`` moved to the odd blocks, which no ``even_space`` key reaches."""
+    return even_space(key, block) + F.lit(block).cast("bigint")
+
+
+def is_odd_space(moved: Column, block: int) -> Column:
+    return F.pmod(moved, F.lit(2 * block).cast("bigint")) >= block
+
+
 def padded(key: Column, width: int) -> Column:
     """The number with leading zeros up to ``width`` digits; longer numbers stay whole."""
     text = key.cast("string")
@@ -102,10 +118,10 @@ def build_accounts(events: DataFrame, customer: DataFrame) -> DataFrame:
     users = events.select("user_id").distinct()
     uid = F.col("user_id")
     event_acc = users.select(*_account_cols(
-        uid, F.floor(uid / 2).cast("bigint"), uid,
+        even_space(uid, LEDGER_BASE), F.floor(uid / 2).cast("bigint"), uid,
         F.date_add(F.lit("2023-11-01").cast("date"), (uid % 60).cast("int"))))
     ck = F.col("c_custkey")
-    aid = F.lit(LEDGER_BASE).cast("bigint") + ck
+    aid = odd_space(ck, LEDGER_BASE)
     ledger = customer.filter(ck % 10 != 9).select(*_account_cols(
         aid, ck, ck, F.date_add(F.lit("1994-10-01").cast("date"), (aid % 400).cast("int"))))
     return event_acc.unionByName(ledger)
@@ -132,8 +148,8 @@ def _with_counterparty_and_channel(df: DataFrame) -> DataFrame:
 def build_transactions(events: DataFrame, orders: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     ev = events.select(
-        eid.alias("id"),
-        F.col("user_id").alias("account_id"),
+        even_space(eid, ORDER_TXN_BASE).alias("id"),
+        even_space(F.col("user_id"), LEDGER_BASE).alias("account_id"),
         _case(F.col("event_type"), EVENT_TYPE_MAP).alias("transaction_type"),
         (F.col("value").cast(MONEY) * 200).cast(MONEY).alias("amount"),
         currency_of(F.col("user_id")).alias("currency"),
@@ -145,8 +161,8 @@ def build_transactions(events: DataFrame, orders: DataFrame) -> DataFrame:
     ok = F.col("o_orderkey")
     price = F.col("o_totalprice")
     od = orders.filter(F.col("o_custkey") % 10 != 9).select(  # orders without a ledger account drop
-        (F.lit(ORDER_TXN_BASE).cast("bigint") + ok).alias("id"),
-        (F.lit(LEDGER_BASE).cast("bigint") + F.col("o_custkey")).alias("account_id"),
+        odd_space(ok, ORDER_TXN_BASE).alias("id"),
+        odd_space(F.col("o_custkey"), LEDGER_BASE).alias("account_id"),
         _case(F.substring("o_orderpriority", 1, 1), PRIORITY_TYPE_MAP).alias("transaction_type"),
         F.when(ok % 20 == 0, F.floor(price / 1000) * 1000 + 1000).otherwise(price.cast(MONEY))
         .cast(MONEY).alias("amount"),

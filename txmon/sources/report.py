@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from txmon.operators.joins import broadcast_if_small
 from txmon.sources.driver import read_table
-from txmon.sources.monitor import ORDER_TXN_BASE, load_monitor_sources, padded
+from txmon.sources.monitor import ORDER_TXN_BASE, is_odd_space, load_monitor_sources, padded
 
 AS_OF = "2024-01-31"
 
@@ -126,7 +126,7 @@ def load_report(spark: SparkSession, sf_dir: str) -> Report:
         aid.alias("_aid"), F.col("customer_id").alias("_cid"))
 
     tid = F.col("id")
-    tdate = F.when(tid >= ORDER_TXN_BASE, F.timestamp_add("MINUTE", (tid * 37) % 1440, F.col("timestamp"))
+    tdate = F.when(is_odd_space(tid, ORDER_TXN_BASE), F.timestamp_add("MINUTE", (tid * 37) % 1440, F.col("timestamp"))
                    ).otherwise(F.col("timestamp"))
     tx = src.transactions.withColumn("_td", tdate)
     ttype = None
