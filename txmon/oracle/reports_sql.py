@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from txmon.oracle.monitor_sql import R
-from txmon.oracle.report_sql import rsql
+from txmon.oracle.report_sql import RULE_FIGURES, rsql
 
 SEV = "CASE severity WHEN 'critical' THEN 1 WHEN 'high' THEN 2 WHEN 'medium' THEN 3 WHEN 'low' THEN 4 ELSE 5 END"
 ACTIVE = "('new', 'under_review', 'escalated')"
@@ -53,13 +53,13 @@ c AS (SELECT r.rule_category, strftime(a.created_at, '%Y-%m') AS month, COUNT(*)
 SELECT g.rule_category, g.month, CAST(COALESCE(c.n, 0) AS BIGINT) AS alerts
 FROM grid g LEFT JOIN c ON c.rule_category = g.rule_category AND c.month = g.month""")
 
-RP["g1_rule_quadrants"] = rsql(f"""
+RP["g1_rule_quadrants"] = rsql(RULE_FIGURES + f"""
 SELECT rule_id, rule_name, rule_category, {R('precision_score', 4)} AS precision, {R('recall_score', 4)} AS recall,
        {R('2 * precision_score * recall_score / (precision_score + recall_score + 0.0001)', 4)} AS f1,
        CASE WHEN precision_score >= 0.65 AND recall_score >= 0.65 THEN 'Champion'
             WHEN precision_score < 0.65 AND recall_score >= 0.65 THEN 'Noisy'
             WHEN precision_score >= 0.65 AND recall_score < 0.65 THEN 'Conservative' ELSE 'Needs Review' END AS quadrant
-FROM r_rules""")
+FROM figures""")
 
 RP["c1_risk_distribution"] = rsql(f"""
 , vol AS (SELECT customer_id, SUM(amount) AS v FROM r_txc GROUP BY 1)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from txmon.functions.money import rnd
 from txmon.functions.timefn import floor_days, micros, monday_week_key, month_key, ts_lit
+from txmon.plans.showcase import rule_figures
 from txmon.sources.report import Report
 
 SEVERITY_RANK = {"critical": 1, "high": 2, "medium": 3, "low": 4}
@@ -88,7 +89,7 @@ def g1_rule_quadrants(r: Report, cut: float = 0.65) -> DataFrame:
     p, q = F.col("precision_score"), F.col("recall_score")
     quad = (F.when((p >= cut) & (q >= cut), "Champion").when((p < cut) & (q >= cut), "Noisy")
             .when((p >= cut) & (q < cut), "Conservative").otherwise("Needs Review"))
-    return r.rules.select("rule_id", "rule_name", "rule_category", rnd(p, 4).alias("precision"),
+    return rule_figures(r).select("rule_id", "rule_name", "rule_category", rnd(p, 4).alias("precision"),
                           rnd(q, 4).alias("recall"), rnd(2 * p * q / (p + q + 0.0001), 4).alias("f1"),
                           quad.alias("quadrant"))
 

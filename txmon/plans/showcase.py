@@ -153,10 +153,27 @@ def k09_three_way(r: Report) -> DataFrame:
                     "confirmed_count").orderBy(F.desc("total_flagged"), "rule_category", "severity", "status").limit(10)
 
 
+def rule_figures(r: Report) -> DataFrame:
+    """The rule catalogue with figures counted from the alerts: precision is the share of true positives
+    among the decided, recall their share among the confirmed or escalated; 0 without any."""
+    status = lambda s: F.sum((F.col("status") == s).cast("int")).cast("int")
+    per = r.alerts.groupBy("rule_id").agg(
+        F.count("*").cast("int").alias("total_alerts_generated"), status("true_positive").alias("true_positives"),
+        status("false_positive").alias("false_positives"), status("escalated").alias("_escalated"))
+    rules = r.rules.select("rule_id", "rule_name", "rule_category", "enabled")
+    n = {c: F.coalesce(F.col(c), F.lit(0)) for c in
+         ("total_alerts_generated", "true_positives", "false_positives", "_escalated")}
+    tp, fp, esc = (n[c].cast("double") for c in ("true_positives", "false_positives", "_escalated"))
+    share = lambda part, rest: F.coalesce(F.try_divide(part, part + rest), F.lit(0.0))
+    return rules.join(per, "rule_id", "left").select(
+        "rule_id", "rule_name", "rule_category", "enabled", *[n[c].alias(c) for c in list(n)[:3]],
+        share(tp, fp).alias("precision_score"), share(tp, esc).alias("recall_score"))
+
+
 def k10_rule_f1(r: Report) -> DataFrame:
     p, q = F.col("precision_score"), F.col("recall_score")
     tp, fp = F.col("true_positives"), F.col("false_positives")
-    return (r.rules.filter("enabled = 1").select(
+    return (rule_figures(r).filter("enabled = 1").select(
         "rule_id", "rule_name", "rule_category", "true_positives", "false_positives", "total_alerts_generated",
         rnd(tp.cast("double") / (tp + fp + 0.0001), 4).alias("precision_sql"),
         rnd(p, 4).alias("precision_stored"), rnd(q, 4).alias("recall_stored"),
