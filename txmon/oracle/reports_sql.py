@@ -106,3 +106,30 @@ SELECT MAX(transaction_date) AS latest,
        CAST(floor((epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(MAX(transaction_date))) / 86400000000.0)
             AS BIGINT) AS freshness_days
 FROM r_transactions""")
+
+RP["m4_top_alerts"] = rsql(f"""
+, place AS (SELECT *, row_number() OVER (ORDER BY {SEV}, flagged_amount DESC, alert_id) AS i FROM r_alerts)
+SELECT p.alert_id, p.created_at, p.customer_id, (SELECT name FROM r_customers c WHERE c.customer_id = p.customer_id) AS customer_name,
+       r.rule_name, r.rule_category, {R('p.flagged_amount', 2)} AS flagged_amount, p.severity, p.status
+FROM place p JOIN r_rules r USING (rule_id) WHERE i <= 5""")
+
+RP["c5_kyc_distribution"] = rsql("""
+SELECT DISTINCT kyc_status, COUNT(*) OVER (PARTITION BY kyc_status) AS customers FROM r_customers""")
+
+RP["c6_pep_sanctions"] = rsql("""
+SELECT COUNT(*) FILTER (WHERE pep_flag = 1) AS pep_count, COUNT(*) FILTER (WHERE sanctions_flag = 1) AS sanctions_count,
+       COUNT(*) FILTER (WHERE pep_flag = 1 AND risk_rating = 'critical') AS pep_critical,
+       COUNT(*) FILTER (WHERE pep_flag = 1 AND risk_rating = 'high') AS pep_high,
+       COUNT(*) FILTER (WHERE sanctions_flag = 1 AND risk_rating = 'critical') AS sanctions_critical,
+       COUNT(*) FILTER (WHERE sanctions_flag = 1 AND risk_rating = 'high') AS sanctions_high
+FROM r_customers""")
+
+RP["v3_top_rules"] = rsql("""
+, n AS (SELECT r.rule_name, (SELECT COUNT(*) FROM r_alerts a WHERE a.rule_id = r.rule_id) AS alerts FROM r_rules r)
+SELECT rule_name, alerts FROM n WHERE alerts > 0 ORDER BY alerts DESC, rule_name LIMIT 10""")
+
+RP["v5_workload"] = rsql("""
+, named AS (SELECT CASE WHEN assigned_to IS NULL THEN 'Unassigned' ELSE assigned_to END AS analyst, status FROM r_alerts)
+SELECT analyst, COUNT(*) AS alerts, COUNT(*) FILTER (WHERE status = 'true_positive') AS true_positives,
+       COUNT(*) FILTER (WHERE status = 'false_positive') AS false_positives
+FROM named GROUP BY analyst ORDER BY alerts DESC, analyst LIMIT 8""")

@@ -154,7 +154,51 @@ def d05_freshness(r: Report) -> DataFrame:
         "latest", floor_days(ts_lit(f"{r.as_of} 00:00:00"), "latest").alias("freshness_days"))
 
 
+def m4_top_alerts(r: Report, k: int = 5) -> DataFrame:
+    """The worst alerts: by severity, then flagged amount."""
+    rules = F.broadcast(r.rules.select("rule_id", "rule_name", "rule_category"))  # bounded catalogue
+    names = r.customers.select("customer_id", F.col("name").alias("customer_name"))
+    top = r.alerts.orderBy(_sev_rank(F.col("severity")), F.desc("flagged_amount"), "alert_id").limit(k)
+    return top.join(rules, "rule_id").join(names, "customer_id").select(
+        "alert_id", "created_at", "customer_id", "customer_name", "rule_name", "rule_category",
+        rnd("flagged_amount", 2).alias("flagged_amount"), "severity", "status")
+
+
+def c5_kyc_distribution(r: Report) -> DataFrame:
+    return r.customers.groupBy("kyc_status").agg(F.count("*").alias("customers"))
+
+
+def c6_pep_sanctions(r: Report) -> DataFrame:
+    """Counts of exposed and sanctioned customers, in all and by the two upper ratings."""
+    def both(flag: str, rating: str):
+        return F.sum(((F.col(flag) == 1) & (F.col("risk_rating") == rating)).cast("int")).cast("bigint")
+    return r.customers.agg(
+        F.sum("pep_flag").cast("bigint").alias("pep_count"), F.sum("sanctions_flag").cast("bigint").alias("sanctions_count"),
+        *[both(flag, rating).alias(f"{name}_{rating}") for name, flag in (("pep", "pep_flag"), ("sanctions", "sanctions_flag"))
+          for rating in ("critical", "high")])
+
+
+def v5_workload(r: Report, k: int = 8) -> DataFrame:
+    """Alerts per analyst, those without one together."""
+    s = F.col("status")
+    return (r.alerts.groupBy(F.coalesce("assigned_to", F.lit("Unassigned")).alias("analyst")).agg(
+        F.count("*").alias("alerts"), F.sum((s == "true_positive").cast("int")).cast("bigint").alias("true_positives"),
+        F.sum((s == "false_positive").cast("int")).cast("bigint").alias("false_positives"))
+        .orderBy(F.desc("alerts"), "analyst").limit(k))
+
+
+def v3_top_rules(r: Report, k: int = 10) -> DataFrame:
+    rules = F.broadcast(r.rules.select("rule_id", "rule_name"))  # bounded catalogue
+    return (r.alerts.groupBy("rule_id").agg(F.count("*").alias("alerts")).join(rules, "rule_id")
+            .select("rule_name", "alerts").orderBy(F.desc("alerts"), "rule_name").limit(k))
+
+
 ALL = {
+    "m4_top_alerts": m4_top_alerts,
+    "c5_kyc_distribution": c5_kyc_distribution,
+    "c6_pep_sanctions": c6_pep_sanctions,
+    "v3_top_rules": v3_top_rules,
+    "v5_workload": v5_workload,
     "m1_month_over_month": m1_month_over_month,
     "m2_filing": m2_filing,
     "m3_by_severity": m3_by_severity,
