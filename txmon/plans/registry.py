@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txmon.operators.rules import rule_summary
 from txmon.plans import monitor_queries as MQ
+from txmon.operators import expectations as BX
 from txmon.operators import quality as DQ
 from txmon.operators.graph import shared_counterparty_components
 from txmon.plans import detectors as ZQ
@@ -77,6 +78,7 @@ MONITOR: dict[str, Callable[[Monitor], DataFrame]] = {
     "rule_performance": MQ.rule_performance_table,
     **MQ.ALL,
     **HQ.ALL,
+    **BX.ALL,
     "n2_rolling_cash_deposits": ZQ.n2_rolling_cash_deposits,
     "n3_tuned_dormant": ZQ.n3_tuned_dormant,
     "n4_score_decay": ZQ.n4_score_decay,
@@ -105,11 +107,12 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     from txmon.oracle.monitor_queries_sql import Q
     from txmon.oracle.detector_sql import D
+    from txmon.oracle.expectations_sql import B
     from txmon.oracle.quality_sql import DQ as DQS
     from txmon.oracle.readmodel_sql import H
     from txmon.oracle.report_sql import K
     from txmon.oracle.reports_sql import RP
-    return {**Q, **K, **H, **D, **DQS, **RP}
+    return {**Q, **K, **H, **D, **DQS, **RP, **B}
 
 
 # Queries timed by bench.py (monitor model, over materialized tables).
