@@ -11,8 +11,10 @@ from txmon.operators.rules import rule_summary
 from txmon.plans import monitor_queries as MQ
 from txmon.operators import expectations as BX
 from txmon.operators import quality as DQ
+from txmon.operators import timeliness as TQ
 from txmon.operators.graph import shared_counterparty_components
 from txmon.plans import detectors as ZQ
+from txmon.plans import diligence as CQ
 from txmon.plans import readmodels as HQ
 from txmon.plans import reports as RQ
 from txmon.plans import showcase as KQ
@@ -95,6 +97,8 @@ REPORT: dict[str, Callable[[Report], DataFrame]] = {
     "dq_consistency_score": DQ.consistency_score,
     "dq_missing_months": DQ.missing_months,
     **RQ.ALL,
+    **TQ.ALL,
+    **CQ.ALL,
 }
 
 
@@ -107,12 +111,14 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     from txmon.oracle.monitor_queries_sql import Q
     from txmon.oracle.detector_sql import D
+    from txmon.oracle.diligence_sql import DD
     from txmon.oracle.expectations_sql import B
     from txmon.oracle.quality_sql import DQ as DQS
     from txmon.oracle.readmodel_sql import H
     from txmon.oracle.report_sql import K
     from txmon.oracle.reports_sql import RP
-    return {**Q, **K, **H, **D, **DQS, **RP, **B}
+    from txmon.oracle.timeliness_sql import T
+    return {**Q, **K, **H, **D, **DQS, **RP, **B, **T, **DD}
 
 
 # Queries timed by bench.py (monitor model, over materialized tables).
