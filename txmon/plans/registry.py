@@ -13,6 +13,7 @@ from txmon.operators import expectations as BX
 from txmon.operators import quality as DQ
 from txmon.operators import timeliness as TQ
 from txmon.operators.graph import shared_counterparty_components
+from txmon.plans import context as YQ
 from txmon.plans import detectors as ZQ
 from txmon.plans import diligence as CQ
 from txmon.plans import readmodels as HQ
@@ -99,6 +100,7 @@ REPORT: dict[str, Callable[[Report], DataFrame]] = {
     **RQ.ALL,
     **TQ.ALL,
     **CQ.ALL,
+    **YQ.ALL,
 }
 
 
@@ -110,6 +112,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     from txmon.oracle.monitor_queries_sql import Q
+    from txmon.oracle.context_sql import Y
     from txmon.oracle.detector_sql import D
     from txmon.oracle.diligence_sql import DD
     from txmon.oracle.expectations_sql import B
@@ -118,7 +121,7 @@ def oracle_sql() -> dict[str, str]:
     from txmon.oracle.report_sql import K
     from txmon.oracle.reports_sql import RP
     from txmon.oracle.timeliness_sql import T
-    return {**Q, **K, **H, **D, **DQS, **RP, **B, **T, **DD}
+    return {**Q, **K, **H, **D, **DQS, **RP, **B, **T, **DD, **Y}
 
 
 # Queries timed by bench.py (monitor model, over materialized tables).
