@@ -89,3 +89,38 @@ def test_read_model_pages(spark):
     assert len(ids[0]) == len(ids[1]) == 20 and not set(ids[0]) & set(ids[1])
     filtered = HQ.h02_transactions(m, txn_type="wire_out", min_amount=1000, per_page=20).collect()
     assert filtered and all(r["transaction_type"] == "wire_out" and r["amount"] >= 1000 for r in filtered)
+
+
+def test_new_countries_and_global_ranks(spark):
+    from txmon.operators.ranking import global_percent_rank
+    from txmon.operators.timeliness import new_countries
+    from txmon.sources.report import Report
+
+    tx = spark.createDataFrame(
+        [("N01", dt.datetime(2023, 5, 1), 1.0), ("N01", dt.datetime(2024, 1, 20), 1.0), ("N02", dt.datetime(2024, 1, 1), 2.5),
+         ("N02", dt.datetime(2024, 1, 9), 2.5), ("N77", dt.datetime(2024, 1, 30), 4.0), (None, dt.datetime(2024, 1, 30), 4.0)],
+        "counterparty_country string, transaction_date timestamp_ntz, amount double")
+    risk = spark.createDataFrame([("N01", "low"), ("N02", "high")], "country_code string, risk_level string")
+    got = new_countries(Report(risk, None, None, tx, None, None))
+    assert sorted(map(tuple, got.collect())) == [("N02", "2024-01-01", 2, 5.0, "high"), ("N77", "2024-01-30", 1, 4.0, "Unknown")]
+    ranks = global_percent_rank(spark.createDataFrame([(v,) for v in (1, 1, 1, 2, 5)], "v int"), "v")
+    assert sorted((r["v"], r["percent_rank"]) for r in ranks.collect()) == [(1, 0.0)] * 3 + [(2, 0.75), (5, 1.0)]
+
+
+def test_rapid_movement_takes_the_latest_credit(spark):
+    from txmon.functions.timefn import US_PER_HOUR
+    from txmon.plans.detectors import z03_rapid_movement, z13_layering
+
+    h = US_PER_HOUR
+    t = spark.createDataFrame(
+        [("A", "c1", "credit", 1 * h, 100.0), ("A", "c2", "credit", 5 * h, 10.0), ("A", "o1", "wire", 7 * h, 9.0),
+         ("A", "o2", "wire", 4 * h, 50.0), ("A", "o3", "wire", 5 * h, 90.0), ("A", "o4", "wire", 12 * h, 99.0),
+         ("B", "o5", "wire", 7 * h, 99.0), ("A", "o6", "wire", 11 * h, 8.0)],
+        "account_id string, transaction_id string, transaction_type string, us long, amount double")
+    assert sorted(r["transaction_id"] for r in z03_rapid_movement(t, None).collect()) == ["o1", "o3", "o6"]
+    legs = spark.createDataFrame(
+        [("P", "A", "a", 1 * h, 100.0), ("P", "B", "b", 2 * h, 104.9), ("P", "C", "c", 20 * h, 100.0), ("P", "A", "d", 3 * h, 105.0),
+         ("Q", "A", "e", 1 * h, 100.0), ("Q", "B", "f", 2 * h, 106.0), ("Q", "C", "g", 3 * h, 106.0)],
+        "counterparty_name string, account_id string, transaction_id string, us long, amount double").withColumn(
+        "transaction_type", F.lit("wire"))
+    assert sorted(r["transaction_id"] for r in z13_layering(legs, None).collect()) == ["c"]

@@ -25,7 +25,7 @@ _Z = {
     3: f"""SELECT o.transaction_id FROM zt o JOIN zt c
              ON c.account_id = o.account_id AND c.transaction_type = 'credit' AND o.transaction_type <> 'credit'
             AND o.us > c.us AND o.us - c.us <= {H6}
-           GROUP BY o.transaction_id, o.amount HAVING o.amount >= arg_max(c.amount, c.us) * 0.8""",
+           GROUP BY o.transaction_id, o.amount HAVING o.amount >= arg_max(c.amount, row(c.us, c.transaction_id)) * 0.8""",
     4: """SELECT transaction_id FROM zt WHERE transaction_type = 'wire'
            AND counterparty_country IN (SELECT country_code FROM r_country WHERE fatf_status IN ('black_list', 'grey_list'))""",
     5: """SELECT transaction_id FROM zt WHERE (amount >= 1000 AND amount % 1000 = 0) OR (amount >= 500 AND amount % 100 = 0)
@@ -60,10 +60,13 @@ _Z = {
 
 D = {}
 
-D["z_detection_counts"] = sql(REPORT_CTES + ZT + """
+HITS = REPORT_CTES + ZT + """
 , legs AS (SELECT * FROM zt WHERE transaction_type IN ('transfer', 'wire') AND counterparty_name IS NOT NULL),
 small AS (SELECT *, CAST(transaction_date AS DATE) AS d FROM zt WHERE transaction_type = 'credit' AND amount < 3000),
-hits AS (""" + " UNION ALL ".join(f"SELECT {k} AS rule_id, transaction_id FROM ({q})" for k, q in _Z.items()) + """)
+hits AS (""" + " UNION ALL ".join(f"SELECT {k} AS rule_id, transaction_id FROM ({q})" for k, q in _Z.items()) + ")"
+
+D["z_detections"] = sql(HITS + "\nSELECT rule_id, transaction_id FROM hits")
+D["z_detection_counts"] = sql(HITS + """
 SELECT r.rule_id, r.rule_name, CAST(COUNT(h.transaction_id) AS BIGINT) AS hits
 FROM r_rules r LEFT JOIN hits h ON h.rule_id = r.rule_id GROUP BY 1, 2""")
 

@@ -92,12 +92,17 @@ SELECT f.*, tot.total, CAST(floor((tot.total + 49) / 50) AS BIGINT) AS pages
 FROM f CROSS JOIN tot ORDER BY score DESC, created_date DESC, alert_id LIMIT 50 OFFSET 0""")
 
 H["h04_alert_detail"] = sql(ALERT_ROWS + """
+, more AS (SELECT id, counterparty_name, is_large_cash, CAST(amount_velocity_24h AS DOUBLE) AS amount_velocity_24h, account_age_days
+           FROM wide_m),
+described AS (SELECT id AS rid, description AS rule_description FROM rules_m)
+SELECT ar.*, d.rule_description, w.* EXCLUDE (id) FROM (
 SELECT alert_id, transaction_id, rule_id, score, status, rule_name, category, severity, account_id, customer_id,
        customer_name, customer_type, risk_rating, kyc_status, pep_status, customer_country, transaction_type, amount,
        currency, amount_usd, timestamp, counterparty_account, counterparty_country, channel, velocity_1h,
        velocity_24h, velocity_7d, country_risk_score, is_new_counterparty, is_round_amount, rule_score,
-       customer_risk_score, geographic_risk_score, behavioral_score, composite_score
-FROM ar""")
+       customer_risk_score, geographic_risk_score, behavioral_score, composite_score,
+       TIMESTAMP '2025-01-01' AS created_date, CAST(NULL AS TIMESTAMP) AS resolved_date, CAST(NULL AS VARCHAR) AS notes FROM ar) ar
+JOIN more w ON w.id = ar.transaction_id JOIN described d ON d.rid = ar.rule_id""")
 
 H["h06_rules"] = sql(f"""
 SELECT r.id, r.name, r.description, r.category, CAST(r.severity AS DOUBLE) AS severity, r.is_active,

@@ -11,7 +11,9 @@ account's history is gathered into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txmon.functions.money import is_round_usd, rnd
@@ -51,14 +53,20 @@ def z02_structuring_24h(t, r, lo=9500, hi=10000, min_count=2):
 
 
 def z03_rapid_movement(t, r, hours=6, share=0.8):
-    """Outflow within ``hours`` after the latest earlier credit on the account, amount >= share of it."""
-    cred = t.filter(F.col("transaction_type") == "credit").select(
-        "account_id", F.col("us").alias("c_us"), F.col("amount").alias("c_amt"))
-    out = t.filter(F.col("transaction_type") != "credit").select(
-        "account_id", "transaction_id", F.col("us").alias("o_us"), F.col("amount").alias("o_amt"))
-    pairs = time_band_self_join(cred, out, ["account_id"], "c_us", "o_us", hours * US_PER_HOUR)
-    latest = pairs.groupBy("transaction_id", "o_amt").agg(F.max_by("c_amt", "c_us").alias("_in"))
-    return _hits(latest.filter(F.col("o_amt") >= F.col("_in") * share), 3)
+    """Outflow within ``hours`` after the latest earlier credit on the account, amount >= share of it.
+
+    Credits stand in their own time bucket and the next, so the latest one before an outflow is a
+    running maximum inside a bucket; of credits at one time the one with the largest id counts.
+    """
+    width = hours * US_PER_HOUR
+    bucket = F.floor(F.col("us") / F.lit(width)).cast("bigint")
+    credit = F.col("transaction_type") == "credit"
+    rows = t.withColumn("_b", F.explode(F.when(credit, F.array(bucket, bucket + 1)).otherwise(F.array(bucket)))).select(
+        "account_id", "_b", "us", "transaction_id", "amount", credit.alias("_credit"))
+    before = Window.partitionBy("account_id", "_b").orderBy("us").rangeBetween(Window.unboundedPreceding, -1)
+    last = F.max(F.when(F.col("_credit"), F.struct("us", "transaction_id", "amount"))).over(before)
+    out = rows.withColumn("_last", last).where(~F.col("_credit") & (F.col("us") - F.col("_last.us") <= width))
+    return _hits(out.where(F.col("amount") >= F.col("_last.amount") * share), 3)
 
 
 def z04_listed_country_wire(t, r):
@@ -125,14 +133,23 @@ def z13_layering(t, r, hours=24, tolerance=0.05):
     def close(a, b):
         return F.abs(F.col(f"{b}_amt") - F.col(f"{a}_amt")) <= F.col(f"{a}_amt") * tolerance
 
-    a, b = side("a"), side("b")
-    ab = time_band_self_join(a, b, ["cp"], "a_us", "b_us", hours * US_PER_HOUR)
-    ab = ab.filter((F.col("a_acct") != F.col("b_acct")) & close("a", "b")).select(
-        a["cp"], "a_acct", "b_id", "b_acct", "b_us", "b_amt")
-    c = side("c")
-    abc = time_band_self_join(ab, c, ["cp"], "b_us", "c_us", hours * US_PER_HOUR)
-    abc = abc.filter((F.col("c_acct") != F.col("b_acct")) & (F.col("c_acct") != F.col("a_acct")) & close("b", "c"))
-    return _hits(abc.select(F.col("c_id").alias("transaction_id")).distinct(), 13)
+    # amounts within the tolerance lie in neighbouring bands of a logarithmic scale
+    width = max(math.log1p(tolerance), -math.log1p(-tolerance))
+
+    def band(p):
+        return F.when(F.col(f"{p}_amt") > 0, F.floor(F.ln(F.col(f"{p}_amt")) / width)).otherwise(-10 ** 6).cast("bigint")
+
+    def follow(left, p, q):
+        near = left.withColumn("band", F.explode(F.array(band(p) - 1, band(p), band(p) + 1)))
+        right = side(q).withColumn("band", band(q))
+        pairs = time_band_self_join(near, right, ["cp", "band"], f"{p}_us", f"{q}_us", hours * US_PER_HOUR)
+        return pairs.where((F.col(f"{p}_acct") != F.col(f"{q}_acct")) & close(p, q)).drop(near["cp"], near["band"])
+
+    # two different first accounts are enough to know whether one differs from the third
+    second = follow(side("a"), "a", "b").groupBy("cp", "b_id", "b_acct", "b_us", "b_amt").agg(
+        F.min("a_acct").alias("a_min"), F.max("a_acct").alias("a_max"))
+    third = follow(second, "b", "c").where((F.col("a_min") != F.col("c_acct")) | (F.col("a_max") != F.col("c_acct")))
+    return _hits(third.select(F.col("c_id").alias("transaction_id")).distinct(), 13)
 
 
 def z14_smurfing(t, r, under=3000, min_accounts=2):
@@ -161,6 +178,11 @@ def detections(r: Report) -> DataFrame:
     return out
 
 
+def z_detections(r: Report) -> DataFrame:
+    """The hits themselves: (rule_id, transaction_id)."""
+    return detections(r)
+
+
 def detection_counts(r: Report) -> DataFrame:
     d = detections(r).groupBy("rule_id").agg(F.count("*").alias("hits"))
     rules = r.rules.select("rule_id", "rule_name")

@@ -45,7 +45,7 @@ class Monitor:
         """Alerts with score breakdown, rule and transaction attributes; the hits carry them, so only the
         rule catalogue is joined."""
         r = F.broadcast(self.rules.select(F.col("id").alias("_rid"), F.col("name").alias("rule_name"),
-                                          "category", "severity"))  # bounded: rule catalog
+                                          F.col("description").alias("rule_description"), "category", "severity"))  # bounded: rule catalog
         keep = [c for c in self.wide.columns if c not in ("id", "transaction_id", "status", "created_at")]
         a = alert_rows(self.fired, *keep)
         return a.join(r, a["rule_id"] == r["_rid"]).drop("_rid")

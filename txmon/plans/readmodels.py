@@ -114,7 +114,9 @@ def h04_alert_detail(m: Monitor) -> DataFrame:
         F.col("amount_usd").cast("double").alias("amount_usd"), "timestamp", "counterparty_account",
         "counterparty_country", "channel", "velocity_1h", "velocity_24h", "velocity_7d", "country_risk_score",
         "is_new_counterparty", "is_round_amount", "rule_score", "customer_risk_score", "geographic_risk_score",
-        "behavioral_score", "composite_score")
+        "behavioral_score", "composite_score", "created_date", "resolved_date", "notes", "rule_description",
+        "counterparty_name", "is_large_cash", F.col("amount_velocity_24h").cast("double").alias("amount_velocity_24h"),
+        "account_age_days")
 
 
 def h05_customer_profiles(m: Monitor, n_txns: int = 20, n_alerts: int = 10) -> DataFrame:

@@ -16,6 +16,8 @@ from txmon.operators.graph import shared_counterparty_components
 from txmon.plans import context as YQ
 from txmon.plans import detectors as ZQ
 from txmon.plans import diligence as CQ
+from txmon.plans import executive as VQ
+from txmon.plans import profile as PQ
 from txmon.plans import readmodels as HQ
 from txmon.plans import reports as RQ
 from txmon.plans import showcase as KQ
@@ -82,6 +84,7 @@ MONITOR: dict[str, Callable[[Monitor], DataFrame]] = {
     **MQ.ALL,
     **HQ.ALL,
     **BX.ALL,
+    **PQ.ALL,
     "n2_rolling_cash_deposits": ZQ.n2_rolling_cash_deposits,
     "n3_tuned_dormant": ZQ.n3_tuned_dormant,
     "n4_score_decay": ZQ.n4_score_decay,
@@ -91,6 +94,7 @@ MONITOR: dict[str, Callable[[Monitor], DataFrame]] = {
 
 REPORT: dict[str, Callable[[Report], DataFrame]] = {
     **KQ.ALL,
+    "z_detections": ZQ.z_detections,
     "z_detection_counts": ZQ.detection_counts,
     "dq_completeness": DQ.completeness,
     "dq_completeness_score": DQ.completeness_score,
@@ -101,6 +105,7 @@ REPORT: dict[str, Callable[[Report], DataFrame]] = {
     **TQ.ALL,
     **CQ.ALL,
     **YQ.ALL,
+    **VQ.ALL,
 }
 
 
@@ -115,13 +120,15 @@ def oracle_sql() -> dict[str, str]:
     from txmon.oracle.context_sql import Y
     from txmon.oracle.detector_sql import D
     from txmon.oracle.diligence_sql import DD
+    from txmon.oracle.executive_sql import V
     from txmon.oracle.expectations_sql import B
+    from txmon.oracle.profile_sql import PF
     from txmon.oracle.quality_sql import DQ as DQS
     from txmon.oracle.readmodel_sql import H
     from txmon.oracle.report_sql import K
     from txmon.oracle.reports_sql import RP
     from txmon.oracle.timeliness_sql import T
-    return {**Q, **K, **H, **D, **DQS, **RP, **B, **T, **DD, **Y}
+    return {**Q, **K, **H, **D, **DQS, **RP, **B, **T, **DD, **Y, **V, **PF}
 
 
 # Queries timed by bench.py (monitor model, over materialized tables).
