@@ -294,6 +294,18 @@ def test_html_extract(spark):
     assert induce([])[1] == "content"
 
 
+def test_html_raw_ends_and_depth():
+    from txmon.llm.html_extract import DEPTH, extract
+    none = ["#root", "content", [], []]
+    turkish = "<article><p>" + "\u0130" * 40 + "</p><SCRIPT>x('</p>')</Script><p>first <b>bold</b></p><p>last</p></article>"
+    assert extract(turkish, none) == "\u0130" * 40 + " first bold last"
+    n = DEPTH + 50
+    deep = "<nav>" + "<div>" * n + "menu" + "</div>" * n + " more menu</nav><p>text</p>"
+    assert extract(deep, none) == "text"
+    inner = "<article><div>" + "<span>" * n + "<div>a</div>" + "</span>" * n + "b</div>c</article>d"
+    assert extract(inner, none).replace(" ", "") == "abc"
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
     docs = p.read(spark, "/root/testdata/sf0.001", "documents")
