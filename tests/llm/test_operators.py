@@ -306,6 +306,21 @@ def test_html_raw_ends_and_depth():
     assert extract(inner, none).replace(" ", "") == "abc"
 
 
+def test_html_class_words():
+    """A listed word in the class of an element that is or holds the article drops nothing of it."""
+    from txmon.llm.html_extract import extract
+    none = ["#root", "content", [], []]
+    for shell in ('<body class="has-sidebar">{}</body>', '<body class="no-sidebar cookie-notice">{}</body>', "<body class=sidebar>{}</body>",
+                  '<body><div id="main" class="related-wide">{}</div></body>', '<body><div class="widget">{}</div></body>'):
+        for article in ('<article class="post has-comments">{}</article>', '<article class="comments">{}</article>', "<main>{}</main>"):
+            page = shell.format("<div class=menu>m</div>" + article.format("text<div class='cookie-notice'>c</div><p class=ad>a</p>")
+                                + "<div class=related>r</div>")
+            assert extract(page, none) == "text", page
+    assert extract('<body class="has-sidebar"><p>plain</p><div class="menu">m</div></body>', none) == "plain"
+    assert extract("<article>one</article><div class=related><article>teaser</article></div>", none) == "one"
+    assert extract("<div class=main-menu>m</div><div class=main-content>one</div>", none) == "one"
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
     docs = p.read(spark, "/root/testdata/sf0.001", "documents")
