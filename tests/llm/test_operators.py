@@ -296,7 +296,7 @@ def test_html_extract(spark):
 
 def test_html_raw_ends_and_depth():
     from txmon.llm.html_extract import DEPTH, extract
-    none = ["#root", "content", [], []]
+    none = ["#root", "content", []]
     turkish = "<article><p>" + "\u0130" * 40 + "</p><SCRIPT>x('</p>')</Script><p>first <b>bold</b></p><p>last</p></article>"
     assert extract(turkish, none) == "\u0130" * 40 + " first bold last"
     n = DEPTH + 50
@@ -309,7 +309,7 @@ def test_html_raw_ends_and_depth():
 def test_html_class_words():
     """A listed word in the class of an element that is or holds the article drops nothing of it."""
     from txmon.llm.html_extract import extract
-    none = ["#root", "content", [], []]
+    none = ["#root", "content", []]
     for shell in ('<body class="has-sidebar">{}</body>', '<body class="no-sidebar cookie-notice">{}</body>', "<body class=sidebar>{}</body>",
                   '<body><div id="main" class="related-wide">{}</div></body>', '<body><div class="widget">{}</div></body>'):
         for article in ('<article class="post has-comments">{}</article>', '<article class="comments">{}</article>', "<main>{}</main>"):
@@ -321,6 +321,31 @@ def test_html_class_words():
     assert extract("<div class=main-menu>m</div><div class=main-content>one</div>", none) == "one"
 
 
+def test_html_template_of_all_pages(spark):
+    """Constant nodes are template in each of two layouts and beside an odd page; copies
+    and near copies of an article keep their text."""
+    from txmon.llm.html_extract import extract_text
+    body = lambda i: " ".join(f"w{i}x{j}" for j in range(30))
+    rows, want = [], {}
+
+    def add(host, html, text):
+        rows.append((len(rows), f"http://{host}/{len(rows)}", html))
+        want[len(rows) - 1] = text
+
+    for i in range(20):  # two layouts and an odd page in each
+        add("two.net", f"<div class=a><p>Site A</p><div>{body(i)}</div></div>", body(i))
+        add("two.net", f"<div class=b><h2>Site B</h2><div>{body(100 + i)}</div></div>", body(100 + i))
+    add("two.net", f"<div class=a><p>other</p><div>{body(900)}</div></div>", "other " + body(900))
+    add("two.net", "<table><tr><td>odd</td></tr></table>", "odd")
+    menu = "<div class=menu>" + "long menu " * 100 + "</div>"
+    for i in range(8):  # short articles under a long menu
+        add("short.net", f"{menu}<div><p>Site name</p><p>{body(i)}</p></div>", body(i))
+    for i in range(8):  # near copies
+        add("copy.net", f"<article><p>{body(1)}</p><p>{body(2)}</p><p>v{i}</p></article>", f"{body(1)} {body(2)} v{i}")
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {i: t for i, t in got.items() if t != want[i]} == {} and len(got) == len(rows)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
     docs = p.read(spark, "/root/testdata/sf0.001", "documents")
