@@ -322,7 +322,7 @@ def test_html_class_words():
 
 
 def test_html_template_of_all_pages(spark):
-    """Constant nodes are template in each of two layouts and beside an odd page; copies
+    """Constant nodes are template inside articles, in each of two layouts and beside an odd page; copies
     and near copies of an article keep their text."""
     from txmon.llm.html_extract import extract_text
     body = lambda i: " ".join(f"w{i}x{j}" for j in range(30))
@@ -332,6 +332,10 @@ def test_html_template_of_all_pages(spark):
         rows.append((len(rows), f"http://{host}/{len(rows)}", html))
         want[len(rows) - 1] = text
 
+    for i in range(10):  # inside a marked article: whole constant nodes go, constant words in a varying node stay
+        add("m.net", f"<article><p>Share this page</p><p>By <b>{body(i)}</b></p></article>", f"By {body(i)}")
+    for i in range(8):
+        add("m.net", "<article><p>Share this page</p><p>By <b>copy of one</b></p></article>", "By copy of one")
     for i in range(20):  # two layouts and an odd page in each
         add("two.net", f"<div class=a><p>Site A</p><div>{body(i)}</div></div>", body(i))
         add("two.net", f"<div class=b><h2>Site B</h2><div>{body(100 + i)}</div></div>", body(100 + i))
