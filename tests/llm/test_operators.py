@@ -218,6 +218,26 @@ def test_ann(spark):
     assert [i for _, i, _ in sorted(got[60])] == [50, 51, 52, 53, 54]
 
 
+def test_ann_finds_all_there_are(spark):
+    """Tables of 2 to 6 rows, and queries opposite to a tight cluster that holds all other rows."""
+    from txmon.llm.ann import search
+    rng = np.random.default_rng(5)
+    tables = {n: rng.standard_normal((n, 64)) for n in (2, 3, 6)}
+    tables[0] = np.concatenate([-np.ones((3, 64)), np.ones((60, 64))]) + 0.01 * rng.standard_normal((63, 64))
+    for n, x in tables.items():
+        x = x.astype(np.float32)
+        df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id bigint, embedding array<float>")
+        d = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+        got = {}
+        for r in search(df, "vec_id < 6").collect():
+            got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+        for q in range(min(len(x), 6)):
+            s = d @ d[q]
+            s[q] = -9
+            best = np.argsort(-s)[:min(5, len(x) - 1)]
+            assert [i for _, i in sorted(got.get(q, []))] == list(best), (n, q)
+
+
 def test_url_rules(spark):
     from txmon.llm.url_filter import RULES, judge_urls
     urls = ["http://a.example.org/en/12?x", "https://EXAMPLE.org/es/", "http://x.com/fr/1", "http://x.com/de/#a", "http://org",

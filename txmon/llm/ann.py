@@ -7,6 +7,9 @@ Buckets are compared block by block: index blocks of at most ``INDEX_BLOCK`` row
 of at most ``QUERY_BLOCK``, so no bucket, however full, lands in one task, and each block pair returns
 its own nearest rows only.  Scores are computed in double precision on the original vectors.
 
+A query that finds fewer rows than it could (few rows, or none near it) is compared with all rows, in
+the same blocks.
+
 Equal vectors would fill one bucket: of each distinct vector only the smallest ``k + 1`` ids are
 indexed, which is exact, as no query can return more of them.
 """
@@ -83,9 +86,9 @@ def search(vectors: DataFrame, is_query: str, k: int = 5, tables: int = TABLES,
            width: float = WIDTH, probes: int = PROBES, seed: int = SEED) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of every row for which ``is_query`` (SQL) holds.
 
-    Ties go to the smaller vec_id; a query never finds a row of its own id; with fewer candidates in
-    the visited buckets, fewer rows return.  Repeated rows count once; an empty table gives an empty
-    result; other columns are ignored.
+    Ties go to the smaller vec_id; a query never finds a row of its own id; fewer rows return only
+    where the table has fewer.  Repeated rows count once; an empty table gives an empty result; other
+    columns are ignored.
     """
     good = staged(usable(vectors), "vectors")
     first = good.limit(1).collect()
@@ -115,21 +118,6 @@ def search(vectors: DataFrame, is_query: str, k: int = 5, tables: int = TABLES,
                     yield pd.DataFrame({"t": np.int32(t), "bucket": keys, "query_id": ids[i],
                                         "query": [vectors[i]] * len(keys)})
 
-    nth = F.dense_rank().over(Window.partitionBy("embedding").orderBy("vec_id"))
-    indexed = good.withColumn("nth", nth).where(F.col("nth") <= k + 1).dropDuplicates(["vec_id", "embedding"])
-    rows = staged(indexed.select("vec_id", "embedding").mapInPandas(
-        index, "t int, bucket bigint, vec_id bigint, embedding array<float>"), "index")
-    asked = staged(good.where(is_query).dropDuplicates(["vec_id", "embedding"]).mapInPandas(
-        probe, "t int, bucket bigint, query_id bigint, query array<float>"), "probes")
-    blocks = lambda df, n, name: df.groupBy("t", "bucket").agg(
-        F.ceil(F.count("*") / n).cast("int").alias(name))
-    # blocks of either side of each bucket that both sides touch; a table of buckets, not of rows
-    plan = staged(blocks(rows, INDEX_BLOCK, "ni").join(blocks(asked, QUERY_BLOCK, "nq"), ["t", "bucket"]), "blocks")
-    dealt = lambda df, key, own, n, other, m: df.join(plan, ["t", "bucket"]).withColumn(
-        own, F.pmod(F.xxhash64(key), n).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(m) - 1)))
-    left = dealt(rows, "vec_id", "i", F.col("ni"), "j", "nq").select("t", "bucket", "i", "j", "vec_id", "embedding")
-    right = dealt(asked, "query_id", "j", F.col("nq"), "i", "ni").select("t", "bucket", "i", "j", "query_id", "query")
-
     def nearest(a: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(a) and len(q):
@@ -149,12 +137,43 @@ def search(vectors: DataFrame, is_query: str, k: int = 5, tables: int = TABLES,
                 out += [(query_id, int(ids[near[o]]), float(exact[o])) for o in order]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    key = ["t", "bucket", "i", "j"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
-        nearest, "query_id bigint, vec_id bigint, score double")
-    merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # one pair from several tables
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return merged.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    blocks = lambda df, n, name: df.groupBy("t", "bucket").agg(
+        F.ceil(F.count("*") / n).cast("int").alias(name))
+
+    def compared(rows: DataFrame, asked: DataFrame, before: DataFrame | None = None) -> DataFrame:
+        """query_id, vec_id, score, rank: the k nearest among rows of the same bucket and those of ``before``."""
+        # blocks of either side of each bucket that both sides touch; a table of buckets, not of rows
+        plan = staged(blocks(rows, INDEX_BLOCK, "ni").join(blocks(asked, QUERY_BLOCK, "nq"), ["t", "bucket"]), "blocks")
+        dealt = lambda df, key, own, n, other, m: df.join(plan, ["t", "bucket"]).withColumn(
+            own, F.pmod(F.xxhash64(key), n).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(m) - 1)))
+        left = dealt(rows, "vec_id", "i", F.col("ni"), "j", "nq").select("t", "bucket", "i", "j", "vec_id", "embedding")
+        right = dealt(asked, "query_id", "j", F.col("nq"), "i", "ni").select("t", "bucket", "i", "j", "query_id", "query")
+        key = ["t", "bucket", "i", "j"]
+        found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+            nearest, "query_id bigint, vec_id bigint, score double")
+        if before is not None:
+            found = found.unionByName(before.drop("rank"))
+        merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # one pair from several tables
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return merged.withColumn("rank", rank).where(F.col("rank") <= k)
+
+    nth = F.dense_rank().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    indexed = good.withColumn("nth", nth).where(F.col("nth") <= k + 1).dropDuplicates(["vec_id", "embedding"]).select(
+        "vec_id", "embedding")
+    queries = good.where(is_query).dropDuplicates(["vec_id", "embedding"])
+    rows = staged(indexed.mapInPandas(index, "t int, bucket bigint, vec_id bigint, embedding array<float>"), "index")
+    asked = staged(queries.mapInPandas(probe, "t int, bucket bigint, query_id bigint, query array<float>"), "probes")
+    got = staged(compared(rows, asked), "found")
+
+    want = min(k, good.select("vec_id").distinct().count() - 1)
+    enough = got.groupBy("query_id").count().where(F.col("count") >= want).select(F.col("query_id").alias("vec_id"))
+    short = queries.join(enough, "vec_id", "left_anti") if want > 0 else queries.limit(0)
+    short = staged(short.select(F.lit(0).alias("t"), F.lit(0).cast("bigint").alias("bucket"),
+                                F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), "short")
+    if not short.isEmpty():
+        every = rows.where("t = 0").withColumn("bucket", F.lit(0).cast("bigint"))
+        got = compared(every, short, got)
+    return got.select("query_id", "rank", "vec_id", "score")
 
 
 def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
