@@ -101,6 +101,41 @@ def test_near_dedup(spark, corpus, monkeypatch, node):
         assert m.near_dedup(empty(spark)).count() == 0
 
 
+def dense_pairs(n):
+    """Pairs of similarity 0.85 whose similarity with all others is 0.82."""
+    rows = []
+    for i in range(n):
+        both = [f"s{j}" for j in range(204)] + [f"p{i}x{j}" for j in range(5)]
+        rows += [(2 * i + k, " ".join(both + [f"q{k}y{i}x{j}" for j in range(17)])) for k in (0, 1)]
+    return rows
+
+
+def test_near_dedup_dense_region(spark, monkeypatch):
+    """Every such pair shares a node where large nodes give way to their children."""
+    from txmon.llm import near_dedup as m
+    monkeypatch.setattr(m, "NODE", 540)
+    rows = dense_pairs(1200)
+    sets = [set(m.shingle_set(t).tolist()) for _, t in rows[:4]]
+    assert 0.85 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.87
+    assert len(sets[0] & sets[2]) / len(sets[0] | sets[2]) < 0.84
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    classes = m.signed(docs, 5).selectExpr("doc_id cls", "minhashes")
+    small, big = m.forest(classes, docs, 5, 85)
+    nodes = {}
+    for r in small.select("tree", "at", "cls").union(big.select("tree", "at", "cls")).collect():
+        nodes.setdefault(r.cls, set()).add((r.tree, r["at"]))
+    assert [i for i in range(0, 2400, 2) if not nodes.get(i, set()) & nodes.get(i + 1, set())] == []
+
+
+def test_near_dedup_bounds():
+    from txmon.llm import near_dedup as m
+    assert (m.first_depth(85), m.first_depth(80), m.first_depth(70)) == (3, 2, 1)
+    for percent in (70, 80, 85, 95):
+        for depth in range(m.first_depth(percent), m.DEPTH + 1):
+            assert (1 - (percent / 100) ** depth) ** max(m.trees_at(depth, percent), m.TREES) <= m.MISS
+    assert abs(m.may_link(85) - 0.70) < 0.001 and m.may_link(70) < 0.52
+
+
 def test_components_long_chain(spark):
     from txmon.llm.components import components
     rows = [(i, i + 1) for i in range(70)] + [(200, 300), (300, 200), (5, 5)]

@@ -3,7 +3,8 @@
 Texts become sets of five-word shingles; equal sets are one class from the start.  Every class has
 ``TREES`` signature orders of ``DEPTH`` minhashes.  The classes below a forest node share a prefix of
 an order; a node with more than ``NODE`` classes is replaced by its children, so dense regions are
-read deeper than sparse ones, and classes meet their longest-common-prefix neighbours.
+read deeper than sparse ones.  A longer prefix is shared in fewer orders: classes of dense regions get
+more orders of their own, as many as keep the miss rate at each depth below ``MISS``.
 
 Links are found in two rounds, both confirmed on full shingle sets:
 
@@ -15,12 +16,13 @@ Links are found in two rounds, both confirmed on full shingle sets:
    block by block, so nothing is dropped.
 
 A dense group of g near copies so costs about g links instead of g squared, while a pair in two
-components is always put to the test.  A pair with similarity 0.85 shares no node of depth 3 in any of
-16 trees with probability 2e-7.
+components is always put to the test.  A pair just similar enough shares no node of the forest with a
+probability of at most ``MISS`` in sparse regions (2e-7 at 85 %, 8e-8 at 80 %) and in dense ones.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,12 +36,13 @@ from txmon.llm.components import components
 
 SHINGLE = 5
 PERCENT = 85
-TREES, DEPTH, FIRST_DEPTH = 16, 8, 3
+TREES, DEPTH = 16, 8
+#: Highest probability that a pair just similar enough shares no forest node (for 58 % and more).
+MISS = 1e-6
 NODE = 256
 BLOCK = 512
-#: Of 128 minhashes, pairs agreeing on less than this share are not tested: 4.7 standard deviations
-#: below the threshold.
-MAY_LINK = 0.70
+#: Of 128 minhashes, pairs agreeing so many standard deviations below the threshold are not tested.
+DEVIATIONS = 4.75
 _rng = np.random.default_rng(23)
 _A = _rng.integers(1 << 20, 1 << 32, TREES * DEPTH, np.uint32) | np.uint32(1)
 _B = _rng.integers(0, 1 << 32, TREES * DEPTH, np.uint32)
@@ -83,14 +86,37 @@ def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
     return np.unique(_mix(total))
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """TREES x DEPTH minhashes of a non-empty set."""
+def trees_at(depth: int, percent: int) -> int:
+    """Orders in which a pair just similar enough shares a prefix of this depth once, but for MISS."""
+    return math.ceil(math.log(MISS) / math.log1p(-min(percent / 100, 0.999999) ** depth))
+
+
+def first_depth(percent: int) -> int:
+    return max([d for d in range(1, DEPTH + 1) if trees_at(d, percent) <= TREES], default=1)
+
+
+def may_link(percent: int) -> float:
+    """The estimated similarity from which a pair is tested."""
+    p = percent / 100
+    return p - DEVIATIONS * math.sqrt(p * (1 - p) / (TREES * DEPTH))
+
+
+def more_hashes(percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and summands of the minhashes of the orders beyond TREES."""
+    n = max(trees_at(DEPTH, percent) - TREES, 0) * DEPTH
+    rng = np.random.default_rng(29)
+    return rng.integers(1 << 20, 1 << 32, n, np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, n, np.uint32)
+
+
+def signature(s: np.ndarray, a: np.ndarray = _A, b: np.ndarray = _B) -> np.ndarray:
+    """Minhashes of a non-empty set, TREES x DEPTH unless others are given."""
     x = (s >> np.uint64(32)).astype(np.uint32)
-    best = np.full(len(_A), 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(x), 2048):
-        part = x[at:at + 2048]
-        h = part[None, :] * _A[:, None]
-        h += _B[:, None]
+    best = np.full(len(a), 0xFFFFFFFF, np.uint32)
+    step = max(2048 * len(_A) // max(len(a), 1), 1)
+    for at in range(0, len(x), step):
+        part = x[at:at + step]
+        h = part[None, :] * a[:, None]
+        h += b[:, None]
         np.minimum(best, h.min(axis=1), out=best)
     return best
 
@@ -116,7 +142,28 @@ def _node(depth: int):
     return F.xxhash64(F.substring("path", 1, 4 * depth))
 
 
-def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def more_trees(dense: DataFrame, docs: DataFrame, k: int, percent: int, first: int) -> DataFrame:
+    """cls, tree, path, start of the orders beyond TREES for the classes ``dense``: at each depth from
+    ``start`` there are as many orders as trees_at asks for."""
+    a, b = more_hashes(percent)
+    starts = [next(d for d in range(first, DEPTH + 1) if trees_at(d, percent) > t)
+              for t in range(TREES, TREES + len(a) // DEPTH)]
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"cls": batch["cls"], "minhashes": [
+                signature(np.frombuffer(x, np.uint64), a, b).tobytes() for x in batch["s"]]})
+
+    size = 4 * DEPTH
+    orders = F.explode(F.array(*[F.struct(
+        F.lit(TREES + i).alias("tree"), F.lit(start).alias("start"), F.substring("minhashes", i * size + 1, size).alias("path"))
+        for i, start in enumerate(starts)]))
+    signed_ = full_sets(docs, dense.select(F.col("cls").alias("doc_id")), k).withColumnRenamed("doc_id", "cls").mapInPandas(
+        sign, "cls bigint, minhashes binary")
+    return staged(signed_.select("cls", orders.alias("o")).select("cls", "o.tree", "o.path", "o.start"), "more_trees")
+
+
+def forest(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Members (tree, at, cls, short) of the forest's nodes of two classes or more: those of NODE
     classes at most, and, with their path, those that are larger even at full depth."""
     size = 4 * DEPTH
@@ -127,7 +174,7 @@ def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     short = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(TREES * DEPTH - 1)), lambda i: F.hex(
         F.substring(F.col("minhashes"), i * 4 + 1, F.lit(1)))), ""))
     shorts = classes.select("cls", short.alias("short"))
-    small, depth = None, FIRST_DEPTH
+    small, more, depth = None, None, first_depth(percent)
     nodes = staged(left.select("cls", "tree", "path", _node(depth).alias("node")), "nodes")
     while True:
         counts = staged(nodes.groupBy("tree", "node").agg(F.count("*").alias("size")).where("size > 1"), "counts")
@@ -135,10 +182,13 @@ def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         fits = members.where(F.col("size") <= NODE)
         small = fits if small is None else small.unionByName(fits)
         big = members.where(F.col("size") > NODE)
-        depth += 1
-        if depth > DEPTH or big.isEmpty():
+        if depth == DEPTH or big.isEmpty():
             break
-        nodes = staged(big.select("cls", "tree", "path", _node(depth).alias("node")), "nodes")
+        if more is None:  # all classes of the first large nodes, so that both sides of a pair have them
+            more = more_trees(staged(big.select("cls").distinct(), "dense"), docs, k, percent, depth + 1)
+        depth += 1
+        nodes = staged(big.select("cls", "tree", "path").unionByName(
+            more.where(F.col("start") == depth).select("cls", "tree", "path")).withColumn("node", _node(depth)), "nodes")
     full = lambda df: df.withColumnRenamed("node", "at").join(shorts, "cls")
     return staged(full(small).drop("path", "size"), "small"), staged(full(big).drop("size"), "big")
 
@@ -151,10 +201,10 @@ def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (same / a.shape[1] - 1 / 256) / (1 - 1 / 256)
 
 
-def _spanning(ids: np.ndarray, sig: np.ndarray) -> list[tuple[int, int]]:
+def _spanning(ids: np.ndarray, sig: np.ndarray, bound: float) -> list[tuple[int, int]]:
     """The strongest links that may be similar enough and join what they can (a maximum forest)."""
     est = np.triu(_agreement(sig, sig), 1)
-    i, j = np.nonzero(est >= MAY_LINK)
+    i, j = np.nonzero(est >= bound)
     root, out = list(range(len(ids))), []
 
     def find(x: int) -> int:
@@ -196,26 +246,26 @@ def _signatures(rows: pd.DataFrame) -> np.ndarray:
     return np.frombuffer(b"".join(rows["short"]), np.uint8).reshape(len(rows), -1)
 
 
-def _pairs_in(rows: pd.DataFrame, starts: np.ndarray, group_pairs) -> Iterator[pd.DataFrame]:
-    """Groups of two at once, larger ones by ``group_pairs(from, to)``."""
+def _pairs_in(rows: pd.DataFrame, starts: np.ndarray, bound: float) -> Iterator[pd.DataFrame]:
+    """Groups of two at once, larger ones by their strongest links."""
     ids, sig = rows["cls"].to_numpy(), _signatures(rows)
     ends = np.r_[starts[1:], len(rows)]
     two = starts[ends - starts == 2]
     est = ((sig[two] == sig[two + 1]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-    ok = two[est >= MAY_LINK]
+    ok = two[est >= bound]
     out = [(int(ids[i]), int(ids[i + 1])) for i in ok if ids[i] != ids[i + 1]]
     for s, e in zip(starts, ends, strict=True):
         if e - s > 2:
-            out += group_pairs(ids[s:e], sig[s:e], s, e)
+            out += _spanning(ids[s:e], sig[s:e], bound)
     yield _frame([(min(p), max(p)) for p in out])
 
 
-def strongest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def strongest(batches: Iterator[pd.DataFrame], bound: float) -> Iterator[pd.DataFrame]:
     for rows, starts in _runs(batches, ["tree", "at"]):
-        yield from _pairs_in(rows, starts, lambda ids, sig, s, e: _spanning(ids, sig))
+        yield from _pairs_in(rows, starts, bound)
 
 
-def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def neighbours(batches: Iterator[pd.DataFrame], bound: float) -> Iterator[pd.DataFrame]:
     """The same over chunks of neighbours in the sorted order; a chunk begins with the last rows of the
     one before."""
     rest = None
@@ -223,13 +273,13 @@ def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
         for at in range(0, len(rows), NODE - 32):
             part = rows.iloc[at:at + NODE]
-            yield _frame([(min(p), max(p)) for p in _spanning(part["cls"].to_numpy(), _signatures(part))])
+            yield _frame([(min(p), max(p)) for p in _spanning(part["cls"].to_numpy(), _signatures(part), bound)])
         rest = rows.iloc[-32:]
 
 
-def _may_cross(sig: np.ndarray, comp: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+def _may_cross(sig: np.ndarray, comp: np.ndarray, one: np.ndarray, two: np.ndarray, bound: float) -> np.ndarray:
     """Rows ``one`` x rows ``two``: in different components, and may be similar enough."""
-    return (_agreement(sig[one], sig[two]) >= MAY_LINK) & (comp[one][:, None] != comp[two][None, :])
+    return (_agreement(sig[one], sig[two]) >= bound) & (comp[one][:, None] != comp[two][None, :])
 
 
 def _sides(rows: pd.DataFrame, s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
@@ -237,7 +287,7 @@ def _sides(rows: pd.DataFrame, s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(asks != 0), np.flatnonzero(asks != 1)
 
 
-def worth_testing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def worth_testing(batches: Iterator[pd.DataFrame], bound: float) -> Iterator[pd.DataFrame]:
     """The rows of each group that have a pair to be tested; groups of one component cost nothing."""
     for rows, starts in _runs(batches, ["g"]):
         comp, ends = rows["component"].to_numpy(), np.r_[starts[1:], len(rows)]
@@ -251,7 +301,7 @@ def worth_testing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 one, two = _sides(rows, s, e)
                 for at in range(0, len(one), 256):
                     part = one[at:at + 256]
-                    ok = _may_cross(sig[s:e], comp[s:e], part, two)
+                    ok = _may_cross(sig[s:e], comp[s:e], part, two, bound)
                     keep[s + part[ok.any(axis=1)]] = True
                     keep[s + two[ok.any(axis=0)]] = True
         yield rows[keep]
@@ -282,7 +332,7 @@ def tested(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFra
             one, two = _sides(rows, s, e)
             for at in range(0, len(one), 256):
                 part = one[at:at + 256]
-                for i, j in zip(*np.nonzero(_may_cross(sig[s:e], c, part, two)), strict=True):
+                for i, j in zip(*np.nonzero(_may_cross(sig[s:e], c, part, two, may_link(percent))), strict=True):
                     i, j = int(part[i]), int(two[j])
                     a, b = find(int(c[i])), find(int(c[j]))
                     n, m = len(sets[i]), len(sets[j])
@@ -316,7 +366,8 @@ def large_nodes(big: DataFrame) -> DataFrame:
 def joining_links(groups: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Round 2 over groups (g, cls, component, short, asks) of bounded size."""
     by_group = lambda df: df.repartition("g").sortWithinPartitions("g", "cls", "asks")
-    worth = staged(by_group(groups).mapInPandas(worth_testing, groups.schema), "worth")
+    worth = staged(by_group(groups).mapInPandas(
+        lambda batches: worth_testing(batches, may_link(percent)), groups.schema), "worth")
     sets = full_sets(docs, worth.select(F.col("cls").alias("doc_id")).distinct(), k)
     return by_group(worth.join(sets, F.col("cls") == F.col("doc_id"))).mapInPandas(
         lambda batches: tested(batches, percent), "a bigint, b bigint")
@@ -364,17 +415,20 @@ def near_dedup(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Dat
     rows = staged(signed(docs, k), "signed")
     live = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = staged(live.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.first("minhashes").alias("minhashes")), "classes")
-    small, big = forest(classes.dropDuplicates(["cls"]))
+    small, big = forest(classes.dropDuplicates(["cls"]), docs, k, percent)
 
     dense = not big.isEmpty()
     pair = "a bigint, b bigint"
     by_node = lambda df: df.repartition("tree", "at").sortWithinPartitions("tree", "at", "cls")
 
-    # round 1: strongest links; neighbours in the sorted order where a node is too large
-    first = by_node(small).mapInPandas(strongest, pair)
+    # round 1: strongest links; neighbours in the sorted order where a node is too large.  The orders
+    # that only dense regions have are left to round 2
+    bound = may_link(percent)
+    first = by_node(small.where(F.col("tree") < TREES)).mapInPandas(lambda batches: strongest(batches, bound), pair)
     if dense:
         order = ["tree", "at", "path", "cls"]
-        first = first.unionByName(big.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(neighbours, pair))
+        first = first.unionByName(big.where(F.col("tree") < TREES).repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
+            lambda batches: neighbours(batches, bound), pair))
     links = confirmed(first, docs, k, percent)
     found = staged(components(links), "found")
 
