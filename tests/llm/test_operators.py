@@ -127,6 +127,22 @@ def test_near_dedup_dense_region(spark, monkeypatch):
     assert [i for i in range(0, 2400, 2) if not nodes.get(i, set()) & nodes.get(i + 1, set())] == []
 
 
+def test_near_dedup_stage_percent(spark):
+    """Pairs of similarity 0.78 to 0.87 through the pipeline's stage: those of 0.80 and more are one."""
+    from txmon.llm import near_dedup as m
+    rows, want = [], set()
+    for i in range(90):
+        own = [f"w{i}x{j}" for j in range(124)]
+        other = own[:-8 - i % 9] + [f"v{i}x{j}" for j in range(8 + i % 9)]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(other))]
+        a, b = (set(tuple(w[k:k + 5]) for k in range(120)) for w in (own, other))
+        want |= {2 * i} if 100 * len(a & b) >= 80 * len(a | b) else {2 * i, 2 * i + 1}
+    assert 100 < len(want) < 130
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "doc_id", "text", "'en' lang", "'s' source", "cast(length(text) as bigint) n_chars")
+    assert {r.doc_id for r in m.stage(spark, docs, "").collect()} == want
+
+
 def test_near_dedup_bounds():
     from txmon.llm import near_dedup as m
     assert (m.first_depth(85), m.first_depth(80), m.first_depth(70)) == (3, 2, 1)

@@ -35,7 +35,8 @@ from txmon.llm.common import DOC_COLUMNS, read, staged
 from txmon.llm.components import components
 
 SHINGLE = 5
-PERCENT = 85
+PERCENT = 85  # of op4
+STAGE_PERCENT = 80  # of the pipeline
 TREES, DEPTH = 16, 8
 #: Highest probability that a pair just similar enough shares no forest node (for 58 % and more).
 MISS = 1e-6
@@ -457,5 +458,5 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group stays; documents in no group stay."""
     docs = docs.select(*DOC_COLUMNS)
-    gone = near_dedup(docs).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
+    gone = near_dedup(docs, percent=STAGE_PERCENT).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
