@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from txmon.llm import (ann, chat_format, exact_dedup, html_extract, language_id, mixing, near_dedup, packing,
-                       toxicity, url_filter)
+from txmon.llm import (ann, chat_format, exact_dedup, filter_audit, html_extract, language_id, mixing, near_dedup, packing,
+                       quality_rules, toxicity, url_filter, whitening)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,9 +16,14 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_language_id": language_id.op9_language_id,
     "op10_html_extract": html_extract.op10_html_extract,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_quality_rules": quality_rules.op12_quality_rules,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 ORACLES = {
     "op2_chat_format": chat_format.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
+    "op12_quality_rules": quality_rules.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
