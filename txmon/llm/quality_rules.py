@@ -33,7 +33,7 @@ RULES: dict[str, str] = {
     "few_words": "n_words < 50",
     "repeated_words": "100 * n_repeat_words > 50 * n_words",
     "symbols": "100 * n_symbols > 10 * n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "100 * n_dup_lines > 50 * n_lines",
     "short_words": "word_chars < 3 * n_words",
     "long_words": "word_chars > 10 * n_words",
     "upper_case": "100 * n_upper > 30 * word_chars",
@@ -173,7 +173,7 @@ m AS (
   FROM w LEFT JOIN places USING (rid)),
 b AS (
   SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN n_repeat_words > 0.5 * n_words THEN 2 ELSE 0 END
-         + CASE WHEN n_symbols > 0.1 * n_words THEN 4 ELSE 0 END + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 8 ELSE 0 END
+         + CASE WHEN n_symbols > 0.1 * n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
          + CASE WHEN word_chars < 3 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 10 * n_words THEN 32 ELSE 0 END
          + CASE WHEN 10 * n_upper > 3 * word_chars THEN 64 ELSE 0 END + CASE WHEN 10 * n_bangs > 3 * n_words THEN 128 ELSE 0 END
          AS fail_bits FROM m)
