@@ -110,21 +110,39 @@ def dense_pairs(n):
     return rows
 
 
-def test_near_dedup_dense_region(spark, monkeypatch):
-    """Every such pair shares a node where large nodes give way to their children."""
+@pytest.mark.parametrize("node,block", [(540, 64), (100, 16)])
+def test_near_dedup_dense_region(spark, monkeypatch, node, block):
+    """Large nodes of many components are read deeper, with more orders; no pair is lost."""
     from txmon.llm import near_dedup as m
-    monkeypatch.setattr(m, "NODE", 540)
+    monkeypatch.setattr(m, "NODE", node)
+    monkeypatch.setattr(m, "BLOCK", block)
+    deeper = []
+    plain = m.more_trees
+    monkeypatch.setattr(m, "more_trees", lambda *a: deeper.append(1) or plain(*a))
     rows = dense_pairs(1200)
     sets = [set(m.shingle_set(t).tolist()) for _, t in rows[:4]]
     assert 0.85 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.87
     assert len(sets[0] & sets[2]) / len(sets[0] | sets[2]) < 0.84
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    classes = m.signed(docs, 5).selectExpr("doc_id cls", "minhashes")
-    small, big = m.forest(classes, docs, 5, 85)
-    nodes = {}
-    for r in small.select("tree", "at", "cls").union(big.select("tree", "at", "cls")).collect():
-        nodes.setdefault(r.cls, set()).add((r.tree, r["at"]))
-    assert [i for i in range(0, 2400, 2) if not nodes.get(i, set()) & nodes.get(i + 1, set())] == []
+    got = m.near_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert deeper and {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
+
+
+def test_near_dedup_copies_are_not_read_deeper(spark, monkeypatch):
+    """2,000 near copies are one component after the first links; two strangers in their nodes cost no depth."""
+    from txmon.llm import near_dedup as m
+    monkeypatch.setattr(m, "more_trees", lambda *a: pytest.fail("read deeper"))
+    rng = random.Random(9)
+    base = [f"s{j}" for j in range(200)]
+    rows = []
+    for i in range(2000):
+        t = list(base)
+        t[rng.randrange(200)] = f"edit{i}"
+        rows.append((i, " ".join(t)))
+    rows += [(5000 + i, " ".join(base[:150] + [f"own{i}x{j}" for j in range(60)])) for i in range(2)]
+    got = m.near_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    want = {i: c for i, (_, c) in brute_components(rows[:60] + rows[2000:]).items()}
+    assert {want[i] for i in range(60)} == {0}
+    assert {r.doc_id: r.component_id for r in got} == {i: 0 if i < 2000 else want[i] for i, _ in rows}
 
 
 def test_near_dedup_stage_percent(spark):

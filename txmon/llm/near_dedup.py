@@ -2,22 +2,23 @@
 
 Texts become sets of five-word shingles; equal sets are one class from the start.  Every class has
 ``TREES`` signature orders of ``DEPTH`` minhashes.  The classes below a forest node share a prefix of
-an order; a node with more than ``NODE`` classes is replaced by its children, so dense regions are
-read deeper than sparse ones.  A longer prefix is shared in fewer orders: classes of dense regions get
-more orders of their own, as many as keep the miss rate at each depth below ``MISS``.
-
-Links are found in two rounds, both confirmed on full shingle sets:
-
-1. each node proposes the strongest spanning links among its classes (by signature agreement), nodes
-   that stay too large at full depth are read as chunks of neighbours in the sorted order; the
-   confirmed ones are joined into components;
-2. each node tests every pair that may be similar enough and whose classes are still in different
-   components, and returns the links that join components; a node too large at full depth is compared
-   block by block, so nothing is dropped.
-
-A dense group of g near copies so costs about g links instead of g squared, while a pair in two
-components is always put to the test.  A pair just similar enough shares no node of the forest with a
-probability of at most ``MISS`` in sparse regions (2e-7 at 85 %, 8e-8 at 80 %) and in dense ones.
+an order.  Links are confirmed on full shingle sets, in two rounds:
+
+1. at the first depth each node proposes the strongest spanning links among its classes (by signature
+   agreement); a node of more than ``NODE`` classes is read as chunks of neighbours in the sorted
+   order.  The confirmed links are joined into components;
+2. a node of one component can add nothing and is left.  In the others every pair that may be similar
+   enough and whose classes are in different components is put to the test: small nodes at once; large
+   ones with few classes outside their main component by blocks, those classes against all; the rest
+   one minhash deeper, where they fall apart into smaller nodes, down to full depth, where blocks
+   compare what is still large.  Nothing is dropped.
+
+A longer prefix is shared in fewer orders: classes that are read deeper get more orders, as many as
+keep the miss rate at each depth below ``MISS``.  As links come first, a group of near copies, however
+large, is one component by then and is not read deeper: it costs about its size in links and rows,
+while a pair in two components is always put to the test.  A pair just similar enough shares no node
+of the forest with a probability of at most ``MISS`` in sparse regions (2e-7 at 85 %, 8e-8 at 80 %)
+and in dense ones.
 """
 
 from __future__ import annotations
@@ -164,34 +165,21 @@ def more_trees(dense: DataFrame, docs: DataFrame, k: int, percent: int, first: i
     return staged(signed_.select("cls", orders.alias("o")).select("cls", "o.tree", "o.path", "o.start"), "more_trees")
 
 
-def forest(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Members (tree, at, cls, short) of the forest's nodes of two classes or more: those of NODE
-    classes at most, and, with their path, those that are larger even at full depth."""
-    size = 4 * DEPTH
-    orders = F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(
-        t.alias("tree"), F.substring(F.col("minhashes"), t * size + 1, F.lit(size)).alias("path"))))
-    left = classes.select("cls", "minhashes", orders.alias("o")).select("cls", "o.tree", "o.path", "minhashes")
-    # one byte a minhash is enough to tell how far two signatures agree
-    short = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(TREES * DEPTH - 1)), lambda i: F.hex(
-        F.substring(F.col("minhashes"), i * 4 + 1, F.lit(1)))), ""))
-    shorts = classes.select("cls", short.alias("short"))
-    small, more, depth = None, None, first_depth(percent)
-    nodes = staged(left.select("cls", "tree", "path", _node(depth).alias("node")), "nodes")
-    while True:
-        counts = staged(nodes.groupBy("tree", "node").agg(F.count("*").alias("size")).where("size > 1"), "counts")
-        members = staged(nodes.join(counts, ["tree", "node"]), "members")
-        fits = members.where(F.col("size") <= NODE)
-        small = fits if small is None else small.unionByName(fits)
-        big = members.where(F.col("size") > NODE)
-        if depth == DEPTH or big.isEmpty():
-            break
-        if more is None:  # all classes of the first large nodes, so that both sides of a pair have them
-            more = more_trees(staged(big.select("cls").distinct(), "dense"), docs, k, percent, depth + 1)
-        depth += 1
-        nodes = staged(big.select("cls", "tree", "path").unionByName(
-            more.where(F.col("start") == depth).select("cls", "tree", "path")).withColumn("node", _node(depth)), "nodes")
-    full = lambda df: df.withColumnRenamed("node", "at").join(shorts, "cls")
-    return staged(full(small).drop("path", "size"), "small"), staged(full(big).drop("size"), "big")
+def company(nodes: DataFrame, shorts: DataFrame) -> DataFrame:
+    """The members (cls, tree, at, path, size, short) of nodes of two classes or more."""
+    counts = staged(nodes.groupBy("tree", "node").agg(F.count("*").alias("size")).where("size > 1"), "counts")
+    members = nodes.join(counts, ["tree", "node"]).withColumnRenamed("node", "at")
+    return staged(members.join(shorts, "cls"), "members")
+
+
+def mixture(named: DataFrame) -> DataFrame:
+    """tree, at, main (the largest component), n and apart (classes outside it) of nodes of two
+    components or more."""
+    key = ["tree", "at"]
+    counts = named.groupBy(*key, "component").count()
+    return staged(counts.groupBy(*key).agg(F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("n"))
+                  .select(*key, F.col("m.component").alias("main"), "n", (F.col("n") - F.col("m.count")).alias("apart"))
+                  .where("apart > 0"), "mixture")
 
 
 def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -346,21 +334,16 @@ def tested(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFra
         yield _frame(out)
 
 
-def large_nodes(big: DataFrame) -> DataFrame:
-    """Nodes too large at full depth, in groups: every row outside the node's largest component meets
-    every row, block by block; a node of one component costs nothing."""
-    key = ["tree", "at"]
-    counts = big.groupBy(*key, "component").count()
-    main = staged(counts.groupBy(*key).agg(F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("n"))
-                  .select(*key, F.col("m.component").alias("main"),
-                          F.ceil((F.col("n") - F.col("m.count")) / BLOCK).cast("int").alias("na"),
-                          F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")).where("na > 0"), "main")
-    rows = big.join(main, key)
+def large_nodes(rows: DataFrame) -> DataFrame:
+    """Large nodes (rows with main, n, apart) in groups: every row outside the node's largest component
+    meets every row, block by block."""
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     block = lambda n: F.pmod(F.xxhash64("cls"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asking = rows.where("component <> main").withColumn("i", block(F.col("na"))).withColumn("j", every("nb"))
-    all_ = rows.withColumn("j", block(F.col("nb"))).withColumn("i", every("na"))
-    cols = [F.xxhash64(*key, "i", "j").alias("g"), "cls", "component", "short"]
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    na, nb = blocks("apart"), blocks("n")
+    asking = rows.where("component <> main").withColumn("i", block(na)).withColumn("j", every(nb))
+    all_ = rows.withColumn("j", block(nb)).withColumn("i", every(na))
+    cols = [F.xxhash64("tree", "at", "i", "j").alias("g"), "cls", "component", "short"]
     return asking.select(*cols, F.lit(1).alias("asks")).unionByName(all_.select(*cols, F.lit(0).alias("asks")))
 
 
@@ -405,6 +388,62 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     return staged(joined.mapInPandas(test, "a bigint, b bigint"), "confirmed")
 
 
+def class_components(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, component) of every class (cls, minhashes) that has a link."""
+    size, depth, bound = 4 * DEPTH, first_depth(percent), may_link(percent)
+    orders = F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(
+        t.alias("tree"), F.substring(F.col("minhashes"), t * size + 1, F.lit(size)).alias("path"))))
+    # one byte a minhash is enough to tell how far two signatures agree
+    short = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(TREES * DEPTH - 1)), lambda i: F.hex(
+        F.substring(F.col("minhashes"), i * 4 + 1, F.lit(1)))), ""))
+    shorts = classes.select("cls", short.alias("short"))
+    nodes = staged(classes.select("cls", orders.alias("o")).select("cls", "o.tree", "o.path", _node(depth).alias("node")), "nodes")
+    members = company(nodes, shorts)
+
+    # round 1: strongest links; neighbours in the sorted order where a node is large
+    pair, order = "a bigint, b bigint", ["tree", "at", "path", "cls"]
+    first = members.where(F.col("size") <= NODE).repartition("tree", "at").sortWithinPartitions("tree", "at", "cls").mapInPandas(
+        lambda batches: strongest(batches, bound), pair)
+    big = members.where(F.col("size") > NODE)
+    if not big.isEmpty():
+        first = first.unionByName(big.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
+            lambda batches: neighbours(batches, bound), pair))
+    links = confirmed(first, docs, k, percent)
+    found = staged(components(links), "found")
+
+    # round 2: what is still apart, from depth to depth
+    label = lambda df: df.join(found, F.col("cls") == F.col("node"), "left").withColumn(
+        "component", F.coalesce("component", "cls")).drop("node")
+    more = None
+    while True:
+        mixed = staged(label(members).join(mixture(label(members)), ["tree", "at"]), "mixed")
+        deeper = (F.col("n") > NODE) & (F.col("apart") > BLOCK) & F.lit(depth < DEPTH)
+        groups = mixed.where(F.col("n") <= NODE).select(
+            F.xxhash64("tree", "at").alias("g"), "cls", "component", "short", F.lit(-1).alias("asks"))
+        direct = mixed.where((F.col("n") > NODE) & ~deeper)
+        if not direct.isEmpty():
+            groups = groups.unionByName(large_nodes(direct))
+        joined = staged(joining_links(groups, docs, k, percent), "joined")
+        if not joined.isEmpty():
+            links = staged(links.unionByName(joined), "links")
+            found = staged(components(links), "found")
+        left = mixed.where(deeper).select("cls", "tree", "at", "path", "short")
+        if left.isEmpty():
+            return found
+        left = label(left)
+        left = staged(left.join(mixture(left).select("tree", "at"), ["tree", "at"]), "left")
+        if left.isEmpty():
+            return found
+        dense = staged(left.select("cls").distinct(), "dense")
+        depth += 1
+        if more is None:  # all classes of the large nodes, so that both sides of a pair have them
+            more = more_trees(dense, docs, k, percent, depth)
+        nodes = staged(left.select("cls", "tree", "path").unionByName(
+            more.where(F.col("start") == depth).join(dense, "cls").select("cls", "tree", "path")).withColumn(
+            "node", _node(depth)), "nodes")
+        members = company(nodes, shorts)
+
+
 def near_dedup(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text).
 
@@ -416,31 +455,7 @@ def near_dedup(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Dat
     rows = staged(signed(docs, k), "signed")
     live = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = staged(live.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.first("minhashes").alias("minhashes")), "classes")
-    small, big = forest(classes.dropDuplicates(["cls"]), docs, k, percent)
-
-    dense = not big.isEmpty()
-    pair = "a bigint, b bigint"
-    by_node = lambda df: df.repartition("tree", "at").sortWithinPartitions("tree", "at", "cls")
-
-    # round 1: strongest links; neighbours in the sorted order where a node is too large.  The orders
-    # that only dense regions have are left to round 2
-    bound = may_link(percent)
-    first = by_node(small.where(F.col("tree") < TREES)).mapInPandas(lambda batches: strongest(batches, bound), pair)
-    if dense:
-        order = ["tree", "at", "path", "cls"]
-        first = first.unionByName(big.where(F.col("tree") < TREES).repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
-            lambda batches: neighbours(batches, bound), pair))
-    links = confirmed(first, docs, k, percent)
-    found = staged(components(links), "found")
-
-    # round 2: what is still apart
-    label = lambda df: df.join(found, F.col("cls") == F.col("node"), "left").withColumn(
-        "component", F.coalesce("component", "cls")).drop("node")
-    groups = label(small).select(F.xxhash64("tree", "at").alias("g"), "cls", "component", "short", F.lit(-1).alias("asks"))
-    if dense:
-        groups = groups.unionByName(large_nodes(label(big)))
-    more = staged(joining_links(groups, docs, k, percent), "more")
-    final = found if more.isEmpty() else staged(components(links.unionByName(more)), "components")
+    final = class_components(classes.dropDuplicates(["cls"]), docs, k, percent)
 
     named = staged(classes.select("set_key", "cls").join(final, F.col("cls") == F.col("node"), "left").select(
         "set_key", F.coalesce("component", "cls").alias("component_id")), "named")
