@@ -47,8 +47,9 @@ def fold_events(events: DataFrame) -> DataFrame:
                       F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     log = e.groupBy("conv_id", "message").agg(F.sort_array(F.collect_list(
         F.struct("seq", "kind", "role", "text"))).alias("log"))
-    reset = F.array_max(F.transform(F.filter("log", lambda x: x["kind"].isin(RESETS)), lambda x: x["seq"]))
-    live = F.filter("log", lambda x: F.col("reset").isNull() | (x["seq"] >= F.col("reset")))
+    # the place of the last event that sets the text anew; only what stands from there on counts
+    reset = F.array_max(F.transform("log", lambda x, i: F.when(x["kind"].isin(RESETS), i + 1)))
+    live = F.when(F.col("reset").isNull(), F.col("log")).otherwise(F.slice("log", F.col("reset"), F.size("log")))
     piece = F.filter(live, lambda x: x["kind"] != "regenerate")
     roles = F.filter("log", lambda x: x["role"] != "")
     message = (log.withColumn("reset", reset).select(

@@ -24,8 +24,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 #: Rows in one Arrow batch to Python.  Texts are long: Spark's default of 10,000 rows takes hundreds of
-#: MB in a worker, several times over where texts go both ways.
+#: MB in a worker, several times over where texts go both ways.  Rows may be long: a batch also ends at
+#: BATCH_BYTES, so it holds that much and one row at most.
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,11 +36,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def modest_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch to ``BATCH_ROWS`` rows; a lower setting of the caller's stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Lower the session's Arrow batch to ``BATCH_ROWS`` rows and ``BATCH_BYTES``; lower settings of the
+    caller's stay.  Spark reads them when a plan runs, so they hold for the session from here on."""
+    conf = spark._jsparkSession.sessionState().conf()
+    for key, now, most in (("maxRecordsPerBatch", conf.arrowMaxRecordsPerBatch(), BATCH_ROWS),
+                           ("maxBytesPerBatch", conf.arrowMaxBytesPerBatch(), BATCH_BYTES)):
+        if now <= 0 or now > most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -111,7 +111,13 @@ class Ecoc:
 
 
 def fit(labelled: DataFrame) -> Ecoc:
-    """``labelled``: text, lang; rows with a null in either, or without a letter, teach nothing."""
+    """``labelled``: text, lang; rows with a null in either, or without a letter, teach nothing.
+
+    More than ``MAX_LANGUAGES`` different values of lang are refused before any text is read.
+    """
+    known = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
+    if known.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages; the model holds no more")
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
@@ -127,13 +133,11 @@ def fit(labelled: DataFrame) -> Ecoc:
             yield pd.DataFrame({"lang": lang, "bucket": at.astype(np.int32), "share": s[at]})
 
     # decimals add up to the same sum in any order, so reruns agree
-    counted = (labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
+    counted = (known
                .mapInPandas(add_up, "lang string, bucket int, share double")
                .groupBy("lang", "bucket").agg(F.sum(F.col("share").cast("decimal(28,12)")).cast("double").alias("share")))
-    rows = counted.toPandas()  # at most MAX_LANGUAGES x BUCKETS numbers, checked below
+    rows = counted.toPandas()  # at most MAX_LANGUAGES x BUCKETS numbers, checked above
     languages = sorted(rows["lang"].unique())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the model holds {MAX_LANGUAGES}")
     shares = np.zeros((len(languages), BUCKETS))
     place = {lang: i for i, lang in enumerate(languages)}
     shares[rows["lang"].map(place).to_numpy(dtype=int), rows["bucket"].to_numpy(dtype=int)] = rows["share"]

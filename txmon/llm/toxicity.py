@@ -103,10 +103,9 @@ def sampled(docs: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def fit(labelled: DataFrame) -> Toxicity:
-    """``labelled``: doc_id, text, toxic (0 or 1).  With no row of a label the score is 0.1 for all."""
-    rows = labelled.where("toxic IN (0, 1)").withColumn("_order", F.xxhash64(F.col("doc_id"), F.col("text")))
-    chosen = [rows.where(F.col("toxic") == y).orderBy("_order", "doc_id").limit(SAMPLE).select("text", "toxic") for y in (1, 0)]
-    sample = chosen[0].unionByName(chosen[1])
+    """``labelled``: text, toxic (0 or 1), bounded by ``sampled``; all its rows teach.  With no row of a label
+    the score is 0.1 for all."""
+    sample = labelled.where("toxic IN (0, 1)").select("text", "toxic")
     seen = sample.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower(F.coalesce("text", F.lit(""))), F.lit(r"([\p{L}]+)"), F.lit(1)))).alias("word"))
     counted = seen.groupBy("word").agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg"))
