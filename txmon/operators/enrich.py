@@ -40,8 +40,11 @@ def first_seen_counterparty(txns: DataFrame) -> DataFrame:
 
 
 def enrich(transactions: DataFrame, accounts: DataFrame, country_risk: DataFrame,
-           bucket_us: int | None = None) -> DataFrame:
-    """Wide enriched transactions: every transaction column plus E01-E10, ``us`` and ``customer_id``."""
+           bucket_us: int | None = None, first: DataFrame | None = None) -> DataFrame:
+    """Wide enriched transactions: every transaction column plus E01-E10, ``us`` and ``customer_id``.
+
+    ``first`` (account_id, counterparty_account, _first_id) replaces the look through all rows for the
+    first of each counterparty, where it is kept from run to run."""
     base = transactions.withColumn("us", micros("timestamp")).withColumn(
         "amount_usd", to_usd("amount", "currency"))
     payload = [c for c in base.columns if c not in ("id", "account_id", "us", "amount_usd")]
@@ -49,7 +52,7 @@ def enrich(transactions: DataFrame, accounts: DataFrame, country_risk: DataFrame
     windowed = windowed.withColumn("amount_velocity_24h",
                                    F.round(F.col("amount_velocity_24h"), 2).cast(MONEY))
 
-    first = first_seen_counterparty(base)
+    first = first if first is not None else first_seen_counterparty(base)
     cr = F.broadcast(country_risk.select(  # bounded: one row per country code
         F.col("country_code").alias("_cc"), F.col("risk_level").alias("_risk")))
     acc = broadcast_if_small(accounts.select(

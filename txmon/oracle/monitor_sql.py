@@ -4,9 +4,7 @@ the Spark plans; never used by them)."""
 
 from __future__ import annotations
 
-from txmon.functions.money import FX_RATES
-from txmon.functions.scoring import CUSTOMER_RISK_NORM, GEO_RISK_NORM
-from txmon.operators.rules import rule_rows
+from txmon.oracle.constants import CUSTOMER_NORM, FX, GEO_NORM, RULES
 
 
 def R(x: str, n: int = 0) -> str:
@@ -23,7 +21,7 @@ def _cc(k: str) -> str:
 
 
 def _fx(cur: str) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN CAST({v} AS DECIMAL(10,4))" for k, v in FX_RATES.items())
+    whens = " ".join(f"WHEN '{k}' THEN CAST({v} AS DECIMAL(10,4))" for k, v in FX.items())
     return f"(CASE {cur} {whens} ELSE CAST(1 AS DECIMAL(10,4)) END)"
 
 
@@ -49,7 +47,7 @@ _ACCOUNT_COLS = """
 
 
 def _rule_branch(r) -> str:
-    rid, _name, _desc, _cat, cond, sev, _active = r
+    rid, _name, _cat, cond, sev = r
     return f"""
     SELECT t.id AS transaction_id, t.account_id, CAST({rid} AS BIGINT) AS rule_id,
            CAST({sev} AS DECIMAL(3,2)) AS rule_score, c.risk_rating, te.country_risk_score,
@@ -62,9 +60,9 @@ def _rule_branch(r) -> str:
 
 def _rules_values() -> str:
     rows = []
-    for rid, name, desc, cat, cond, sev, active in rule_rows():
+    for rid, name, cat, cond, sev in RULES:
         q = lambda s: "'" + s.replace("'", "''") + "'"
-        rows.append(f"({rid}, {q(name)}, {q(desc)}, {q(cat)}, {q(cond)}, {sev}, {active})")
+        rows.append(f"({rid}, {q(name)}, {q(f"{cat} rule: {cond}")}, {q(cat)}, {q(cond)}, {sev}, 1)")
     return ",\n    ".join(rows)
 
 
@@ -102,7 +100,7 @@ accounts_m AS (
     UNION ALL
     SELECT 2 * c_custkey - c_custkey % 1000000 + 1000000, c_custkey, c_custkey,
            CAST(DATE '1994-10-01' + CAST((2 * c_custkey - c_custkey % 1000000 + 1000000) % 400 AS INTEGER) AS DATE)
-    FROM customer WHERE c_custkey % 10 <> 9)),
+    FROM customer)),
 tx_raw AS (
   SELECT 2 * event_id - event_id % 1000000000 AS id, 2 * user_id - user_id % 1000000 AS account_id,
          CASE event_type WHEN 'purchase' THEN 'wire_out' WHEN 'view' THEN 'wire_in' WHEN 'signup' THEN 'cash_deposit'
@@ -124,7 +122,7 @@ tx_raw AS (
          o_orderdate,
          CAST(o_orderkey % 100 AS INTEGER),
          CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE 'completed' END
-  FROM orders WHERE o_custkey % 10 <> 9),
+  FROM orders),
 transactions_m AS (
   SELECT id, account_id, transaction_type, amount, currency, timestamp,
          CASE WHEN transaction_type IN ('wire_out','wire_in','transfer_out')
@@ -168,11 +166,11 @@ rules_m AS (
   SELECT * FROM (VALUES
     {_rules_values()}
   ) r(id, name, description, category, sql_condition, severity, is_active)),
-fired_m AS ({' UNION ALL '.join(_rule_branch(r) for r in rule_rows())}),
+fired_m AS ({' UNION ALL '.join(_rule_branch(r) for r in RULES)}),
 scored_m AS (
   SELECT f.*,
-         {_map('risk_rating', CUSTOMER_RISK_NORM, '0.2')} AS customer_risk_score,
-         {_map('country_risk_score', GEO_RISK_NORM, '0.1')} AS geographic_risk_score,
+         {_map('risk_rating', CUSTOMER_NORM, '0.2')} AS customer_risk_score,
+         {_map('country_risk_score', GEO_NORM, '0.1')} AS geographic_risk_score,
          CAST({beh} AS DECIMAL(6,4)) AS behavioral_score
   FROM fired_m f),
 alerts_m AS (

@@ -17,6 +17,7 @@ from txmon.plans import context as YQ
 from txmon.plans import detectors as ZQ
 from txmon.plans import diligence as CQ
 from txmon.plans import executive as VQ
+from txmon.plans import incremental as SQ
 from txmon.plans import profile as PQ
 from txmon.plans import readmodels as HQ
 from txmon.plans import reports as RQ
@@ -112,6 +113,7 @@ REPORT: dict[str, Callable[[Report], DataFrame]] = {
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _m(fn) for name, fn in MONITOR.items()}
     out.update({name: _r(fn) for name, fn in REPORT.items()})
+    out.update(SQ.ALL)
     return out
 
 
@@ -127,8 +129,9 @@ def oracle_sql() -> dict[str, str]:
     from txmon.oracle.readmodel_sql import H
     from txmon.oracle.report_sql import K
     from txmon.oracle.reports_sql import RP
+    from txmon.oracle.store_sql import S
     from txmon.oracle.timeliness_sql import T
-    return {**Q, **K, **H, **D, **DQS, **RP, **B, **T, **DD, **Y, **V, **PF}
+    return {**Q, **K, **H, **D, **DQS, **RP, **B, **T, **DD, **Y, **V, **PF, **S}
 
 
 # Queries timed by bench.py (monitor model, over materialized tables).

@@ -5,6 +5,8 @@ Every "now" is the model's ``as_of`` date, so results repeat.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,14 +32,17 @@ def _pct_change(cur, prev):
 
 def m1_month_over_month(r: Report) -> DataFrame:
     """Alerts and flagged amount in the run month against the previous month."""
-    cur = F.lit(r.as_of[:7])
-    prev = F.date_format(F.add_months(F.lit(r.as_of).cast("date"), -1), "yyyy-MM")
-    m = month_key("created_at")
-    g = r.alerts.agg(
-        F.sum((m == cur).cast("int")).cast("bigint").alias("alerts_this_month"),
-        F.sum((m == prev).cast("int")).cast("bigint").alias("alerts_prev_month"),
-        F.coalesce(F.sum(F.when(m == cur, F.col("flagged_amount"))), F.lit(0)).alias("_a"),
-        F.coalesce(F.sum(F.when(m == prev, F.col("flagged_amount"))), F.lit(0)).alias("_b"))
+    first = dt.date.fromisoformat(r.as_of).replace(day=1)
+    before = (first - dt.timedelta(days=1)).replace(day=1)
+    after = (first + dt.timedelta(days=31)).replace(day=1)
+    bound = lambda d: F.lit(d.isoformat()).cast("timestamp_ntz")
+    t = F.col("created_at")
+    cur, prev = t >= bound(first), t < bound(first)
+    # half-open bounds on the column itself: they reach the scan
+    g = r.alerts.where((t >= bound(before)) & (t < bound(after))).agg(
+        F.count(F.when(cur, 1)).alias("alerts_this_month"), F.count(F.when(prev, 1)).alias("alerts_prev_month"),
+        F.coalesce(F.sum(F.when(cur, F.col("flagged_amount"))), F.lit(0)).alias("_a"),
+        F.coalesce(F.sum(F.when(prev, F.col("flagged_amount"))), F.lit(0)).alias("_b"))
     return g.select("alerts_this_month", "alerts_prev_month", rnd("_a", 2).alias("amount_this_month"),
                     rnd("_b", 2).alias("amount_prev_month"),
                     _pct_change(F.col("alerts_this_month"), F.col("alerts_prev_month")).alias("alerts_change_pct"),

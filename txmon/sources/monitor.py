@@ -114,7 +114,7 @@ def _account_cols(aid: Column, cust: Column, src: Column, opened: Column) -> lis
 
 
 def build_accounts(events: DataFrame, customer: DataFrame) -> DataFrame:
-    """Event accounts (one per user_id) and ledger accounts (one per customer, custkey % 10 <> 9)."""
+    """Event accounts (one per user_id) and ledger accounts (one per customer)."""
     users = events.select("user_id").distinct()
     uid = F.col("user_id")
     event_acc = users.select(*_account_cols(
@@ -122,7 +122,7 @@ def build_accounts(events: DataFrame, customer: DataFrame) -> DataFrame:
         F.date_add(F.lit("2023-11-01").cast("date"), (uid % 60).cast("int"))))
     ck = F.col("c_custkey")
     aid = odd_space(ck, LEDGER_BASE)
-    ledger = customer.filter(ck % 10 != 9).select(*_account_cols(
+    ledger = customer.select(*_account_cols(
         aid, ck, ck, F.date_add(F.lit("1994-10-01").cast("date"), (aid % 400).cast("int"))))
     return event_acc.unionByName(ledger)
 
@@ -160,7 +160,7 @@ def build_transactions(events: DataFrame, orders: DataFrame) -> DataFrame:
     )
     ok = F.col("o_orderkey")
     price = F.col("o_totalprice")
-    od = orders.filter(F.col("o_custkey") % 10 != 9).select(  # orders without a ledger account drop
+    od = orders.select(
         odd_space(ok, ORDER_TXN_BASE).alias("id"),
         odd_space(F.col("o_custkey"), LEDGER_BASE).alias("account_id"),
         _case(F.substring("o_orderpriority", 1, 1), PRIORITY_TYPE_MAP).alias("transaction_type"),
@@ -207,10 +207,3 @@ def build_fraud_customers(customers: DataFrame) -> DataFrame:
     return customers.filter(cid % 20 == 0).select(
         F.element_at(pats, ((cid / 20).cast("bigint") % len(FRAUD_PATTERNS) + 1).cast("int")).alias("pattern"),
         cid.alias("customer_id"))
-
-
-def build_audit_log(spark: SparkSession, events: list[tuple]) -> DataFrame:
-    """Audit rows (event_type, entity_type, entity_id, description, metadata JSON, created_at)."""
-    schema = ("event_type string, entity_type string, entity_id bigint, description string, "
-              "metadata string, created_at timestamp_ntz")
-    return spark.createDataFrame(events, schema)

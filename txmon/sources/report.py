@@ -146,7 +146,7 @@ def load_report(spark: SparkSession, sf_dir: str) -> Report:
     a = transactions.filter(F.col("_tid") % 25 == 0).join(acc_cust, F.col("_aid") == F.col("_a2"))
     t = F.col("_tid")
     created = F.timestamp_add("HOUR", t % 200, F.col("transaction_date"))
-    status = _pick(ALERT_STATUSES, F.floor(t / 25) % 5)
+    status = _pick(ALERT_STATUSES, F.floor(t / 375) % 5)  # every rule has alerts of every status
     alerts = a.select(
         key("ALRT", t, 12).alias("alert_id"), "transaction_id",
         (F.lit(1) + F.floor(t / 25) % 15).cast("int").alias("rule_id"),
