@@ -1,17 +1,21 @@
 """Trailing time-window aggregates that stay balanced on hot keys.
 
-A plain ``Window.partitionBy(key)`` puts every row of a key into one task, and
-AQE cannot split window partitions.  Trailing windows are bounded in time, so
-the key's timeline is cut into buckets of ``bucket_us`` and each bucket also
-receives a *halo*: the rows of the preceding ``max_width`` microseconds.
-Window partitions become ``(key, bucket)``; halo rows feed the frames but are
-dropped from the output.  Buckets default to the widest window, so a row is
-sent twice (its payload once) and a key holding a third of all rows is spread
-over (time span / widest window) tasks instead of one.
-
-A sliding frame is added up anew for every row, the square of a busy key's
-rows.  Frames here only grow: ``[t - w, t)`` is what came before ``t`` less
-what came before ``t - w``, two running totals that each row enters once.
+A plain ``Window.partitionBy(key)`` puts every row of a key into one task, and AQE cannot split window
+partitions.  Two plans share the keys between them:
+
+* **Buckets with a halo**, for almost all keys.  The key's timeline is cut into buckets of ``bucket_us``
+  and each bucket also receives the rows of the preceding ``max_width`` microseconds.  Halo rows feed the
+  frames but are dropped from the output.  A sliding frame is added up anew for every row, the square of
+  a busy key's rows; frames here only grow: ``[t - w, t)`` is what came before ``t`` less what came before
+  ``t - w``, two running totals that each row enters once.
+* **Two-level prefix sums**, for keys with more than ``hot_rows`` rows in a bucket.  Rows of one time are
+  counted together first, where they are read.  Each time then asks for the total before itself and, by
+  an expiry marker, before ``t - w``; both are the total of the sub-buckets before theirs, carried over a
+  table of sub-buckets, plus a running total inside their own.  A task holds one sub-bucket (an hour, for
+  windows of a week) of one key, whatever share of the rows the key has.
+
+Both give the same numbers.  Which keys are hot is part of the plan: a table of at most
+rows / ``hot_rows`` keys, which is what may be broadcast.
 """
 
 from __future__ import annotations
@@ -29,14 +33,17 @@ def _difference(df: DataFrame, fn: str, value: str | None, before, expired) -> C
         return (F.count(F.lit(1)).over(before) - F.count(F.lit(1)).over(expired)).cast("bigint")
     if fn != "sum":
         raise ValueError(f"unsupported trailing aggregate {fn}")
-    kind = df.schema[value].dataType
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        raise ValueError(f"{value} is {kind.simpleString()}: differences of running totals need an exact type")
-    exact = T.DecimalType(min(38, kind.precision + 10), kind.scale) if isinstance(kind, T.DecimalType) else T.LongType()
+    exact = _exact(df, value)
     total = [F.coalesce(F.sum(value).over(f), F.lit(0)) for f in (before, expired)]
     return (total[0] - total[1]).cast(exact)
 
 
+#: Rows of one key in one bucket from which the key's rows go by prefix sums.
+HOT_ROWS = 500_000
+#: Sub-buckets in the widest window.
+SUB_BUCKETS = 168
+
+
 def trailing_aggregates(
     df: DataFrame,
     key: str,
@@ -44,6 +51,7 @@ def trailing_aggregates(
     aggregates: dict[str, tuple[str, str | None, int]],
     bucket_us: int | None = None,
     payload: list[str] | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add trailing-window columns over the half-open frame ``[t - width, t)``.
 
@@ -51,8 +59,64 @@ def trailing_aggregates(
       (``sum`` is 0, not NULL, on an empty frame; integers and decimals only).
     payload: columns only needed on output rows; they are nulled on halo rows
       before the shuffle so the halo costs only key, time and values.
+    Rows with a null time fall into no frame and are not returned.
     """
     max_w = max(w for _, _, w in aggregates.values())
+    df = df.where(F.col(us).isNotNull())
+    busy = (df.groupBy(key, F.floor(F.col(us) / F.lit(bucket_us or max_w)).alias("_b")).count()
+            .where(F.col("count") > (HOT_ROWS if hot_rows is None else hot_rows)).select(F.col(key).alias("_hot")).distinct())
+    hot = F.broadcast(busy)  # at most rows / hot_rows keys
+    cold = df.join(hot, F.col(key) == F.col("_hot"), "left_anti")
+    warm = df.join(hot, F.col(key) == F.col("_hot"), "left_semi")
+    return bucketed_aggregates(cold, key, us, aggregates, bucket_us, payload).unionByName(
+        prefix_aggregates(warm, key, us, aggregates))
+
+
+def _exact(df: DataFrame, value: str):
+    """The type that holds sums of ``value`` exactly."""
+    kind = df.schema[value].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        raise ValueError(f"{value} is {kind.simpleString()}: differences of running totals need an exact type")
+    return T.DecimalType(min(38, kind.precision + 10), kind.scale) if isinstance(kind, T.DecimalType) else T.LongType()
+
+
+def prefix_aggregates(df: DataFrame, key: str, us: str, aggregates: dict[str, tuple[str, str | None, int]],
+                      sub_us: int | None = None) -> DataFrame:
+    """The same by two-level prefix sums; no task holds more than a sub-bucket of a key."""
+    widths = sorted({w for _, _, w in aggregates.values()})
+    sub_us = sub_us or max(widths[-1] // SUB_BUCKETS, 1)
+    values = sorted({v for _, v, _ in aggregates.values() if v})
+    totals = {"_n": F.count(F.lit(1)), **{f"_s_{v}": F.coalesce(F.sum(v), F.lit(0)).cast(_exact(df, v)) for v in values}}
+    kinds = {c: "bigint" if c == "_n" else _exact(df, c[3:]).simpleString() for c in totals}
+    points = df.groupBy(F.col(key).alias("_k"), F.col(us).alias("_t")).agg(*[v.alias(c) for c, v in totals.items()])
+    # the point itself, and a marker without weight where each of its windows begins
+    mark = lambda w: F.struct((F.col("_t") - w).alias("_x"), F.lit(w).cast("bigint").alias("_w"), *[
+        (F.col(c) if w == 0 else F.lit(0).cast(kinds[c])).alias(c) for c in totals])
+    marks = points.select("_k", "_t", F.explode(F.array(*[mark(w) for w in (0, *widths)])).alias("m")).select(
+        "_k", "_t", "m.*").withColumn("_b", F.floor(F.col("_x") / F.lit(sub_us)).cast("bigint"))
+    inside = Window.partitionBy("_k", "_b").orderBy("_x").rangeBetween(Window.unboundedPreceding, -1)
+    over = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0)).cast(kinds[c])
+    ranked = marks.select("_k", "_t", "_w", "_b", *[over(c, inside).alias(c) for c in totals])
+    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    subs = marks.groupBy("_k", "_b").agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in totals])
+    carried = subs.select(F.col("_k").alias("_ck"), F.col("_b").alias("_cb"), *[over(c, before).alias(f"_c{c}") for c in totals])
+    placed = ranked.join(carried, F.col("_k").eqNullSafe(F.col("_ck")) & (F.col("_b") == F.col("_cb"))).select("_k", "_t", "_w", *[
+        (F.col(c) + F.col(f"_c{c}")).cast(kinds[c]).alias(c) for c in totals])
+    at = lambda c, w: F.max(F.when(F.col("_w") == w, F.col(c)))
+    outs = []
+    for name, (fn, value, width) in aggregates.items():
+        if fn not in ("count", "sum"):
+            raise ValueError(f"unsupported trailing aggregate {fn}")
+        c = "_n" if fn == "count" else f"_s_{value}"
+        outs.append((at(c, 0) - at(c, width)).cast(kinds[c]).alias(name))
+    answers = placed.groupBy("_k", "_t").agg(*outs)
+    return df.join(answers, F.col(key).eqNullSafe(F.col("_k")) & (F.col(us) == F.col("_t"))).drop("_k", "_t")
+
+
+def bucketed_aggregates(df: DataFrame, key: str, us: str, aggregates: dict[str, tuple[str, str | None, int]],
+                        bucket_us: int | None = None, payload: list[str] | None = None) -> DataFrame:
+    """Trailing aggregates by buckets with a halo; a task holds a bucket of a key and its halo."""
+    max_w = max(w for _, _, w in aggregates.values())
     b_us = bucket_us or max_w
     halo_copies = math.ceil(max_w / b_us)
     t = F.col(us)
