@@ -23,6 +23,7 @@ def main() -> None:
 
     from txmon.operators.enrich import enrich
     from txmon.operators.rules import ALERT_COLUMNS, SCORE_COLUMNS, alert_rows, evaluate_rules, fire, rules_frame
+    from txmon.operators.windows import HOT_ROWS
     from txmon.plans.model import Monitor
     from txmon.plans.registry import BENCH_QUERIES
     from txmon.session import get_spark, materialize
@@ -43,7 +44,7 @@ def main() -> None:
 
     t0 = time.time()
     src = load_monitor_sources(spark, sf_dir)
-    wide = materialize(enrich(src.transactions, src.accounts, src.country_risk), "bench_enriched")
+    wide = materialize(enrich(src.transactions, src.accounts, src.country_risk, hot_rows=HOT_ROWS), "bench_enriched")
     n_rows = wide.count()
     timings["enrich"] = time.time() - t0
 

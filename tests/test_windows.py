@@ -27,9 +27,9 @@ def brute(data):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [0, 15, 10_000])
+@pytest.mark.parametrize("hot_rows", [0, 15, 10_000, None])
 def test_trailing_aggregates(spark, hot_rows):
-    """All keys by prefix sums (but the null key), some, none."""
+    """All keys by prefix sums (but the null key), some, none; and without a split."""
     from txmon.operators.windows import trailing_aggregates
     data = rows()
     df = spark.createDataFrame(data, "id bigint, k string, us bigint, v bigint, m decimal(18,2)")

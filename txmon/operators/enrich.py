@@ -40,15 +40,18 @@ def first_seen_counterparty(txns: DataFrame) -> DataFrame:
 
 
 def enrich(transactions: DataFrame, accounts: DataFrame, country_risk: DataFrame,
-           bucket_us: int | None = None, first: DataFrame | None = None) -> DataFrame:
+           bucket_us: int | None = None, first: DataFrame | None = None,
+           hot_rows: int | None = None) -> DataFrame:
     """Wide enriched transactions: every transaction column plus E01-E10, ``us`` and ``customer_id``.
 
     ``first`` (account_id, counterparty_account, _first_id) replaces the look through all rows for the
-    first of each counterparty, where it is kept from run to run."""
+    first of each counterparty, where it is kept from run to run.  ``hot_rows``: accounts with more rows in
+    a week go by prefix sums (see ``trailing_aggregates``)."""
     base = transactions.withColumn("us", micros("timestamp")).withColumn(
         "amount_usd", to_usd("amount", "currency"))
     payload = [c for c in base.columns if c not in ("id", "account_id", "us", "amount_usd")]
-    windowed = trailing_aggregates(base, "account_id", "us", WINDOWS, bucket_us=bucket_us, payload=payload)
+    windowed = trailing_aggregates(base, "account_id", "us", WINDOWS, bucket_us=bucket_us, payload=payload,
+                                   hot_rows=hot_rows)
     windowed = windowed.withColumn("amount_velocity_24h",
                                    F.round(F.col("amount_velocity_24h"), 2).cast(MONEY))
 

@@ -15,7 +15,9 @@ partitions.  Two plans share the keys between them:
   windows of a week) of one key, whatever share of the rows the key has.
 
 Both give the same numbers.  Which keys are hot is part of the plan: a table of at most
-rows / ``hot_rows`` keys, which is what may be broadcast.
+rows / ``hot_rows`` keys, which is what may be broadcast.  The split reads its input three times, so it
+is for inputs that are cheap to read, stored tables and projections of a scan; without ``hot_rows`` all
+keys go by buckets.
 """
 
 from __future__ import annotations
@@ -59,12 +61,15 @@ def trailing_aggregates(
       (``sum`` is 0, not NULL, on an empty frame; integers and decimals only).
     payload: columns only needed on output rows; they are nulled on halo rows
       before the shuffle so the halo costs only key, time and values.
-    Rows with a null time fall into no frame and are not returned.
+    hot_rows: keys with more rows in a bucket go by prefix sums, rows with a null time by neither; None
+      sends all keys by buckets.
     """
+    if hot_rows is None:
+        return bucketed_aggregates(df, key, us, aggregates, bucket_us, payload)
     max_w = max(w for _, _, w in aggregates.values())
     df = df.where(F.col(us).isNotNull())
     busy = (df.groupBy(key, F.floor(F.col(us) / F.lit(bucket_us or max_w)).alias("_b")).count()
-            .where(F.col("count") > (HOT_ROWS if hot_rows is None else hot_rows)).select(F.col(key).alias("_hot")).distinct())
+            .where(F.col("count") > hot_rows).select(F.col(key).alias("_hot")).distinct())
     hot = F.broadcast(busy)  # at most rows / hot_rows keys
     cold = df.join(hot, F.col(key) == F.col("_hot"), "left_anti")
     warm = df.join(hot, F.col(key) == F.col("_hot"), "left_semi")

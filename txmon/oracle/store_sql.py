@@ -16,6 +16,10 @@ SELECT * REPLACE (DATE '2024-06-30' AS evaluation_date) FROM rule_perf"""),
 SELECT ['structuring', 'rapid_velocity', 'round_trip', 'geo_risk', 'layering', 'dormant_activation', 'unusual_amounts',
         'cross_acct_smurf'][(id // 20) % 8 + 1] AS pattern, id AS customer_id
 FROM customers_m WHERE id % 20 = 0"""),
+    "n1_streaming_velocity": sql("""
+SELECT t.id, t.account_id, te.velocity_1h, te.velocity_24h, te.velocity_7d,
+       CAST(te.amount_velocity_24h AS DOUBLE) AS amount_velocity_24h
+FROM transactions_m t JOIN te ON te.transaction_id = t.id"""),
     "x05_full_run": sql("""
 , pairs AS (SELECT DISTINCT account_id, counterparty_account FROM transactions_m WHERE counterparty_account <> '')
 SELECT 'rules' AS table_name, COUNT(*) AS stored_rows FROM rules_m

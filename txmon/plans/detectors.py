@@ -16,10 +16,10 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txmon.functions.money import is_round_usd, rnd
+from txmon.functions.money import is_round_usd, rnd, to_usd
 from txmon.functions.timefn import US_PER_DAY, US_PER_HOUR, micros, ts_lit
 from txmon.operators.joins import broadcast_if_small, time_band_self_join
-from txmon.operators.windows import trailing_aggregates
+from txmon.operators.windows import HOT_ROWS, trailing_aggregates
 from txmon.plans.model import Monitor
 from txmon.sources.report import Report
 
@@ -48,7 +48,7 @@ def z01_large_cash(t, r, threshold=10000):
 def z02_structuring_24h(t, r, lo=9500, hi=10000, min_count=2):
     """Rows in [lo, hi) with at least ``min_count`` such rows in [t-24h, t] on the account."""
     near = t.filter((F.col("amount") >= lo) & (F.col("amount") < hi)).withColumn("_one", F.lit(1))
-    w = trailing_aggregates(near, "account_id", "us", {"_prev": ("sum", "_one", 24 * US_PER_HOUR)})
+    w = trailing_aggregates(near, "account_id", "us", {"_prev": ("sum", "_one", 24 * US_PER_HOUR)}, hot_rows=HOT_ROWS)
     return _hits(w.filter(F.col("_prev") + 1 >= min_count), 2)
 
 
@@ -89,7 +89,7 @@ def z06_dormant(t, r, days=180):
 
 def z07_small_deposits(t, r, under=3000, days=3, min_count=5):
     small = t.filter((F.col("transaction_type") == "credit") & (F.col("amount") < under)).withColumn("_one", F.lit(1))
-    w = trailing_aggregates(small, "account_id", "us", {"_prev": ("sum", "_one", days * US_PER_DAY)})
+    w = trailing_aggregates(small, "account_id", "us", {"_prev": ("sum", "_one", days * US_PER_DAY)}, hot_rows=HOT_ROWS)
     return _hits(w.filter(F.col("_prev") + 1 >= min_count), 7)
 
 
@@ -101,7 +101,7 @@ def z08_cross_border_wire(t, r, threshold=5000):
 
 def z09_velocity_24h(t, r, min_count=10):
     w = trailing_aggregates(t.select("account_id", "transaction_id", "us"), "account_id", "us",
-                            {"_prev": ("count", None, 24 * US_PER_HOUR)})
+                            {"_prev": ("count", None, 24 * US_PER_HOUR)}, hot_rows=HOT_ROWS)
     return _hits(w.filter(F.col("_prev") + 1 >= min_count), 9)
 
 
@@ -194,9 +194,10 @@ def detection_counts(r: Report) -> DataFrame:
 
 def n2_rolling_cash_deposits(m: Monitor, days: int = 7, threshold: float = 25000) -> DataFrame:
     """Per customer, cash deposits whose trailing ``days`` total (current included) exceeds ``threshold``."""
-    cash = m.wide.filter(F.col("transaction_type") == "cash_deposit").select(
-        "id", "customer_id", "us", "timestamp", "amount_usd")
-    w = trailing_aggregates(cash, "customer_id", "us", {"_prev": ("sum", "amount_usd", days * US_PER_DAY)})
+    owner = broadcast_if_small(m.accounts.select(F.col("id").alias("account_id"), "customer_id"))
+    cash = m.transactions.filter(F.col("transaction_type") == "cash_deposit").join(owner, "account_id", "left").select(
+        "id", "customer_id", micros("timestamp").alias("us"), "timestamp", to_usd("amount", "currency").alias("amount_usd"))
+    w = trailing_aggregates(cash, "customer_id", "us", {"_prev": ("sum", "amount_usd", days * US_PER_DAY)}, hot_rows=HOT_ROWS)
     tot = F.col("_prev") + F.col("amount_usd")
     return w.filter(tot > threshold).select(F.col("id").alias("transaction_id"), "customer_id", "timestamp",
                                             rnd(tot, 2).alias("rolling_cash_usd"))

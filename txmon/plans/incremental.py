@@ -27,6 +27,7 @@ from txmon.functions.timefn import micros
 from txmon.operators.enrich import ENRICHMENT_COLUMNS, enrich, first_seen_counterparty
 from txmon.operators.precision import ground_truth_from_audit, rule_performance
 from txmon.operators.rules import ALERT_COLUMNS, SCORE_COLUMNS, alert_rows, fire, rules_frame
+from txmon.operators.windows import HOT_ROWS
 from txmon.session import checkpoint_dir
 from txmon.sources.monitor import MonitorSources, build_fraud_customers, load_monitor_sources
 from txmon.sources.store import StoredTable
@@ -139,7 +140,7 @@ class MonitorStore:
         asked = first_seen_counterparty(history.withColumn("us", micros("timestamp"))).select(*key)
         first = self.first_seen.read().join(asked, key, "left_semi").groupBy(*key).agg(
             F.min(F.struct("us", "id"))["id"].alias("_first_id"))
-        wide = enrich(history, accounts, country_risk, first=first).withColumn("day", self.day())
+        wide = enrich(history, accounts, country_risk, first=first, hot_rows=HOT_ROWS).withColumn("day", self.day())
         rows = wide.join(new, ["day", "id"], "left_semi").select(*ENRICHMENT_COLUMNS, "customer_id", "day")
         return self.enrichment.merge(rows, ["day", "transaction_id"], batch)
 

@@ -52,10 +52,11 @@ class Monitor:
 
 
 def load_monitor(spark: SparkSession, sf_dir: str, include_scaled: bool = True,
-                 materialized: bool = False, bucket_us: int | None = None) -> Monitor:
+                 materialized: bool = False, bucket_us: int | None = None,
+                 hot_rows: int | None = None) -> Monitor:
     src = load_monitor_sources(spark, sf_dir)
     rules = rules_frame(spark, include_scaled)
-    wide = enrich(src.transactions, src.accounts, src.country_risk, bucket_us=bucket_us)
+    wide = enrich(src.transactions, src.accounts, src.country_risk, bucket_us=bucket_us, hot_rows=hot_rows)
     columns = wide.columns
     fired, skipped = fire(wide, src.accounts, src.customers, rules)
     if materialized:

@@ -12,6 +12,7 @@ from txmon.plans import monitor_queries as MQ
 from txmon.operators import expectations as BX
 from txmon.operators import quality as DQ
 from txmon.operators import timeliness as TQ
+from txmon.operators.windows import HOT_ROWS
 from txmon.operators.graph import shared_counterparty_components
 from txmon.plans import context as YQ
 from txmon.plans import detectors as ZQ
@@ -24,13 +25,14 @@ from txmon.plans import reports as RQ
 from txmon.plans import showcase as KQ
 from txmon.plans.model import Monitor, load_monitor
 from txmon.sources.report import Report, load_report
+from txmon.streaming.velocity import n1_streaming_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _m(fn: Callable[[Monitor], DataFrame]) -> Query:
+def _m(fn: Callable[[Monitor], DataFrame], hot_rows: int | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(load_monitor(spark, sf_dir))
+        return fn(load_monitor(spark, sf_dir, hot_rows=hot_rows))
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run
@@ -111,9 +113,12 @@ REPORT: dict[str, Callable[[Report], DataFrame]] = {
 
 
 def queries() -> dict[str, Query]:
-    out: dict[str, Query] = {name: _m(fn) for name, fn in MONITOR.items()}
+    # enrichment itself splits hot accounts; the analyses read few of its columns, or a stored table of it
+    hot = {"enrichment_totals", "transaction_enrichment"}
+    out: dict[str, Query] = {name: _m(fn, HOT_ROWS if name in hot else None) for name, fn in MONITOR.items()}
     out.update({name: _r(fn) for name, fn in REPORT.items()})
     out.update(SQ.ALL)
+    out["n1_streaming_velocity"] = n1_streaming_velocity
     return out
 
 

@@ -1,82 +1,140 @@
 """Real-time velocity enrichment with Structured Streaming.
 
-Exact trailing windows per event are not tumbling/sliding windows, so the
-state per account keeps the last 7 days of ``(time, usd cents)``; each
-micro-batch merges its rows with that state and answers the half-open
-``[t - w, t)`` counts and sums by binary search (numpy inside the task; Spark
-keys, shuffles and checkpoints the state).  State older than the largest
-window behind the newest row is dropped, so it stays bounded by one week of
-one account's activity.  Results equal the batch enrichment when each
-account's rows arrive in time order across micro-batches (rows inside one
-batch may come in any order).
+Velocities depend on an account and a time only, so the stream answers for (account, time) and rows take
+their answer by joining on both.  State is kept by (account, week): the distinct times of that week and of
+the one before, with counts and sums.  A row therefore enters two states, its own week and the next, and
+no state holds more than two weeks of one account, one entry for each time that occurs.
+
+Rows may arrive in any order.  A late row changes the answers of later times; these are given again with
+a higher version, and ``latest_velocity`` keeps the last.  The watermark trails the newest time seen by
+``late_by``; rows older than it are left to the next batch run, and a week's state goes by an event-time
+timer when the watermark has passed its end, for no row that may still come can reach it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from txmon.functions.money import to_usd
+from txmon.functions.money import MONEY, to_usd
 from txmon.functions.timefn import US_PER_DAY, US_PER_HOUR, micros
+from txmon.session import checkpoint_dir
+from txmon.sources.monitor import load_monitor_sources
+from txmon.sources.store import latest
 
 WINDOWS = {"velocity_1h": US_PER_HOUR, "velocity_24h": 24 * US_PER_HOUR, "velocity_7d": 7 * US_PER_DAY}
 AMOUNT_WINDOW = ("amount_velocity_24h", 24 * US_PER_HOUR)
-KEEP_US = 7 * US_PER_DAY
-
-OUTPUT_SCHEMA = ("id long, account_id long, velocity_1h long, velocity_24h long, velocity_7d long, "
-                 "amount_velocity_24h double")
-STATE_SCHEMA = "us array<long>, cents array<long>"
-
-
-def _velocity_state_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    new = pd.concat(list(pdfs), ignore_index=True).sort_values(["us", "id"], kind="mergesort")
-    if state.exists:
-        h_us, h_cents = state.get
-        h_us, h_cents = np.asarray(h_us, dtype=np.int64), np.asarray(h_cents, dtype=np.int64)
-    else:
-        h_us, h_cents = np.empty(0, np.int64), np.empty(0, np.int64)
-    all_us = np.concatenate([h_us, new["us"].to_numpy(np.int64)])
-    all_cents = np.concatenate([h_cents, new["cents"].to_numpy(np.int64)])
-    order = np.argsort(all_us, kind="mergesort")
-    all_us, all_cents = all_us[order], all_cents[order]
-    prefix = np.concatenate([[0], np.cumsum(all_cents)])
-    t = new["us"].to_numpy(np.int64)
-    hi = np.searchsorted(all_us, t, side="left")
-    out = {"id": new["id"].to_numpy(np.int64), "account_id": new["account_id"].to_numpy(np.int64)}
-    for name, w in WINDOWS.items():
-        out[name] = hi - np.searchsorted(all_us, t - w, side="left")
-    name, w = AMOUNT_WINDOW
-    lo = np.searchsorted(all_us, t - w, side="left")
-    out[name] = (prefix[hi] - prefix[lo]) / 100.0
-    keep = all_us >= all_us[-1] - KEEP_US
-    state.update((all_us[keep].tolist(), all_cents[keep].tolist()))
-    yield pd.DataFrame(out)
-
-
-def velocity_stream(transactions_stream: DataFrame) -> DataFrame:
-    """Monitor-model transaction stream -> per-row velocity columns (append mode)."""
-    rows = transactions_stream.select(
-        "id", "account_id", micros("timestamp").alias("us"),
-        (to_usd("amount", "currency") * 100).cast("bigint").alias("cents"))
-    return rows.groupBy("account_id").applyInPandasWithState(
-        _velocity_state_fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-
-
-def run_to_table(stream_df: DataFrame, out_path: str, checkpoint: str, trigger_once: bool = True):
-    """Write the velocity stream to Parquet with exactly-once file sink semantics."""
-    q = (velocity_stream(stream_df).writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    q = q.trigger(availableNow=True) if trigger_once else q
-    return q.start()
-
-
-def stream_transactions(spark, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
+BUCKET_US = 7 * US_PER_DAY  # the widest window
+LATE_BY = "10 days"
+
+ANSWERS = ("account_id long, us long, velocity_1h long, velocity_24h long, velocity_7d long, "
+           "cents_24h long, version long")
+STATE = "us array<long>, n array<long>, cents array<long>, version long"
+
+
+def _answers(t: np.ndarray, us: np.ndarray, n: np.ndarray, cents: np.ndarray) -> np.ndarray:
+    """The counts and the sum over ``[t - w, t)`` for each time of ``t``, a column a window."""
+    count, total = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(cents)])
+    upto = np.searchsorted(us, t, side="left")
+    since = lambda w: np.searchsorted(us, t - w, side="left")
+    out = [count[upto] - count[since(w)] for w in WINDOWS.values()]
+    return np.stack([*out, total[upto] - total[since(AMOUNT_WINDOW[1])]], axis=1)
+
+
+def _week(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    account, week = key
+    if state.hasTimedOut:
+        state.remove()
+        return
+    old = [np.asarray(x, np.int64) for x in state.get[:3]] if state.exists else [np.empty(0, np.int64)] * 3
+    version = state.get[3] + 1 if state.exists else 0
+    more = pd.concat(list(frames), ignore_index=True).groupby("us", as_index=False)[["n", "cents"]].sum()
+    new = more["us"].to_numpy(np.int64)
+    both = pd.DataFrame({"us": np.concatenate([old[0], new]), "n": np.concatenate([old[1], more["n"].to_numpy(np.int64)]),
+                         "cents": np.concatenate([old[2], more["cents"].to_numpy(np.int64)])})
+    both = both.groupby("us", as_index=False).sum()
+    us, n, cents = (both[c].to_numpy(np.int64) for c in ("us", "n", "cents"))
+    state.update((us.tolist(), n.tolist(), cents.tolist(), version))
+    # no row can reach this week once the watermark is past its end
+    end_ms = (int(week) + 1) * BUCKET_US // 1000
+    state.setTimeoutTimestamp(max(end_ms, state.getCurrentWatermarkMs() + 1))
+    mine = us[us >= int(week) * BUCKET_US]
+    mine = mine[mine < (int(week) + 1) * BUCKET_US]
+    now = _answers(mine, us, n, cents)
+    said = np.isin(mine, old[0])  # answered before: again only where the answer has changed
+    changed = ~said | (now != _answers(mine, *old)).any(axis=1) if len(old[0]) else np.ones(len(mine), bool)
+    if changed.any():
+        out = pd.DataFrame(now[changed], columns=[*WINDOWS, "cents_24h"])
+        out.insert(0, "us", mine[changed])
+        out.insert(0, "account_id", account)
+        out["version"] = version
+        yield out
+
+
+def velocity_stream(transactions_stream: DataFrame, late_by: str = LATE_BY) -> DataFrame:
+    """A stream of transactions -> ANSWERS for each (account, time), corrections included (append mode).
+
+    Rows without an account or a time have no velocity and are left out; rows older than the watermark
+    too, and answers do not count them.
+    """
+    t = F.col("us")
+    own = F.floor(t / BUCKET_US).cast("bigint")
+    rows = transactions_stream.where("account_id IS NOT NULL AND timestamp IS NOT NULL").select(
+        "account_id", micros("timestamp").alias("us"), (to_usd("amount", "currency") * 100).cast("bigint").alias("cents"))
+    timed = rows.withColumn("at", F.timestamp_micros("us")).withWatermark("at", late_by)
+    dealt = timed.select("account_id", "at", "us", F.lit(1).cast("bigint").alias("n"), F.coalesce("cents", F.lit(0)).cast("bigint").alias("cents"),
+                         F.explode(F.array(own, own + 1)).alias("week"))
+    return dealt.groupBy("account_id", "week").applyInPandasWithState(
+        _week, ANSWERS, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def latest_velocity(answers: DataFrame) -> DataFrame:
+    """account_id, us and the velocities: the last answer for each account and time."""
+    last = latest(answers, ["account_id", "us"], "version")
+    name = AMOUNT_WINDOW[0]
+    return last.select("account_id", "us", *WINDOWS, (F.col("cents_24h").cast("decimal(20,0)") / 100).cast(MONEY).alias(name))
+
+
+def run_to_table(stream_df: DataFrame, out_path: str, checkpoint: str, late_by: str = LATE_BY):
+    """Write the answers of all rows there are to Parquet, exactly once; returns the ended query."""
+    q = (velocity_stream(stream_df, late_by).writeStream.format("parquet").option("path", out_path)
+         .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def stream_transactions(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
+    """A folder of Parquet files as a stream, oldest file first."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-__all__ = ["velocity_stream", "run_to_table", "stream_transactions", "F"]
+def arrivals(transactions: DataFrame, path: str, chunks: int, late: str, delay_us: int) -> None:
+    """The transactions as files in the order of their arrival: rows for which ``late`` (SQL) holds arrive
+    ``delay_us`` after their time, the others at once."""
+    us = micros("timestamp")
+    rows = transactions.withColumn("_at", us + F.when(F.expr(late), F.lit(delay_us)).otherwise(0))
+    cuts = rows.select(F.percentile_approx("_at", [i / chunks for i in range(1, chunks)]).alias("c")).first()["c"]
+    bounds = [None, *(cuts or []), None]
+    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+        part = rows if low is None else rows.where(F.col("_at") >= low)
+        part = part if high is None else part.where(F.col("_at") < high)
+        part.drop("_at").coalesce(1).write.mode("append").parquet(path)
+
+
+def n1_streaming_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Velocities of every transaction from a stream in which a seventh of the rows comes two days late."""
+    src = load_monitor_sources(spark, sf_dir)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream/{uuid.uuid4().hex}"
+    arrivals(src.transactions, f"{base}/in", 4, "id % 7 = 0", 2 * US_PER_DAY)
+    stream = stream_transactions(spark, f"{base}/in", src.transactions.schema)
+    run_to_table(stream, f"{base}/out", f"{base}/state")
+    last = latest_velocity(spark.read.schema(ANSWERS).parquet(f"{base}/out"))
+    rows = src.transactions.select("id", "account_id", micros("timestamp").alias("us"))
+    return rows.join(last, ["account_id", "us"]).select(
+        "id", "account_id", *WINDOWS, F.col(AMOUNT_WINDOW[0]).cast("double").alias(AMOUNT_WINDOW[0]))
