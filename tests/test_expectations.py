@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from txmon.operators import expectations as X
 from txmon.operators.rules import SCORE_COLUMNS, rules_frame
-from txmon.plans import readmodels as HQ
 from txmon.plans.model import load_monitor
 
 SF = "/root/testdata/sf0.001"
@@ -81,16 +80,6 @@ def test_planted_enrichment_and_alert_violations(spark):
         "alerts: unique transaction_id, rule_id": 1}
 
 
-def test_read_model_pages(spark):
-    """Page sizes, filters, disjoint pages and order of the transaction list."""
-    m = load_monitor(spark, SF)
-    pages = [HQ.h02_transactions(m, page=p, per_page=20).collect() for p in (1, 2)]
-    ids = [[r["id"] for r in p] for p in pages]
-    assert len(ids[0]) == len(ids[1]) == 20 and not set(ids[0]) & set(ids[1])
-    filtered = HQ.h02_transactions(m, txn_type="wire_out", min_amount=1000, per_page=20).collect()
-    assert filtered and all(r["transaction_type"] == "wire_out" and r["amount"] >= 1000 for r in filtered)
-
-
 def test_new_countries_and_global_ranks(spark):
     from txmon.operators.ranking import global_percent_rank
     from txmon.operators.timeliness import new_countries

@@ -47,6 +47,12 @@ V["g3_best_worst"] = rsql(RULES + """
                     CAST(row_number() OVER (ORDER BY precision DESC, alerts DESC, rule_id) AS INTEGER) AS from_best,
                     CAST(row_number() OVER (ORDER BY precision, alerts, rule_id) AS INTEGER) AS from_worst FROM shown)
 SELECT * FROM placed WHERE least(from_best, from_worst) <= 3""")
+V["g3_totals"] = rsql(RULES + f"""
+SELECT {R('AVG(precision)', 4)} AS avg_precision, {R('AVG(recall)', 4)} AS avg_recall, {R('AVG(f1)', 4)} AS avg_f1,
+       CAST(SUM(alerts) AS BIGINT) AS total_generated, COUNT(*) AS rules, COUNT(*) FILTER (WHERE f1 < 0.5) AS weak_rules FROM shown""")
+V["g3_weak_rules"] = rsql(RULES + """
+SELECT s.rule_id, s.rule_name, r.rule_category, r.threshold_value, s.f1, s.alerts
+FROM shown s JOIN r_rules r ON r.rule_id = s.rule_id WHERE s.f1 < 0.5""")
 V["g4_rule_volume"] = rsql(f"SELECT rule_id, COUNT(*) AS alerts, {R('SUM(flagged_amount)', 2)} AS total_amount FROM r_alerts GROUP BY 1")
 V["g4_coverage"] = rsql(f"""
 , n AS (SELECT (SELECT COUNT(*) FROM r_alerts) AS alerts, (SELECT COUNT(*) FROM r_transactions) AS transactions)

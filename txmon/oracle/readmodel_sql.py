@@ -187,3 +187,53 @@ SELECT (SELECT COUNT(*) FROM customers_m) AS customers, (SELECT COUNT(*) FROM ac
        {R('(SELECT CAST(round(SUM(amount_usd), 2) AS DOUBLE) FROM wide_m) / 1e9', 2)} AS volume_billions,
        (SELECT CAST(COUNT(*) AS BIGINT) FROM alerts_m WHERE status = 'open') AS open_alerts,
        (SELECT CAST(COUNT(*) AS BIGINT) FROM alerts_m WHERE score >= 60) AS high_score_alerts""")
+
+_ALERTED = """
+, al_m AS (
+  SELECT a.*, w.customer_id, r.name AS rule_name, r.category FROM alerts_m a JOIN wide_m w ON w.id = a.transaction_id
+       JOIN rules_m r ON r.id = a.rule_id)"""
+
+H["h05_profile_summary"] = sql(_ALERTED + f"""
+, per AS (SELECT customer_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE score >= 60) AS high,
+                 {R('SUM(CAST(score AS DECIMAL(20,2))) / CAST(COUNT(*) AS DOUBLE)', 1)} AS mean, MAX(score) AS top FROM al_m GROUP BY customer_id),
+acc AS (SELECT customer_id, COUNT(*) AS n FROM accounts_m GROUP BY customer_id),
+tx AS (SELECT customer_id, COUNT(*) AS n FROM wide_m GROUP BY customer_id)
+SELECT c.id AS customer_id, c.name, c.customer_type, c.risk_rating, c.country, c.registration_date, c.kyc_status, c.pep_status,
+       cr.country_name, cr.risk_level AS country_risk_level, coalesce(acc.n, 0) AS accounts_held,
+       coalesce(per.n, 0) AS total_alerts, coalesce(per.high, 0) AS high_alerts, per.mean AS avg_score, per.top AS max_score,
+       CAST(least(coalesce(acc.n, 0), 100) AS INTEGER) AS n_accounts,
+       CAST(least(coalesce(tx.n, 0), 20) AS INTEGER) AS n_recent_transactions,
+       CAST(least(coalesce(per.n, 0), 10) AS INTEGER) AS n_recent_alerts
+FROM customers_m c JOIN country_risk_m cr ON cr.country_code = c.country LEFT JOIN per ON per.customer_id = c.id
+     LEFT JOIN acc ON acc.customer_id = c.id LEFT JOIN tx ON tx.customer_id = c.id""")
+
+H["h05_profile_accounts"] = sql("""
+SELECT customer_id, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY opened_date, id) AS INTEGER) AS rank, id, account_type,
+       currency, opened_date, status, daily_limit
+FROM accounts_m WHERE customer_id IN (SELECT id FROM customers_m) QUALIFY rank <= 100""")
+
+H["h05_profile_transactions"] = sql("""
+SELECT customer_id, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY timestamp DESC, id DESC) AS INTEGER) AS rank, id,
+       account_id, transaction_type, CAST(amount AS DOUBLE) AS amount, currency, timestamp, counterparty_country, channel,
+       status, CAST(amount_usd AS DOUBLE) AS amount_usd, velocity_1h
+FROM wide_m WHERE customer_id IN (SELECT id FROM customers_m) QUALIFY rank <= 20""")
+
+H["h05_profile_alerts"] = sql(_ALERTED + """
+SELECT customer_id, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, alert_id) AS INTEGER) AS rank,
+       alert_id AS id, score, status, TIMESTAMP '2025-01-01 00:00:00' AS created_date, rule_name, category
+FROM al_m QUALIFY rank <= 10""")
+
+H["b7_transaction_pages"] = sql("""
+, o AS (SELECT timestamp, id, row_number() OVER (ORDER BY timestamp DESC, id DESC) - 1 AS place, COUNT(*) OVER () AS total
+        FROM transactions_m)
+SELECT place // 200 + 1 AS page, timestamp AS first_timestamp, id AS first_id, least(200, total - place) AS page_rows, total,
+       (total + 199) // 200 AS pages
+FROM o WHERE place % 200 = 0""")
+
+H["b7_page_by_key"] = sql("""
+SELECT id, timestamp, account_id, CAST(amount AS DOUBLE) AS amount FROM transactions_m
+ORDER BY timestamp DESC, id DESC LIMIT 100 OFFSET 600""")
+
+H["s10_transactions_csv"] = H["x01_transactions_export"]
+H["s11_alerts_csv"] = H["x02_alerts_export"]
+H["s12_customer_risk_csv"] = H["x03_customer_risk_summary"]

@@ -20,6 +20,14 @@ FROM customers_m WHERE id % 20 = 0"""),
 SELECT t.id, t.account_id, te.velocity_1h, te.velocity_24h, te.velocity_7d,
        CAST(te.amount_velocity_24h AS DOUBLE) AS amount_velocity_24h
 FROM transactions_m t JOIN te ON te.transaction_id = t.id"""),
+    # components over the counterparties, of which there are few, then the least account of each
+    "n5_counterparty_components": sql("""
+, edges AS (SELECT DISTINCT account_id, counterparty_account AS cp FROM wide_m WHERE counterparty_account <> ''),
+near AS (SELECT DISTINCT a.cp AS x, b.cp AS y FROM edges a JOIN edges b ON a.account_id = b.account_id),
+reach(x, y) AS (SELECT x, y FROM near UNION SELECT r.x, n.y FROM reach r JOIN near n ON n.x = r.y),
+least_of AS (SELECT r.x AS cp, min(e.account_id) AS least_id FROM reach r JOIN edges e ON e.cp = r.y GROUP BY r.x)
+SELECT e.account_id, min(l.least_id) AS component_id FROM edges e JOIN least_of l ON l.cp = e.cp GROUP BY e.account_id""").replace(
+        "WITH ", "WITH RECURSIVE ", 1),
     "x05_full_run": sql("""
 , pairs AS (SELECT DISTINCT account_id, counterparty_account FROM transactions_m WHERE counterparty_account <> '')
 SELECT 'rules' AS table_name, COUNT(*) AS stored_rows FROM rules_m

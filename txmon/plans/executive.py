@@ -88,6 +88,20 @@ def g3_best_worst(r: Report, k: int = 3) -> DataFrame:
     return ranked.where((F.col("from_best") <= k) | (F.col("from_worst") <= k))
 
 
+def g3_totals(r: Report) -> DataFrame:
+    """Averages over the rules, all alerts they raised, and how many rules have an F1 below one half."""
+    return v4_rule_table(r).agg(  # bounded catalogue
+        rnd(F.avg("precision"), 4).alias("avg_precision"), rnd(F.avg("recall"), 4).alias("avg_recall"),
+        rnd(F.avg("f1"), 4).alias("avg_f1"), F.sum("alerts").cast("bigint").alias("total_generated"),
+        F.count("*").alias("rules"), F.count(F.when(F.col("f1") < 0.5, 1)).alias("weak_rules"))
+
+
+def g3_weak_rules(r: Report) -> DataFrame:
+    """The rules to tune: F1 below one half."""
+    t = v4_rule_table(r).join(F.broadcast(r.rules.select("rule_id", "rule_category", "threshold_value")), "rule_id")  # bounded
+    return t.where(F.col("f1") < 0.5).select("rule_id", "rule_name", "rule_category", "threshold_value", "f1", "alerts")
+
+
 def g4_rule_volume(r: Report) -> DataFrame:
     return r.alerts.groupBy("rule_id").agg(F.count("*").alias("alerts"), rnd(F.sum("flagged_amount"), 2).alias("total_amount"))
 
@@ -121,4 +135,4 @@ def v5_customer_risk(r: Report) -> DataFrame:
 
 ALL = {f.__name__: f for f in (
     m3_by_status, m3_by_day, v2_weekly_series_52, v3_severity_mix, v3_status_funnel, v3_top_countries, v4_rule_table,
-    g3_best_worst, g4_rule_volume, g4_coverage, v5_recent_alerts, v5_monthly_amounts, v5_customer_risk)}
+    g3_best_worst, g3_totals, g3_weak_rules, g4_rule_volume, g4_coverage, v5_recent_alerts, v5_monthly_amounts, v5_customer_risk)}

@@ -5,14 +5,19 @@ computed for all keys at once and filtered by the caller.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txmon.functions.money import rnd, safe_div
 from txmon.functions.timefn import month_key, ts_lit
+from txmon.operators.pages import page_directory, seek, top_per_group, write_ordered
 from txmon.plans.model import Monitor
+from txmon.session import checkpoint_dir
 
 MAX_PAGE = 200
+TXN_ORDER = [("timestamp", True), ("id", True)]
 
 
 def h01_stats(m: Monitor) -> DataFrame:
@@ -119,32 +124,86 @@ def h04_alert_detail(m: Monitor) -> DataFrame:
         "account_age_days")
 
 
-def h05_customer_profiles(m: Monitor, n_txns: int = 20, n_alerts: int = 10) -> DataFrame:
-    """One row per customer: accounts[], last N transactions[], alert summary, top alerts[].
+PROFILE_ACCOUNTS, PROFILE_TXNS, PROFILE_ALERTS = 100, 20, 10
+
+
+def _profile_accounts(m: Monitor) -> DataFrame:
+    a = m.accounts.select("customer_id", "id", "account_type", "currency", "opened_date", "status", "daily_limit")
+    return top_per_group(a, "customer_id", [("opened_date", False), ("id", False)], PROFILE_ACCOUNTS)
+
+
+def _profile_transactions(m: Monitor) -> DataFrame:
+    t = m.wide.select("customer_id", "id", "account_id", "transaction_type", F.col("amount").cast("double").alias("amount"),
+                      "currency", "timestamp", "counterparty_country", "channel", "status",
+                      F.col("amount_usd").cast("double").alias("amount_usd"), "velocity_1h")
+    return top_per_group(t, "customer_id", [("timestamp", True), ("id", True)], PROFILE_TXNS)
+
 
-    Lists are cut per customer by row_number (the feature), so each collected
-    list is bounded by N.
+def _profile_alerts(m: Monitor) -> DataFrame:
+    a = m.alerts_wide().select("customer_id", F.col("alert_id").alias("id"), "score", "status", "created_date", "rule_name",
+                               "category")
+    return top_per_group(a, "customer_id", [("score", True), ("id", False)], PROFILE_ALERTS)
+
+
+def h05_customer_profiles(m: Monitor) -> DataFrame:
+    """One row per customer: the customer, its country, how many accounts it has and the first
+    PROFILE_ACCOUNTS of them, its last PROFILE_TXNS transactions, its alert summary and its
+    PROFILE_ALERTS highest alerts.
+
+    Lists are cut before they are collected, so none is longer than its bound; the accounts beyond
+    are found by ``seek`` from the last one listed.
     """
-    acc = m.accounts.groupBy("customer_id").agg(F.sort_array(F.collect_list(F.struct(
-        "id", "account_type", "currency", "status", "opened_date"))).alias("accounts"))
-    wt = Window.partitionBy("customer_id").orderBy(F.desc("timestamp"), F.desc("id"))
-    last = (m.wide.select("customer_id", "id", "timestamp", "transaction_type",
-                          F.col("amount_usd").cast("double").alias("amount_usd"))
-            .withColumn("_rn", F.row_number().over(wt)).filter(F.col("_rn") <= n_txns)
-            .groupBy("customer_id").agg(F.sort_array(F.collect_list(F.struct(
-                "_rn", "id", "timestamp", "transaction_type", "amount_usd"))).alias("recent_transactions")))
-    aw = m.alerts_wide()
-    summ = aw.groupBy("customer_id").agg(F.count("*").alias("total_alerts"), rnd(F.max("score"), 1).alias("max_score"),
-                                         rnd(F.avg("score"), 1).alias("avg_score"))
-    wa = Window.partitionBy("customer_id").orderBy(F.desc("score"), "alert_id")
-    top = (aw.withColumn("_rn", F.row_number().over(wa)).filter(F.col("_rn") <= n_alerts)
-           .groupBy("customer_id").agg(F.sort_array(F.collect_list(F.struct(
-               "_rn", "alert_id", "rule_name", "score"))).alias("top_alerts")))
-    cr = F.broadcast(m.country_risk.select(F.col("country_code").alias("country"),
+    def listed(rows: DataFrame, name: str) -> DataFrame:
+        fields = F.struct("rank", *[c for c in rows.columns if c not in ("customer_id", "rank")])
+        return rows.groupBy("customer_id").agg(F.sort_array(F.collect_list(fields)).alias(name))
+
+    n_acc = m.accounts.groupBy("customer_id").agg(F.count("*").alias("n_accounts"))
+    t = m.fired.groupBy("customer_id").agg(  # the alerts of a row stand on it
+        F.sum(F.size("hits")).cast("bigint").alias("total_alerts"),
+        F.sum(F.size(F.filter("hits", lambda h: h["composite_score"] >= 60))).cast("bigint").alias("high_alerts"),
+        F.sum(F.aggregate("hits", F.lit(0).cast("decimal(20,2)"), lambda x, h: (x + h["composite_score"]).cast("decimal(20,2)"))).alias("_s"),
+        F.max(F.array_max(F.transform("hits", lambda h: h["composite_score"]))).cast("double").alias("max_score"))
+    cr = F.broadcast(m.country_risk.select(F.col("country_code").alias("country"), "country_name",
                                            F.col("risk_level").alias("country_risk_level")))  # bounded
-    c = m.customers.join(cr, "country", "left").withColumnRenamed("id", "customer_id")
-    return (c.join(acc, "customer_id", "left").join(last, "customer_id", "left")
-            .join(summ, "customer_id", "left").join(top, "customer_id", "left"))
+    c = m.customers.join(cr, "country").withColumnRenamed("id", "customer_id")
+    out = c
+    for part in (n_acc, listed(_profile_accounts(m), "accounts"), listed(_profile_transactions(m), "recent_transactions"),
+                 t, listed(_profile_alerts(m), "recent_alerts")):
+        out = out.join(part, "customer_id", "left")
+    n = F.coalesce("total_alerts", F.lit(0))
+    return out.withColumn("total_alerts", n).withColumn("high_alerts", F.coalesce("high_alerts", F.lit(0))).withColumn(
+        "n_accounts", F.coalesce("n_accounts", F.lit(0))).withColumn(
+        "avg_score", rnd(F.try_divide(F.col("_s"), F.nullif(F.col("total_alerts"), F.lit(0))), 1)).drop("_s")
+
+
+def h05_profile_summary(m: Monitor) -> DataFrame:
+    """The profiles without their lists, and how long those are."""
+    p = h05_customer_profiles(m)
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).alias(f"n_{c}")
+    return p.select("customer_id", "name", "customer_type", "risk_rating", "country", "registration_date", "kyc_status",
+                    "pep_status", "country_name", "country_risk_level", F.col("n_accounts").alias("accounts_held"),
+                    "total_alerts", "high_alerts", "avg_score", "max_score", size("accounts"), size("recent_transactions"),
+                    size("recent_alerts"))
+
+
+def _exploded(name: str):
+    def rows(m: Monitor) -> DataFrame:
+        return h05_customer_profiles(m).select("customer_id", F.explode(name).alias("x")).select("customer_id", "x.*")
+    return rows
+
+
+def b7_transaction_pages(m: Monitor, per_page: int = MAX_PAGE) -> DataFrame:
+    """The directory of H2's pages, by their first keys."""
+    d = page_directory(m.transactions.select("timestamp", "id"), TXN_ORDER, per_page)
+    return d.select("page", F.col("timestamp").alias("first_timestamp"), F.col("id").alias("first_id"),
+                    F.col("rows").alias("page_rows"), "total", "pages")
+
+
+def b7_page_by_key(m: Monitor, page: int = 7, per_page: int = 100) -> DataFrame:
+    """A page read from its first key in the directory."""
+    t = m.transactions.select("id", "timestamp", "account_id", F.col("amount").cast("double").alias("amount"))
+    key = page_directory(t, TXN_ORDER, per_page).where(F.col("page") == page).first()
+    return seek(t, TXN_ORDER, per_page, key.asDict(), inclusive=True) if key else t.limit(0)
 
 
 def h06_rules(m: Monitor) -> DataFrame:
@@ -234,7 +293,7 @@ def x01_transactions_export(m: Monitor) -> DataFrame:
         "velocity_1h", "velocity_24h", "velocity_7d",
         F.col("amount_velocity_24h").cast("double").alias("amount_velocity_24h"), "country_risk_score",
         "is_new_counterparty", "account_age_days", "customer_id", "customer_name", "risk_rating",
-        "customer_type").orderBy("timestamp", "id")
+        "customer_type")
 
 
 def x02_alerts_export(m: Monitor) -> DataFrame:
@@ -243,7 +302,7 @@ def x02_alerts_export(m: Monitor) -> DataFrame:
         "alert_id", "score", "status", "created_date", "resolved_date", "rule_name", "category", "severity",
         "transaction_id", "transaction_type", "amount", "currency", "timestamp", "counterparty_country",
         "customer_id", "customer_name", "risk_rating", "customer_type", "pep_status", "rule_score",
-        "customer_risk_score", "geographic_risk_score", "behavioral_score").orderBy(F.desc("score"), "alert_id")
+        "customer_risk_score", "geographic_risk_score", "behavioral_score")
 
 
 def x03_customer_risk_summary(m: Monitor) -> DataFrame:
@@ -264,7 +323,7 @@ def x03_customer_risk_summary(m: Monitor) -> DataFrame:
         F.coalesce("total_alerts", F.lit(0)).cast("bigint").alias("total_alerts"),
         rnd("_mx", 2).alias("max_alert_score"),
         rnd(F.try_divide(F.col("_s"), F.nullif(F.col("total_alerts"), F.lit(0))), 2).alias("avg_alert_score"),
-    ).orderBy(F.desc_nulls_last("max_alert_score"), F.desc("total_alerts"), "id")
+    )
 
 
 def x04_quick_stats(m: Monitor) -> DataFrame:
@@ -274,10 +333,27 @@ def x04_quick_stats(m: Monitor) -> DataFrame:
                     "high_score_alerts")
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """Header row, UTF-8, one directory of part files, sorted as the frame is."""
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
-    return path
+# The exports and the order of their rows
+EXPORTS = {
+    "transactions": (x01_transactions_export, [("timestamp", False), ("id", False)]),
+    "alerts": (x02_alerts_export, [("score", True), ("alert_id", False)]),
+    "customer_risk_summary": (x03_customer_risk_summary, [("max_alert_score", True), ("total_alerts", True), ("id", False)]),
+}
+
+
+def export_csv(m: Monitor, name: str, path: str, limit: int | None = None) -> str:
+    """One of EXPORTS as ordered CSV files."""
+    rows, order = EXPORTS[name]
+    return write_ordered(rows(m), order, path, limit)
+
+
+def _read_back(name: str):
+    def rows(m: Monitor) -> DataFrame:
+        """Written as CSV and read back with the export's own types."""
+        df = EXPORTS[name][0](m)
+        path = export_csv(m, name, f"{checkpoint_dir(m.spark).rstrip('/')}/export/{name}-{uuid.uuid4().hex}")
+        return m.spark.read.schema(df.schema).option("header", True).option("encoding", "UTF-8").csv(path)
+    return rows
 
 
 ALL = {
@@ -289,6 +365,15 @@ ALL = {
     "h03_geographic": lambda m: h03_alerts(m, min_score=50.0, category="geographic"),
     "h04_alert_detail": h04_alert_detail,
     "h05_customer_profiles": h05_customer_profiles,
+    "h05_profile_summary": h05_profile_summary,
+    "h05_profile_accounts": _exploded("accounts"),
+    "h05_profile_transactions": _exploded("recent_transactions"),
+    "h05_profile_alerts": _exploded("recent_alerts"),
+    "b7_transaction_pages": b7_transaction_pages,
+    "b7_page_by_key": b7_page_by_key,
+    "s10_transactions_csv": _read_back("transactions"),
+    "s11_alerts_csv": _read_back("alerts"),
+    "s12_customer_risk_csv": _read_back("customer_risk_summary"),
     "h06_rules": h06_rules,
     "h07_timeline": h07_timeline,
     "h08_risk_distribution": h08_risk_distribution,
