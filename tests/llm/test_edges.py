@@ -87,3 +87,34 @@ def test_held_out_labels_teach_nothing(spark):
         bad, marks(False).where(~toxicity.held_out()).select("doc_id", "toxic")))).collect()}
     wrong = [i for i in by_id if fold(i) and (by_id[i] >= 0.3) != ((i // 3) % 2 == 1)]
     assert not wrong
+
+
+def test_stages_of_dedup_keep_one_row_a_group(spark):
+    """Ids on several rows, repeated rows, null ids and null texts through both dedup stages."""
+    from txmon.llm import exact_dedup, near_dedup
+    docs = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string"
+    rows = [(1, "a b c"), (2, "a  b c"), (2, "other text"), (3, "abc "), (3, "abc "), (3, "only here"), (4, "x"), (4, "x"),
+            (None, "a b c"), (None, "nobody else"), (None, "nobody else"), (5, None), (6, ""), (7, " "), (8, "single")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "k") for i, t in rows], docs)
+    got = exact_dedup.stage(spark, df, "").collect()
+    norm = lambda t: "".join((t or "").split())
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(norm(t), []).append((-len(t or ""), i is None, i or 0, i, t))
+    want = sorted((str(min(g, key=lambda x: x[:3])[3]), min(g, key=lambda x: x[:3])[4] or "") for g in groups.values())
+    assert sorted((str(r.doc_id), r.text or "") for r in got) == want
+    assert exact_dedup.stage(spark, df.limit(0), "").count() == 0
+    words = " ".join(f"w{j}" for j in range(60))
+    near = [(1, words), (2, words + " end"), (2, words + " end"), (3, "else " * 9), (None, words), (4, None)]
+    got = near_dedup.stage(spark, spark.createDataFrame([(i, t, "en", "s", 1, "k") for i, t in near], docs), "").collect()
+    assert sorted(str(r.doc_id) for r in got) == ["1", "3", "4", "None"]
+
+
+def test_without_ids(spark):
+    from txmon.llm.common import without_ids
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "'t' AS text").unionByName(
+        spark.sql("SELECT CAST(NULL AS BIGINT) AS doc_id, 'n' AS text"))
+    gone = spark.range(0, 20_000, 3).selectExpr("id AS doc_id").unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS doc_id"))
+    left = without_ids(docs, gone)
+    assert {r.doc_id for r in left.collect()} == {None, *(i for i in range(20_000) if i % 3)}
+    assert without_ids(docs, gone.limit(0)).count() == 20_001

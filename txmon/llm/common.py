@@ -68,3 +68,30 @@ def word_count(text: Column) -> Column:
     blank = F.trim(F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES)))
     return F.when(blank == "", F.lit(0).cast("bigint")).otherwise(
         F.size(F.split(blank, " +")).cast("bigint"))
+
+
+BLOCK_BITS = 32768
+#: 65,536 blocks of 4 KB: a broadcast filter never exceeds 256 MB; a fuller one lets more rows through.
+MAX_BLOCKS = 65536
+_ID_PROBES = 4
+
+
+def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``gone`` (doc_id); null ids stay.
+
+    A Bloom filter over the ids that go is broadcast: a row it doesn't know passes straight through, with
+    its text, and only the others are shuffled to be held against the ids themselves.
+    """
+    ids = staged(gone.select("doc_id").where("doc_id IS NOT NULL").distinct(), "gone")
+    blocks = max(1, min(MAX_BLOCKS, ids.count() * 16 // BLOCK_BITS + 1))
+    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")
+    probes = [F.pmod(F.xxhash64("doc_id", F.lit(i)), F.lit(BLOCK_BITS)) for i in range(_ID_PROBES)]
+    bits = ids.select(block.alias("_block"), F.explode(F.array(*probes)).alias("_bit")).groupBy("_block").agg(
+        F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = lambda p: F.conv(F.hex(F.substring("_bits", (p / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    known = F.col("doc_id").isNotNull()
+    for p in probes:
+        known = known & F.coalesce(F.getbit(byte(p), (p % 8).cast("int")) == 1, F.lit(False))
+    tested = docs.withColumn("_block", block).join(F.broadcast(bits), "_block", "left").withColumn("_maybe", known)
+    sure = tested.where("NOT _maybe").select(*docs.columns)
+    return sure.unionByName(tested.where("_maybe").select(*docs.columns).join(ids, "doc_id", "left_anti").select(*docs.columns))

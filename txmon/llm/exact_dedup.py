@@ -13,13 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txmon.llm.common import DOC_COLUMNS, SPACES, read, staged
+from txmon.llm.common import BLOCK_BITS, DOC_COLUMNS, MAX_BLOCKS, SPACES, read, staged, without_ids
 
 PROBES = 3
-BLOCK_BITS = 32768
-#: 65,536 blocks of 4 KB: the broadcast filter never exceeds 256 MB.  Beyond about 700 million rows
-#: it fills up and more rows are grouped by the ordinary shuffle; results stay the same.
-MAX_BLOCKS = 65536
 
 
 def normalised_digest(text: Column) -> Column:
@@ -86,18 +82,29 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one per group, with the columns of ``docs``."""
-    flags = exact_dedup(docs).where("group_size > 1").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept").distinct()
-    flags = flags.withColumnRenamed("kept", "_kept")
-    marked = docs.withColumn("_own", normalised_digest(F.col("text"))).join(
-        flags, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")), "left")
+    """The rows of ``docs`` that stay, one per group, with the columns of ``docs``.
+
+    Only ids travel for almost all rows: an id that stands on one row goes or stays as a whole.  Ids on
+    several rows of which one at least has an equal elsewhere are told apart by text; among repeated
+    rows of one id and equal texts the first by all its columns stays, and rows with a null id likewise.
+    """
+    flags = staged(exact_dedup(docs).where("group_size > 1").select("doc_id", "text_sha256", "kept"), "flags")
+    # ids that stand on several rows, among those that have an equal text somewhere
+    several = staged(docs.select("doc_id").join(flags.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id")
+                     .count().where("count > 1").select("doc_id"), "several")
+    gone = flags.where("NOT kept").select("doc_id").distinct()
+    plain = without_ids(docs.where("doc_id IS NOT NULL"), gone.unionByName(several))
+
+    mixed = docs.where("doc_id IS NULL").unionByName(docs.join(several, "doc_id", "left_semi").select(*docs.columns))
+    marked = mixed.withColumn("_own", normalised_digest(F.col("text")))
+    told = flags.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("kept").alias("_kept")).distinct()
+    marked = marked.join(told, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")), "left")
     alone = marked.where(F.col("_kept").isNull()).select(*docs.columns)
     keepers = (marked.where("_kept").withColumn("_chars", -F.char_length("text"))
                .withColumn("_all", F.to_json(F.struct(*docs.columns))))
     first = keepers.groupBy("_own").agg(
         F.min_by(F.struct(*docs.columns), F.struct("_chars", "_all")).alias("row")).select("row.*")
-    return alone.unionByName(first)
+    return plain.unionByName(alone).unionByName(first)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +112,8 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of equal texts, the longest, then of the smallest id; null text counts
+    as empty; see ``deduplicated`` for repeated and null ids; an empty table gives an empty one."""
     return deduplicated(docs.select(*DOC_COLUMNS))
 
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txmon.llm.common import DOC_COLUMNS, read, staged
+from txmon.llm.common import DOC_COLUMNS, read, staged, without_ids
 from txmon.llm.components import components
 
 SHINGLE = 5
@@ -471,7 +471,7 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group stays; documents in no group stay."""
+    """The document with the smallest id of every group stays; documents in no group stay, and rows with
+    a null id.  Rows that repeat an id are one document; an empty table gives an empty one."""
     docs = docs.select(*DOC_COLUMNS)
-    gone = near_dedup(docs, percent=STAGE_PERCENT).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    return without_ids(docs, near_dedup(docs, percent=STAGE_PERCENT).where("NOT kept"))
