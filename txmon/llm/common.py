@@ -27,7 +27,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: MB in a worker, several times over where texts go both ways.  Rows may be long: a batch also ends at
 #: BATCH_BYTES, so it holds that much and one row at most.
 BATCH_ROWS = 1000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -58,7 +58,7 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> int:
         h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        if len(self) < 200_000:
+        if len(self) < 50_000:
             self[word] = h
         return h
 

@@ -32,22 +32,27 @@ class Encoder:
 
     Ordinary text goes through the same vocabulary's rank file, which is several times as fast and
     gives the same ids (tests hold one against the other); a text with a special token's string goes
-    to the tokenizer file itself.
+    to the tokenizer file itself, which a worker loads only then.
     """
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, special: list[str] | None = None):
         import base64
 
         import public_tokenizers as files
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(files.path(f"{name}.json"))
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.name, self._tokenizer = name, None
+        self.special = special_tokens(name) if special is None else special
         with open(files.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.plain = tiktoken.Encoding(name, pat_str=files.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @property
+    def tokenizer(self):
+        if self._tokenizer is None:
+            self._tokenizer = _from_file(self.name)
+        return self._tokenizer
+
     def ids(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             got = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -57,9 +62,20 @@ class Encoder:
         return np.array(got, "<u4")
 
 
-def encoder(name: str) -> Encoder:
+def _from_file(name: str):
+    import public_tokenizers as files
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(files.path(f"{name}.json"))
+
+
+def special_tokens(name: str) -> list[str]:
+    return [t.content for t in _from_file(name).get_added_tokens_decoder().values()]
+
+
+def encoder(name: str, special: list[str] | None = None) -> Encoder:
     if name not in _encoders:
-        _encoders[name] = Encoder(name)
+        _encoders[name] = Encoder(name, special)
     return _encoders[name]
 
 
@@ -70,8 +86,10 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY) -> DataFrame:
+    special = special_tokens(tokenizer)  # a few strings, read once
+
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = encoder(tokenizer).ids
+        ids_of = encoder(tokenizer, special).ids
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
