@@ -101,7 +101,7 @@ def test_flagship_rule_summary(spark):
     rows = E.entry(spark).collect()
     assert len(rows) == 19
     counts = {r["rule_id"]: r["total_alerts"] for r in rows}
-    assert counts[1] == 5 and counts[10] == 217 and counts[5] == 0   # probe numbers at sf0.001
+    assert counts[1] == 5 and counts[10] == 234 and counts[5] == 0   # probe numbers at sf0.001
     assert all(r["min_score"] is None or 0 <= r["min_score"] <= r["max_score"] <= 100 for r in rows)
 
 
