@@ -37,6 +37,23 @@ def test_invalid_rule_is_skipped(spark, dims):
     assert run.alerts.count() == 1
 
 
+def test_rule_that_fails_on_a_row_does_not_fire_there(spark, dims):
+    """Casts, divisions and indexes that fail give no hit; the other rows and rules go on."""
+    accounts, customers, country = dims
+    t = spark.createDataFrame([txn(1, 1, "2024-03-01 10:00:00", "60000.00", cp="x1"),
+                               txn(2, 1, "2024-03-01 11:00:00", "60000.00", cp="77")], TXN_SCHEMA)
+    wide = enrich(t, accounts, country)
+    rules = _rules(spark, [("cast", "CAST(t.counterparty_account AS INT) > 1"), ("zero", "1 / (t.id - 1) = 1"),
+                           ("index", "array(1, 2)[cast(t.id as int)] = 2"), ("date", "to_date(t.channel) > '2024-01-01'"),
+                           ("number", "te.amount_usd"), ("good", "te.amount_usd > 1")])
+    strict = spark.conf.get("spark.sql.ansi.enabled")
+    run = evaluate_rules(wide, accounts, customers, rules)
+    assert spark.conf.get("spark.sql.ansi.enabled") == strict
+    assert [s[0] for s in run.skipped] == ["number"]  # no condition: a filter refuses it
+    assert sorted(map(tuple, run.alerts.select("rule_id", "transaction_id").collect())) == [
+        (1, 2), (2, 2), (3, 1), (6, 1), (6, 2)]
+
+
 def test_idempotent_rerun(spark, dims):
     accounts, customers, country = dims
     t = spark.createDataFrame([txn(1, 1, "2024-03-01 10:00:00", "60000.00")], TXN_SCHEMA)

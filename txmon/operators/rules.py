@@ -12,6 +12,8 @@ so it is read to the driver to build the expressions.
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -120,7 +122,8 @@ def valid_rules(joined: DataFrame, rules: list) -> tuple[list, list[tuple[str, s
     ok, skipped = [], []
     for r in rules:
         try:
-            joined.filter(F.expr(f"({r['sql_condition'].strip()})")).schema  # forces analysis
+            with lenient(joined.sparkSession):
+                joined.filter(F.expr(f"({r['sql_condition'].strip()})")).schema  # forces analysis
             ok.append(r)
         except AnalysisException as e:  # parse errors included; anything else stops the run
             log.warning("rule %s skipped: %s", r["name"], str(e).splitlines()[0])
@@ -128,12 +131,31 @@ def valid_rules(joined: DataFrame, rules: list) -> tuple[list, list[tuple[str, s
     return ok, skipped
 
 
+@contextmanager
+def lenient(spark: SparkSession) -> Iterator[None]:
+    """Expressions analysed inside give null where a cast, a division or an index fails on a row."""
+    key = "spark.sql.ansi.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def fire(wide: DataFrame, accounts: DataFrame, customers: DataFrame, rules: DataFrame) -> tuple[DataFrame, list]:
     """Every row of ``wide`` with its component scores and ``hits``: alert id, rule, severity and composite
-    score of each active rule that fires.  Rows without account or customer fire none."""
+    score of each active rule that fires.  Rows without account or customer fire none.  A predicate that fails
+    on a row (a cast of text that is no number, a division by zero) does not fire there; the other rules and
+    rows are untouched."""
     active = [r.asDict() for r in rules.filter("is_active = 1").orderBy("category", "name").collect()]
     joined = _joined(wide, accounts, customers)
     active, skipped = valid_rules(joined, active)
+    # how an expression fails is fixed when it is analysed: here, and not for the scores below
+    with lenient(joined.sparkSession):
+        joined = joined.withColumn("_fires", F.array(*[
+            F.coalesce(F.expr(f"({r['sql_condition'].strip()})").cast("boolean"), F.lit(False)) for r in active]
+        ).cast("array<boolean>"))
     joined = joined.select(
         "*", scoring.customer_risk_norm(F.col("c.risk_rating")).alias("customer_risk_score"),
         scoring.geo_risk_norm(F.col("t.country_risk_score")).alias("geographic_risk_score"),
@@ -143,14 +165,14 @@ def fire(wide: DataFrame, accounts: DataFrame, customers: DataFrame, rules: Data
     # room for every rule id of the catalogue, so that (transaction, rule) pairs never share an id
     room = max([100, *(10 ** len(str(r["id"])) for r in active)])
 
-    def hit(r: dict) -> Column:
+    def hit(i: int, r: dict) -> Column:
         severity = F.lit(str(r["severity"])).cast("decimal(3,2)")
-        return F.when(F.expr(f"({r['sql_condition'].strip()})") & completed, F.struct(
+        return F.when(F.col("_fires")[i] & completed, F.struct(
             (F.col("t.id") * F.lit(room).cast("bigint") + F.lit(r["id"]).cast("bigint")).alias("alert_id"),
             F.lit(r["id"]).cast("bigint").alias("rule_id"), severity.alias("rule_score"),
             scoring.composite(severity, "customer_risk_score", "geographic_risk_score", "behavioral_score")
             .alias("composite_score")))
-    hits = F.filter(F.array(*map(hit, active)), lambda x: x.isNotNull()) if active else F.array().cast(
+    hits = F.filter(F.array(*[hit(i, r) for i, r in enumerate(active)]), lambda x: x.isNotNull()) if active else F.array().cast(
         "array<struct<alert_id:bigint,rule_id:bigint,rule_score:decimal(3,2),composite_score:decimal(5,2)>>")
     return joined.select(*[F.col(f"t.{c}") for c in wide.columns], "customer_risk_score", "geographic_risk_score",
                          "behavioral_score", hits.alias("hits")), skipped

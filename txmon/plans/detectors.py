@@ -11,14 +11,13 @@ account's history is gathered into one task.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txmon.functions.money import is_round_usd, rnd, to_usd
 from txmon.functions.timefn import US_PER_DAY, US_PER_HOUR, micros, ts_lit
-from txmon.operators.joins import broadcast_if_small, time_band_self_join
+from txmon.operators.chains import third_legs
+from txmon.operators.joins import broadcast_if_small
 from txmon.operators.windows import HOT_ROWS, trailing_aggregates
 from txmon.plans.model import Monitor
 from txmon.sources.report import Report
@@ -123,33 +122,11 @@ def z12_sanctioned_country(t, r):
 def z13_layering(t, r, hours=24, tolerance=0.05):
     """Third leg of a chain of outgoing transfers/wires to the same counterparty from different
     accounts, each leg within ``hours`` of the previous one and within ``tolerance`` of its amount."""
-    legs = t.filter(F.col("transaction_type").isin("transfer", "wire") & F.col("counterparty_name").isNotNull())
-
-    def side(p):
-        return legs.select(F.col("counterparty_name").alias("cp"), F.col("transaction_id").alias(f"{p}_id"),
-                           F.col("account_id").alias(f"{p}_acct"), F.col("us").alias(f"{p}_us"),
-                           F.col("amount").alias(f"{p}_amt"))
-
-    def close(a, b):
-        return F.abs(F.col(f"{b}_amt") - F.col(f"{a}_amt")) <= F.col(f"{a}_amt") * tolerance
-
-    # amounts within the tolerance lie in neighbouring bands of a logarithmic scale
-    width = max(math.log1p(tolerance), -math.log1p(-tolerance))
-
-    def band(p):
-        return F.when(F.col(f"{p}_amt") > 0, F.floor(F.ln(F.col(f"{p}_amt")) / width)).otherwise(-10 ** 6).cast("bigint")
-
-    def follow(left, p, q):
-        near = left.withColumn("band", F.explode(F.array(band(p) - 1, band(p), band(p) + 1)))
-        right = side(q).withColumn("band", band(q))
-        pairs = time_band_self_join(near, right, ["cp", "band"], f"{p}_us", f"{q}_us", hours * US_PER_HOUR)
-        return pairs.where((F.col(f"{p}_acct") != F.col(f"{q}_acct")) & close(p, q)).drop(near["cp"], near["band"])
-
-    # two different first accounts are enough to know whether one differs from the third
-    second = follow(side("a"), "a", "b").groupBy("cp", "b_id", "b_acct", "b_us", "b_amt").agg(
-        F.min("a_acct").alias("a_min"), F.max("a_acct").alias("a_max"))
-    third = follow(second, "b", "c").where((F.col("a_min") != F.col("c_acct")) | (F.col("a_max") != F.col("c_acct")))
-    return _hits(third.select(F.col("c_id").alias("transaction_id")).distinct(), 13)
+    legs = t.filter(F.col("transaction_type").isin("transfer", "wire")).select(
+        F.col("counterparty_name").alias("party"), F.col("transaction_id").alias("id"),
+        F.col("account_id").alias("account"), "us", "amount")
+    third = third_legs(legs, hours * US_PER_HOUR, tolerance)
+    return _hits(third.select(F.col("id").alias("transaction_id")).distinct(), 13)
 
 
 def z14_smurfing(t, r, under=3000, min_accounts=2):

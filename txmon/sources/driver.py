@@ -42,7 +42,6 @@ SCHEMAS: dict[str, T.StructType] = {
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = SCHEMAS.get(name)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    if name not in SCHEMAS:
+        raise ValueError(f"no schema for the table {name}")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
