@@ -3,6 +3,7 @@
 import datetime as dt
 import tempfile
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -151,13 +152,18 @@ def test_plan_pushdown_and_broadcast(spark):
     assert "ReadSchema" in txt and "o_orderdate" not in txt  # columns that are not asked for are not read
 
 
-def test_bucketed_previous_equals_lag(spark):
+@pytest.mark.parametrize("hot_rows", [None, 10, 0])
+def test_bucketed_previous_equals_lag(spark, hot_rows):
+    """Plain buckets, the full ones cut, and all cut; ties, a null key and null times included."""
     import random
     from txmon.operators.windows import with_previous
     random.seed(3)
-    rows = [(i, random.choice([1, 2, 3]), random.randrange(0, 10_000)) for i in range(400)]
+    rows = [(i, random.choice([1, 1, 1, 2, 3, None]), random.choice([None, *[random.randrange(-500, 10_000)] * 20]))
+            for i in range(400)]
+    rows += [(400 + i, 1, 5000 + i // 3) for i in range(60)]
     df = spark.createDataFrame(rows, "id bigint, k bigint, us bigint")
-    got = {r["id"]: r["prev_us"] for r in with_previous(df, "k", "us", "id", ["us"], bucket_us=97).collect()}
+    got = {r["id"]: r["prev_id"] for r in with_previous(
+        df, "k", "us", "id", ["id"], bucket_us=96, hot_rows=hot_rows, sub_us=4).collect()}
     want = {r["id"]: r["p"] for r in df.withColumn(
-        "p", F.lag("us").over(Window.partitionBy("k").orderBy("us", "id"))).collect()}
+        "p", F.lag("id").over(Window.partitionBy("k").orderBy("us", "id"))).collect()}
     assert got == want

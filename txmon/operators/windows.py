@@ -151,20 +151,31 @@ def bucketed_aggregates(df: DataFrame, key: str, us: str, aggregates: dict[str,
 
 
 def with_previous(df: DataFrame, key: str, us: str, tie: str, cols: list[str], out_prefix: str = "prev_",
-                  bucket_us: int = 30 * 86_400_000_000) -> DataFrame:
+                  bucket_us: int = 30 * 86_400_000_000, hot_rows: int | None = HOT_ROWS,
+                  sub_us: int = 3_600_000_000) -> DataFrame:
     """``LAG`` of ``cols`` per ``key`` in ``(us, tie)`` order, without one task per key.
 
-    Inside each ``(key, time bucket)`` a window gives the previous row; the first
-    row of a bucket takes the last row of the previous non-empty bucket, found on
-    the small per-bucket table (one row per key and bucket).
+    Inside each ``(key, time bucket)`` a window gives the previous row; the first row of a bucket takes the
+    last row of the previous non-empty bucket, found on the small per-bucket table.  Buckets of more than
+    ``hot_rows`` rows are cut into sub-buckets of ``sub_us``, which divides ``bucket_us``: a task holds an
+    hour of a hot key, and the table grows only by the hours of such buckets.  Rows with a null key are
+    one key, rows with a null time come first.
     """
-    b = F.floor(F.col(us) / F.lit(bucket_us)).cast("bigint")
+    if bucket_us % sub_us and hot_rows is not None:
+        raise ValueError(f"sub-buckets of {sub_us} do not divide buckets of {bucket_us}")
+    start = lambda width: (F.floor(F.col(us) / F.lit(width)) * F.lit(width)).cast("bigint")
     rec = F.struct(F.col(us).alias("_u"), F.col(tie).alias("_t"), *[F.col(c).alias(c) for c in cols])
-    d = df.withColumn("_b", b).withColumn("_rec", rec)
+    d = df.withColumn("_b", start(bucket_us)).withColumn("_rec", rec)
+    if hot_rows is not None:
+        busy = (df.groupBy(F.col(key).alias("_hk"), start(bucket_us).alias("_hb")).count()
+                .where(F.col("count") > hot_rows).select("_hk", "_hb"))
+        hot = F.broadcast(busy.withColumn("_hot", F.lit(True)))  # at most rows / hot_rows buckets
+        d = d.join(hot, F.col(key).eqNullSafe(F.col("_hk")) & F.col("_b").eqNullSafe(F.col("_hb")), "left").withColumn(
+            "_b", F.when(F.col("_hot"), start(sub_us)).otherwise(F.col("_b"))).drop("_hk", "_hb", "_hot")
     inner = Window.partitionBy(key, "_b").orderBy(us, tie)
     d = d.withColumn("_prev_in", F.lag("_rec").over(inner))
-    last = d.groupBy(key, "_b").agg(F.max("_rec").alias("_last"))
-    last = last.withColumn("_prev_b", F.lag("_last").over(Window.partitionBy(key).orderBy("_b"))).drop("_last")
-    d = d.join(last, [key, "_b"], "left")
+    last = d.groupBy(F.col(key).alias("_lk"), F.col("_b").alias("_lb")).agg(F.max("_rec").alias("_last"))
+    last = last.withColumn("_prev_b", F.lag("_last").over(Window.partitionBy("_lk").orderBy("_lb"))).drop("_last")
+    d = d.join(last, F.col(key).eqNullSafe(F.col("_lk")) & F.col("_b").eqNullSafe(F.col("_lb")), "left")
     prev = F.coalesce(F.col("_prev_in"), F.col("_prev_b"))
     return d.select(*df.columns, *[prev[c].alias(out_prefix + c) for c in cols])
