@@ -223,6 +223,61 @@ def test_mixing_flow_and_selection(spark, corpus):
     assert mixed_documents(empty(spark)).count() == 0
 
 
+def _checked_flow(arcs, flow, source, sink, n):
+    """The flow keeps capacities and balance, and no path or cycle of its residual network improves it."""
+    assert all(0 <= f <= a[2] for f, a in zip(flow, arcs, strict=True))
+    net = [sum(f for f, a in zip(flow, arcs, strict=True) if a[1] == v) - sum(
+        f for f, a in zip(flow, arcs, strict=True) if a[0] == v) for v in range(n)]
+    assert all(net[v] == 0 for v in range(n) if v not in (source, sink)) and net[sink] == -net[source]
+    free = [(a, b, w) for (a, b, c, w), f in zip(arcs, flow, strict=True) if f < c]
+    free += [(b, a, -w) for (a, b, c, w), f in zip(arcs, flow, strict=True) if f]
+    seen = {source}
+    for _ in range(n):
+        seen |= {b for a, b, _ in free if a in seen}
+    assert sink not in seen  # as much as can flow
+    dist = [0] * n
+    for i in range(n + 1):
+        changed = False
+        for a, b, w in free:
+            if dist[a] + w < dist[b]:
+                dist[b], changed = dist[a] + w, True
+        if not changed:
+            break
+    assert not changed  # no cycle costs less
+
+
+def test_flow_is_greatest_and_cheapest():
+    from txmon.llm.mixing import min_cost_flow
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(rng.integers(3, 9))
+        arcs = [[*map(int, rng.choice(n, 2, replace=False)), int(rng.integers(0, 9)), int(rng.integers(0, 5))]
+                for _ in range(rng.integers(2, 25))]
+        _checked_flow(arcs, min_cost_flow(arcs, 0, n - 1, n), 0, n - 1, n)
+
+
+def test_route_of_many_overlapping_patterns():
+    """100,000 arcs: each source gets its target where its patterns can give it, and no pattern gives more than twice."""
+    import time
+    from txmon.llm.mixing import route, targets
+    rng = np.random.default_rng(5)
+    names = [f"s{i:03d}" for i in range(100)]
+    patterns = {}
+    while len(patterns) < 20_000:
+        patterns[tuple(sorted(rng.choice(names, 3, replace=False)))] = int(rng.integers(1, 10**6))
+    sizes = {s: 0 for s in names}
+    for p, size in patterns.items():
+        for s in p:
+            sizes[s] += size
+    wanted = {s: round(t / 3) for s, t in targets(sizes).items()}
+    start = time.time()
+    flow = route(patterns, wanted)
+    assert time.time() - start < 60
+    assert all(sum(f.values()) <= 2 * patterns[p] for p, f in flow.items())
+    for s in names:
+        assert sum(f.get(s, 0) for f in flow.values()) == wanted[s]
+
+
 def test_packing(spark, corpus):
     import public_tokenizers as files
     from tokenizers import Tokenizer
@@ -322,6 +377,22 @@ def test_url_rules(spark):
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, max(fits)[1] if fits else None, max(fits)[2] if fits else "allow"), u
 
 
+def test_many_url_rules_are_not_broadcast(spark, monkeypatch):
+    """Rules past the bound are joined by shuffle, with the same verdicts; small ones move one row a url."""
+    from pyspark.sql import functions as F
+    from txmon.llm import url_filter as u
+    urls = spark.createDataFrame([(i, f"http://h{i % 40}.a{i % 7}.com/p{i % 9}/x") for i in range(300)] + [(None, None)],
+                                 "page_id bigint, url string").withColumn("host", F.lit("extra"))
+    rules = [("block" if i % 2 else "allow", f"a{i % 7}.com", f"/p{i}/") for i in range(9)] + [("block", "com", "/")]
+    small = u.judge_urls(urls, rules)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+    want = sorted(map(str, small.collect()))
+    monkeypatch.setattr(u, "BROADCAST_BYTES", 0)
+    assert sorted(map(str, u.judge_urls(urls, rules).collect())) == want and len(want) == 301
+    assert u.judge_urls(urls.limit(0), rules).count() == 0
+
+
 def test_language_id(spark, corpus):
     from txmon.llm.language_id import codewords, identify, stage
     for n in (2, 3, 5, 6, 40):

@@ -3,7 +3,8 @@
 A url is expanded into every expression ``host suffix + path prefix`` a rule could have (suffixes by
 label; prefix lengths taken from the rules), the expressions meet the rules on the first
 ``PREFIX_HEX`` digits of their SHA-256, the full digests confirm, and the longest confirmed rule
-decides.  Work per url is labels x distinct rule path lengths, whatever the number of rules.
+decides.  Work per url is labels x distinct rule path lengths, whatever the number of rules; only one row a
+url is shuffled while the rules are small enough to be broadcast.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from txmon.llm.common import read
 
 PREFIX_HEX = 8
 DEFAULT_VERDICT = "allow"
+#: Rules up to this size are broadcast, so that the expressions of the urls are not shuffled; a rule takes
+#: its texts and at most RULE_BYTES for digest, prefix and lengths.
+BROADCAST_BYTES = 32 << 20
+RULE_BYTES = 256
 
 #: Fixed values of the query: (verdict, host, path).
 RULES = [
@@ -44,7 +49,9 @@ def rules_frame(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> D
                                "verdict string, rule string, host_len int, path_len int")
     df = df.groupBy("rule", "host_len", "path_len").agg(F.max("verdict").alias("verdict"))
     digest = F.sha2(F.col("rule").cast("binary"), 256)
-    return df.withColumn("rule_digest", digest).withColumn("rule_prefix", F.substring(digest, 1, PREFIX_HEX))
+    df = df.withColumn("rule_digest", digest).withColumn("rule_prefix", F.substring(digest, 1, PREFIX_HEX))
+    size = sum(RULE_BYTES + 4 * (len(h) + len(p)) for _, h, p in rules)
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def judge_urls(urls: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_col: str = "page_id",
