@@ -112,6 +112,16 @@ def test_q20_closed_form_equals_pairs(spark):
     assert out == {"A": (3, 8, 2)}
 
 
+def test_broadcast_follows_the_size_estimate(spark):
+    from txmon.operators.joins import broadcast_if_small, plan_size_bytes
+    from txmon.sources.driver import read_table
+    nations = read_table(spark, SF001, "nation")
+    size = plan_size_bytes(nations)
+    assert 0 < size < 1 << 20
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString()
+    assert hinted(broadcast_if_small(nations, size)) and not hinted(broadcast_if_small(nations, size - 1))
+
+
 def test_time_band_join_equals_brute_force(spark):
     from txmon.operators.joins import time_band_self_join
     import random

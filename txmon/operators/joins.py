@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+#: Spark's own default limit: the estimate is of compressed files, so a hint never goes beyond it.
+DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def plan_size_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan (from file statistics; no job runs)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
