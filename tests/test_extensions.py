@@ -78,6 +78,20 @@ def test_streaming_state_goes_with_the_watermark(spark):
     assert max(keys) >= 5 and keys[-1] <= 4  # two accounts, a week and its next
 
 
+def test_streaming_states_do_not_grow_with_the_accounts(spark):
+    """600 accounts of one week share the states of its blocks, and no window reaches from one to the next."""
+    from conftest import TXN_SCHEMA, txn
+    from txmon.streaming.velocity import BLOCKS, latest_velocity
+    files = [spark.createDataFrame([txn(1000 * k + a, a, f"2024-01-0{d} 10:00:{a % 60:02d}") for a in range(600)],
+                                   TXN_SCHEMA) for k, d in enumerate((5, 4, 6))]
+    answers, progress = _streamed(spark, files)
+    assert max(p.stateOperators[0].numRowsTotal for p in progress if p.stateOperators) <= 2 * BLOCKS
+    got = latest_velocity(answers).groupBy(F.floor(F.col("us") / 86_400_000_000).alias("d")).agg(
+        F.count("*").alias("n"), F.min("velocity_7d").alias("low"), F.max("velocity_7d").alias("high"),
+        F.max("amount_velocity_24h").alias("usd")).orderBy("d").collect()
+    assert [(r.n, r.low, r.high, float(r.usd)) for r in got] == [(600, 0, 0, 0.0), (600, 1, 1, 100.0), (600, 2, 2, 100.0)]
+
+
 def test_components_match_union_find(spark):
     from txmon.operators.graph import shared_counterparty_components
     rows = [(1, "A"), (2, "A"), (3, "B"), (2, "B"), (9, "C"), (7, "D"), (8, "D"), (5, None)]
