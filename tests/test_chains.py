@@ -63,3 +63,28 @@ def test_a_hot_counterparty_keeps_a_few_legs_a_range(keep):
         assert max(map(len, amounts.nodes.values())) <= 3
         sizes.append(len(amounts.nodes))
     assert sizes[1] <= 1.1 * sizes[0]
+
+
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_few_legs_reach_the_tree_and_all_that_must(spark, monkeypatch, batch):
+    """A busy counterparty is settled by its latest legs; behind a row of legs of one account the tree answers."""
+    import pyarrow as pa
+
+    from txmon.operators import chains
+    rng, added = random.Random(9), []
+    plain = Amounts.add
+    monkeypatch.setattr(Amounts, "add", lambda self, *a: added.append(a) or plain(self, *a))
+
+    def answers(accounts):
+        legs = sorted(((us, found, us, account) for us, account in enumerate(accounts) for found in (False, True)),
+                      key=lambda x: x[:2])
+        rows = [{"party": "P", "band": 1, "bucket": 1, "us": us, "found": f, "cents": 1000 + rng.randrange(5),
+                 "accounts": [a]} for us, f, _, a in legs]
+        batches = [pa.RecordBatch.from_pylist(rows[i:i + batch]) for i in range(0, len(rows), batch)]
+        return [x for _, found in chains._asked(batches, latest_accounts, Fraction(1, 20), 10_000, before) for x in found]
+    busy = answers([rng.choice("ABCDEF") for _ in range(600)])
+    assert not added and all(len(x) == 2 for x in busy[50:])
+    hidden = answers([*"ABC", *"D" * 100, "E", "D"])
+    assert added and [sorted(x) for x in hidden[:4]] == [[], ["A"], ["A", "B"], sorted(hidden[3])]
+    assert all(len(x) == 2 and set(x) <= set("ABC") for x in hidden[3:103])
+    assert "D" in hidden[103] and len(hidden[103]) == 2 and len(hidden[104]) == 2 and "D" not in hidden[104]

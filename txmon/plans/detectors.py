@@ -20,6 +20,7 @@ from txmon.operators.chains import third_legs
 from txmon.operators.joins import broadcast_if_small
 from txmon.operators.windows import HOT_ROWS, trailing_aggregates
 from txmon.plans.model import Monitor
+from txmon.session import materialize
 from txmon.sources.report import Report
 
 PERSONAL_DESCRIPTIONS = ("groceries", "rent", "travel")
@@ -146,8 +147,14 @@ DETECTORS = [z01_large_cash, z02_structuring_24h, z03_rapid_movement, z04_listed
              z11_pep, z12_sanctioned_country, z13_layering, z14_smurfing, z15_business_personal]
 
 
+#: What the detectors read of a transaction, its account and its customer.
+COLUMNS = ["transaction_id", "account_id", "customer_id", "us", "transaction_date", "transaction_type", "amount", "channel",
+           "counterparty_name", "counterparty_country", "description", "account_type", "opened_at", "pep_flag",
+           "country_of_residence"]
+
+
 def detections(r: Report) -> DataFrame:
-    t = _tx(r)
+    t = materialize(_tx(r).select(*COLUMNS), "detected")  # joined once, not once a detector
     out = None
     for fn in DETECTORS:
         h = fn(t, r)
