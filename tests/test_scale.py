@@ -52,3 +52,11 @@ def test_one_velocity_window_and_two_order_scans(spark, name):
     assert plan.count("o_orderkey") > 0
     assert sum("Window [" in line for line in plan.splitlines()) <= 1
     assert sum("Relation" in line and "o_orderkey" in line for line in plan.splitlines()) <= 2
+
+
+@pytest.mark.parametrize("name", ["b6_alert_checks", "h03_alerts"])
+def test_the_rules_run_once_a_query(spark, name):
+    """What a query returns reads stored rows: no trailing window is left in its plan, to be run again for each part."""
+    from txmon.plans.registry import queries
+    plan = queries()[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan

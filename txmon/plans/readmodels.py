@@ -14,7 +14,7 @@ from txmon.functions.money import rnd, safe_div
 from txmon.functions.timefn import month_key, ts_lit
 from txmon.operators.pages import page_directory, seek, top_per_group, write_ordered
 from txmon.plans.model import Monitor
-from txmon.session import checkpoint_dir
+from txmon.session import checkpoint_dir, materialize
 
 MAX_PAGE = 200
 TXN_ORDER = [("timestamp", True), ("id", True)]
@@ -44,6 +44,7 @@ def h01_stats(m: Monitor) -> DataFrame:
 def _page(df: DataFrame, order: list, page: int, per_page: int) -> DataFrame:
     if not 1 <= per_page <= MAX_PAGE or page < 1:
         raise ValueError(f"page {page} of {per_page} rows: a page holds 1 to {MAX_PAGE}")
+    df = materialize(df, "page")  # counted and sorted from one run of the plan
     total = df.agg(F.count("*").alias("total"))
     rows = df.orderBy(*order).offset((page - 1) * per_page).limit(per_page)
     return rows.crossJoin(F.broadcast(total)).withColumn(  # one-row total
