@@ -60,3 +60,12 @@ def test_the_rules_run_once_a_query(spark, name):
     from txmon.plans.registry import queries
     plan = queries()[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_few_rows_of_a_bucket_go_twice(spark):
+    from txmon.operators.windows import bucketed_aggregates
+    rows = spark.range(0, 4000).select("id", F.lit(1).alias("k"), F.col("id").alias("us"))
+    got = bucketed_aggregates(rows, "k", "us", {"n": ("count", None, 100)})
+    assert got.where(F.col("n") != F.least("id", F.lit(100))).count() == 0
+    exploded = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "explode" in line]
+    assert "400" in exploded[0]  # buckets of four windows

@@ -4,7 +4,8 @@ A plain ``Window.partitionBy(key)`` puts every row of a key into one task, and A
 partitions.  Two plans share the keys between them:
 
 * **Buckets with a halo**, for almost all keys.  The key's timeline is cut into buckets of ``bucket_us``
-  and each bucket also receives the rows of the preceding ``max_width`` microseconds.  Halo rows feed the
+  (``BUCKET_WIDTHS`` of the widest window) and each bucket also receives the rows of the preceding ``max_width``
+  microseconds: a quarter of the rows goes twice.  Halo rows feed the
   frames but are dropped from the output.  A sliding frame is added up anew for every row, the square of
   a busy key's rows; frames here only grow: ``[t - w, t)`` is what came before ``t`` less what came before
   ``t - w``, two running totals that each row enters once.
@@ -42,6 +43,8 @@ def _difference(df: DataFrame, fn: str, value: str | None, before, expired) -> C
 
 #: Rows of one key in one bucket from which the key's rows go by prefix sums.
 HOT_ROWS = 500_000
+#: Widest windows in a bucket.  One would send every row twice.
+BUCKET_WIDTHS = 4
 #: Sub-buckets in the widest window.
 SUB_BUCKETS = 168
 
@@ -68,7 +71,7 @@ def trailing_aggregates(
         return bucketed_aggregates(df, key, us, aggregates, bucket_us, payload)
     max_w = max(w for _, _, w in aggregates.values())
     df = df.where(F.col(us).isNotNull())
-    busy = (df.groupBy(key, F.floor(F.col(us) / F.lit(bucket_us or max_w)).alias("_b")).count()
+    busy = (df.groupBy(key, F.floor(F.col(us) / F.lit(bucket_us or BUCKET_WIDTHS * max_w)).alias("_b")).count()
             .where(F.col("count") > hot_rows).select(F.col(key).alias("_hot")).distinct())
     hot = F.broadcast(busy)  # at most rows / hot_rows keys
     cold = df.join(hot, F.col(key) == F.col("_hot"), "left_anti")
@@ -122,7 +125,7 @@ def bucketed_aggregates(df: DataFrame, key: str, us: str, aggregates: dict[str,
                         bucket_us: int | None = None, payload: list[str] | None = None) -> DataFrame:
     """Trailing aggregates by buckets with a halo; a task holds a bucket of a key and its halo."""
     max_w = max(w for _, _, w in aggregates.values())
-    b_us = bucket_us or max_w
+    b_us = bucket_us or BUCKET_WIDTHS * max_w
     halo_copies = math.ceil(max_w / b_us)
     t = F.col(us)
     own_b = F.floor(t / F.lit(b_us)).cast("bigint")
