@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,16 +46,24 @@ def modest_batches(spark: SparkSession) -> None:
             spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def tasks_for(rows: int, each: int) -> int:
+    """Tasks that take ``each`` rows at most, of evenly dealt rows."""
+    return max(1, math.ceil(rows / each))
+
+
+def staged(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
+    ``tasks``: no more than these write, for small tables of a known size; a file for each shuffle
+    partition takes longer than their rows.
+
     Cuts the lineage: a lost executor costs the tasks it ran, not the stages before this table.
     Every call takes a folder of its own, so no live frame is ever overwritten.
     """
     spark = df.sparkSession
     modest_batches(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if tasks is None else df.coalesce(tasks)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

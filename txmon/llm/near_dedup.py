@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txmon.llm.common import DOC_COLUMNS, read, staged, without_ids
+from txmon.llm.common import DOC_COLUMNS, read, staged, tasks_for, without_ids
 from txmon.llm.components import components
 
 SHINGLE = 5
@@ -43,6 +43,8 @@ TREES, DEPTH = 16, 8
 MISS = 1e-6
 NODE = 256
 BLOCK = 512
+#: Rows in one task: of ids alone, of ids with signatures, of pairs or ids with full sets.
+NARROW, SIGNED, FULL = 50_000, 10_000, 2_000
 #: Of 128 minhashes, pairs agreeing so many standard deviations below the threshold are not tested.
 DEVIATIONS = 4.75
 _rng = np.random.default_rng(23)
@@ -140,8 +142,8 @@ def signed(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _node(depth: int):
-    """The forest node at ``depth`` of one order: its tree and the hash of the shared prefix."""
-    return F.xxhash64(F.substring("path", 1, 4 * depth))
+    """The forest node at ``depth`` of one order: a hash of the order and the shared prefix."""
+    return F.xxhash64("tree", F.substring("path", 1, 4 * depth))
 
 
 def more_trees(dense: DataFrame, docs: DataFrame, k: int, percent: int, first: int) -> DataFrame:
@@ -160,25 +162,31 @@ def more_trees(dense: DataFrame, docs: DataFrame, k: int, percent: int, first: i
     orders = F.explode(F.array(*[F.struct(
         F.lit(TREES + i).alias("tree"), F.lit(start).alias("start"), F.substring("minhashes", i * size + 1, size).alias("path"))
         for i, start in enumerate(starts)]))
-    signed_ = full_sets(docs, dense.select(F.col("cls").alias("doc_id")), k).withColumnRenamed("doc_id", "cls").mapInPandas(
+    signed_ = full_sets(docs, dense.select(F.col("cls").alias("doc_id")), dense.count(), k).withColumnRenamed("doc_id", "cls").mapInPandas(
         sign, "cls bigint, minhashes binary")
     return staged(signed_.select("cls", orders.alias("o")).select("cls", "o.tree", "o.path", "o.start"), "more_trees")
 
 
-def company(nodes: DataFrame, shorts: DataFrame) -> DataFrame:
-    """The members (cls, tree, at, path, size, short) of nodes of two classes or more."""
-    counts = staged(nodes.groupBy("tree", "node").agg(F.count("*").alias("size")).where("size > 1"), "counts")
-    members = nodes.join(counts, ["tree", "node"]).withColumnRenamed("node", "at")
-    return staged(members.join(shorts, "cls"), "members")
+def company(nodes: DataFrame, n: int) -> tuple[DataFrame, DataFrame | None]:
+    """Of ``nodes`` (``n`` rows cls, tree, path, at) those of two classes or more: the different sets of classes
+    below the small ones (g, cls), whatever orders they stand in, and the members of the large ones, if any.
+    Only ids and nodes are shuffled, paths are read again for the members of large nodes."""
+    counts = staged(nodes.groupBy("at").agg(F.count("*").alias("size")).where("size > 1"), "counts", tasks_for(n, NARROW))
+    sets = nodes.select("cls", "at").join(counts.where(F.col("size") <= NODE).select("at"), "at").groupBy("at").agg(
+        F.sort_array(F.collect_list("cls")).alias("ids")).select("ids").distinct()
+    groups = staged(sets.select(F.xxhash64("ids").alias("g"), F.explode("ids").alias("cls")), "groups", tasks_for(n, NARROW))
+    large = counts.where(F.col("size") > NODE).select("at")
+    if large.isEmpty():
+        return groups, None
+    return groups, staged(nodes.join(F.broadcast(large), "at"), "large")  # at most classes x orders / NODE nodes
 
 
 def mixture(named: DataFrame) -> DataFrame:
-    """tree, at, main (the largest component), n and apart (classes outside it) of nodes of two
-    components or more."""
-    key = ["tree", "at"]
-    counts = named.groupBy(*key, "component").count()
-    return staged(counts.groupBy(*key).agg(F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("n"))
-                  .select(*key, F.col("m.component").alias("main"), "n", (F.col("n") - F.col("m.count")).alias("apart"))
+    """at, main (the largest component), n and apart (classes outside it) of nodes of two components
+    or more."""
+    counts = named.groupBy("at", "component").count()
+    return staged(counts.groupBy("at").agg(F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("n"))
+                  .select("at", F.col("m.component").alias("main"), "n", (F.col("n") - F.col("m.count")).alias("apart"))
                   .where("apart > 0"), "mixture")
 
 
@@ -250,7 +258,7 @@ def _pairs_in(rows: pd.DataFrame, starts: np.ndarray, bound: float) -> Iterator[
 
 
 def strongest(batches: Iterator[pd.DataFrame], bound: float) -> Iterator[pd.DataFrame]:
-    for rows, starts in _runs(batches, ["tree", "at"]):
+    for rows, starts in _runs(batches, ["g"]):
         yield from _pairs_in(rows, starts, bound)
 
 
@@ -343,36 +351,47 @@ def large_nodes(rows: DataFrame) -> DataFrame:
     na, nb = blocks("apart"), blocks("n")
     asking = rows.where("component <> main").withColumn("i", block(na)).withColumn("j", every(nb))
     all_ = rows.withColumn("j", block(nb)).withColumn("i", every(na))
-    cols = [F.xxhash64("tree", "at", "i", "j").alias("g"), "cls", "component", "short"]
+    cols = [F.xxhash64("at", "i", "j").alias("g"), "cls", "component", "short"]
     return asking.select(*cols, F.lit(1).alias("asks")).unionByName(all_.select(*cols, F.lit(0).alias("asks")))
 
 
-def joining_links(groups: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Round 2 over groups (g, cls, component, short, asks) of bounded size."""
-    by_group = lambda df: df.repartition("g").sortWithinPartitions("g", "cls", "asks")
-    worth = staged(by_group(groups).mapInPandas(
+def _by_group(groups: DataFrame, n: int | None, each: int, *order: str) -> DataFrame:
+    """``groups`` whole and sorted; ``n``: their rows, if known, of which a task then takes ``each``."""
+    dealt = groups.repartition("g")
+    return (dealt if n is None else dealt.coalesce(tasks_for(n, each))).sortWithinPartitions("g", *order)
+
+
+def joining_links(groups: DataFrame, n: int | None, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Round 2 over groups (g, cls, component, short, asks) of bounded size; ``n``: their rows, if known."""
+    worth = staged(_by_group(groups, n, SIGNED, "cls", "asks").mapInPandas(
         lambda batches: worth_testing(batches, may_link(percent)), groups.schema), "worth")
-    sets = full_sets(docs, worth.select(F.col("cls").alias("doc_id")).distinct(), k)
-    return by_group(worth.join(sets, F.col("cls") == F.col("doc_id"))).mapInPandas(
+    n = worth.count()
+    sets = full_sets(docs, worth.select(F.col("cls").alias("doc_id")).distinct(), n, k)
+    return _by_group(worth.join(sets, F.col("cls") == F.col("doc_id")), n, FULL, "cls", "asks").mapInPandas(
         lambda batches: tested(batches, percent), "a bigint, b bigint")
 
 
-def full_sets(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """doc_id, s (sorted 64-bit shingle hashes) of the documents asked for."""
+def full_sets(docs: DataFrame, asked: DataFrame, n: int, k: int) -> DataFrame:
+    """doc_id, s (sorted 64-bit shingle hashes) of the documents asked for, at most ``n``."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "s": [shingle_set(t, k).tobytes() for t in batch["text"]]})
 
-    return staged(docs.select("doc_id", "text").join(staged(asked, "asked"), "doc_id", "left_semi").mapInPandas(
-        sets, "doc_id bigint, s binary").dropDuplicates(["doc_id"]), "sets")
+    asked = staged(asked, "asked", tasks_for(n, NARROW))
+    out = staged(docs.select("doc_id", "text").join(asked, "doc_id", "left_semi").mapInPandas(
+        sets, "doc_id bigint, s binary"), "sets")
+    # ids alone tell whether some come twice; only then the sets are shuffled for it
+    twice = out.groupBy("doc_id").count().where("count > 1")
+    return out if twice.isEmpty() else staged(out.dropDuplicates(["doc_id"]), "sets")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of class representatives whose full sets are similar enough."""
-    pairs = staged(pairs.distinct(), "pairs")
+def confirmed(pairs: DataFrame, most: int, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b), ``most`` at most, of class representatives whose full sets are similar enough."""
+    pairs = staged(pairs.distinct(), "pairs", tasks_for(most, NARROW))
+    n = pairs.count()
     sets = full_sets(docs, pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))).distinct(), k)
+        pairs.select(F.col("b").alias("doc_id"))).distinct(), 2 * n, k)
     joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("s").alias("y")), "b")
 
@@ -385,7 +404,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.loc[np.array(ok, bool), ["a", "b"]]
 
-    return staged(joined.mapInPandas(test, "a bigint, b bigint"), "confirmed")
+    return staged(joined.mapInPandas(test, "a bigint, b bigint"), "confirmed", tasks_for(n, FULL))
 
 
 def class_components(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -397,41 +416,52 @@ def class_components(classes: DataFrame, docs: DataFrame, k: int, percent: int)
     short = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(TREES * DEPTH - 1)), lambda i: F.hex(
         F.substring(F.col("minhashes"), i * 4 + 1, F.lit(1)))), ""))
     shorts = classes.select("cls", short.alias("short"))
-    nodes = staged(classes.select("cls", orders.alias("o")).select("cls", "o.tree", "o.path", _node(depth).alias("node")), "nodes")
-    members = company(nodes, shorts)
+    nodes = classes.select("cls", orders.alias("o")).select("cls", "o.tree", "o.path").withColumn("at", _node(depth))
+    groups, large = company(nodes, TREES * classes.count())
+    n = groups.count()
 
     # round 1: strongest links; neighbours in the sorted order where a node is large
-    pair, order = "a bigint, b bigint", ["tree", "at", "path", "cls"]
-    first = members.where(F.col("size") <= NODE).repartition("tree", "at").sortWithinPartitions("tree", "at", "cls").mapInPandas(
-        lambda batches: strongest(batches, bound), pair)
-    big = members.where(F.col("size") > NODE)
-    if not big.isEmpty():
-        first = first.unionByName(big.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
+    pair, order = "a bigint, b bigint", ["at", "path", "cls"]
+    first = _by_group(groups.join(shorts, "cls"), n, SIGNED, "cls").mapInPandas(lambda batches: strongest(batches, bound), pair)
+    if large is not None:
+        first = first.unionByName(large.join(shorts, "cls").repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
             lambda batches: neighbours(batches, bound), pair))
-    links = confirmed(first, docs, k, percent)
-    found = staged(components(links), "found")
+    most = n + (0 if large is None else 2 * large.count())  # a spanning forest has fewer links than rows
+    links = confirmed(first, most, docs, k, percent)
+    joins = links.count()
+    found = staged(components(links), "found", tasks_for(joins, NARROW))
 
     # round 2: what is still apart, from depth to depth
     label = lambda df: df.join(found, F.col("cls") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "cls")).drop("node")
     more = None
     while True:
-        mixed = staged(label(members).join(mixture(label(members)), ["tree", "at"]), "mixed")
-        deeper = (F.col("n") > NODE) & (F.col("apart") > BLOCK) & F.lit(depth < DEPTH)
-        groups = mixed.where(F.col("n") <= NODE).select(
-            F.xxhash64("tree", "at").alias("g"), "cls", "component", "short", F.lit(-1).alias("asks"))
-        direct = mixed.where((F.col("n") > NODE) & ~deeper)
-        if not direct.isEmpty():
-            groups = groups.unionByName(large_nodes(direct))
-        joined = staged(joining_links(groups, docs, k, percent), "joined")
-        if not joined.isEmpty():
-            links = staged(links.unionByName(joined), "links")
-            found = staged(components(links), "found")
-        left = mixed.where(deeper).select("cls", "tree", "at", "path", "short")
+        named = label(groups)
+        apart = named.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("g")
+        asking = staged(named.join(apart, "g"), "mixed", tasks_for(n, NARROW))
+        rows = asking.count()
+        asking = asking.join(shorts, "cls").select("g", "cls", "component", "short", F.lit(-1).alias("asks"))
+        mixed, direct = None, None
+        if large is not None:
+            mixed = staged(label(large).join(mixture(label(large)), "at"), "mixed")
+            deeper = (F.col("apart") > BLOCK) & F.lit(depth < DEPTH)
+            direct = mixed.where(~deeper)
+            direct = None if direct.isEmpty() else large_nodes(direct.join(shorts, "cls"))
+        if rows or direct is not None:
+            joined = joining_links(asking if direct is None else asking.unionByName(direct),
+                                   rows if direct is None else None, docs, k, percent)
+            joined = staged(joined, "joined")
+            if not joined.isEmpty():
+                links = staged(links.unionByName(joined), "links")
+                joins = links.count()
+                found = staged(components(links), "found", tasks_for(joins, NARROW))
+        if mixed is None:
+            return found
+        left = mixed.where(deeper).select("cls", "tree", "at", "path")
         if left.isEmpty():
             return found
         left = label(left)
-        left = staged(left.join(mixture(left).select("tree", "at"), ["tree", "at"]), "left")
+        left = staged(left.join(mixture(left).select("at"), "at"), "left")
         if left.isEmpty():
             return found
         dense = staged(left.select("cls").distinct(), "dense")
@@ -440,8 +470,9 @@ def class_components(classes: DataFrame, docs: DataFrame, k: int, percent: int)
             more = more_trees(dense, docs, k, percent, depth)
         nodes = staged(left.select("cls", "tree", "path").unionByName(
             more.where(F.col("start") == depth).join(dense, "cls").select("cls", "tree", "path")).withColumn(
-            "node", _node(depth)), "nodes")
-        members = company(nodes, shorts)
+            "at", _node(depth)), "nodes")
+        groups, large = company(nodes, nodes.count())
+        n = groups.count()
 
 
 def near_dedup(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -454,11 +485,15 @@ def near_dedup(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Dat
     """
     rows = staged(signed(docs, k), "signed")
     live = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = staged(live.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.first("minhashes").alias("minhashes")), "classes")
-    final = class_components(classes.dropDuplicates(["cls"]), docs, k, percent)
+    classes = staged(live.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.first("minhashes").alias("minhashes")),
+                     "classes", tasks_for(rows.count(), SIGNED))
+    # a class for each id: signatures are shuffled for it only where rows of different words share one
+    one = classes if classes.groupBy("cls").count().where("count > 1").isEmpty() else staged(
+        classes.dropDuplicates(["cls"]), "classes")
+    final = class_components(one, docs, k, percent)
 
     named = staged(classes.select("set_key", "cls").join(final, F.col("cls") == F.col("node"), "left").select(
-        "set_key", F.coalesce("component", "cls").alias("component_id")), "named")
+        "set_key", F.coalesce("component", "cls").alias("component_id")), "named", tasks_for(classes.count(), NARROW))
     lone = rows.where("set_key IS NULL OR doc_id IS NULL").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     linked = live.select("doc_id", "n_shingles", "set_key").join(named, "set_key").select(
