@@ -14,7 +14,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txmon.llm.common import DOC_COLUMNS, read, staged, word_count
@@ -155,8 +155,16 @@ def route(patterns: dict[tuple, int], wanted: dict, repeats: int = REPEATS) -> d
     return out
 
 
-def select(rows: DataFrame, quota: dict[str, int], sizes: dict[str, int], seed: int = SEED) -> DataFrame:
-    """``rows`` (pattern, doc_id, size, ...) with ``taken``: words taken, whole documents only.
+def place(seed: int) -> tuple[Column, Column]:
+    """A document's place in the seeded order, and its slice."""
+    h = F.xxhash64(F.lit(seed), "doc_id")
+    return h, F.pmod(h, F.lit(SLICES)).cast("int")
+
+
+def select(rows: DataFrame, quota: dict[str, int], sizes: dict[str, int], seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (pattern, doc_id, size, ...) with ``taken``: words taken, whole documents only; and the rule
+    that gives nearly all of it: pattern, passes, room, cut.  A document of up to ``room`` words in a
+    slice before ``cut`` is taken once more than ``passes`` times.
 
     A pattern's quota is some whole passes over its documents and a rest.  For the rest documents
     are taken in the seeded order while they fit; documents that still fit into what is left are
@@ -166,9 +174,10 @@ def select(rows: DataFrame, quota: dict[str, int], sizes: dict[str, int], seed:
     base = {p: quota[p] // sizes[p] if sizes[p] else 0 for p in quota}
     left = {p: quota[p] - base[p] * sizes[p] for p in quota}
     table = lambda d, name: spark.createDataFrame(list(d.items()), f"pattern string, {name} bigint")
-    h = F.xxhash64(F.lit(seed), "doc_id")
+    h, slice_ = place(seed)
+    rule: list = []
     own = staged(rows.join(F.broadcast(table(base, "passes")), "pattern")  # a row for each pattern: checked in route()
-                 .withColumn("h", h).withColumn("slice", F.pmod("h", F.lit(SLICES)).cast("int"))
+                 .withColumn("h", h).withColumn("slice", slice_)
                  .withColumn("extra", F.lit(0)), "mix")
     for _ in range(FILL_ROUNDS):
         left = {p: v for p, v in left.items() if v > 0}
@@ -182,6 +191,7 @@ def select(rows: DataFrame, quota: dict[str, int], sizes: dict[str, int], seed:
                .where("upto > room").groupBy("pattern").agg(F.min(F.struct("slice", "from")).alias("c"))
                .select("pattern", "c.*").collect())  # a row for each pattern at most
         at = {r["pattern"]: (r["slice"], r["from"]) for r in cut}
+        rule = rule or [(p, base[p], left.get(p, 0), at.get(p, (SLICES, 0))[0]) for p in base]
         cuts = spark.createDataFrame([(p, v, *at.get(p, (SLICES, 0))) for p, v in left.items()],
                                      "pattern string, room bigint, cut int, upto bigint")
         marked = own.join(F.broadcast(cuts), "pattern", "left").withColumn(
@@ -209,21 +219,26 @@ def select(rows: DataFrame, quota: dict[str, int], sizes: dict[str, int], seed:
                          & (F.col("size") == F.col("bs")) & (F.col("extra") == 0), F.lit(False))
         # a row for each pattern at most
         own = own.join(F.broadcast(one), "pattern", "left").withColumn("extra", F.when(hit, 1).otherwise(F.col("extra")))
+    rule = rule or [(p, base[p], 0, 0) for p in base]
     return own.withColumn("taken", F.col("size") * (F.col("passes") + F.col("extra"))).drop(
-        "passes", "extra", "h", "slice", "bh", "bid", "bs")
+        "passes", "extra", "h", "slice", "bh", "bid", "bs"), spark.createDataFrame(
+        rule, "pattern string, passes bigint, room bigint, cut int")
+
+
+def pattern() -> Column:
+    return F.to_json(F.struct("sources"), {"ignoreNullFields": "false"})
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, repeats: int = REPEATS,
-        seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+        seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``docs``: doc_id, size, sources (array of the sources it belongs to), with pattern and taken
-    added; and the sources: source, source_size, target.
+    added; the sources: source, source_size, target; and the rule of ``select``.
 
     Rows of equal id and size share their place in the seeded order and stand for themselves; a
     document of size 0 is never taken; repeated sources of a document count once.  Whole documents
     only, so a source's taken words miss its target by a part of one of its documents.
     """
-    rows = docs.withColumn("sources", F.array_sort(F.array_distinct("sources"))).withColumn(
-        "pattern", F.to_json(F.struct("sources"), {"ignoreNullFields": "false"}))
+    rows = docs.withColumn("sources", F.array_sort(F.array_distinct("sources"))).withColumn("pattern", pattern())
     summed = rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.first("sources").alias("sources")).limit(
         MAX_ARCS + 1).collect()  # one more than the network may hold: route() then refuses
     patterns = {r["pattern"]: (tuple(r["sources"]), r["size"]) for r in summed}
@@ -234,21 +249,25 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     wanted = targets(sizes, weights, share, repeats)
     flow = route({v[0]: v[1] for v in patterns.values()}, wanted, repeats)
     quota = {p: sum(flow[v[0]].values()) for p, v in patterns.items()}
-    mixed = select(rows, quota, {p: v[1] for p, v in patterns.items()}, seed)
+    mixed, rule = select(rows, quota, {p: v[1] for p, v in patterns.items()}, seed)
     info = docs.sparkSession.createDataFrame(
         [(s, int(sizes[s]), float(wanted[s])) for s in sizes], "source string, source_size bigint, target double")
-    return mixed, info
+    return mixed, info, rule
 
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
     """doc_id, source, size, source_size, target, taken of every row."""
+    return _mixed_documents(documents)[0]
+
+
+def _mixed_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     # the texts are read once; everything after works on this narrow table
     docs = staged(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
-    mixed, sources = mix(docs.withColumn("sources", F.array("source")))
+    mixed, sources, rule = mix(docs.withColumn("sources", F.array("source")))
     sources = sources.withColumnRenamed("source", "of")
     # a row for each source, no more than the network holds
     return mixed.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "source", "size", "source_size", "target", "taken")
+        "doc_id", "source", "size", "source_size", "target", "taken"), rule
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,17 +277,33 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(read(spark, sf_dir, "documents")).drop("source")
 
 
+def _usual(rows: DataFrame, rule: DataFrame, source: str, size: str, seed: int = SEED) -> DataFrame:
+    """``rows`` with ``_usual``: how often the rule of ``select`` takes each."""
+    ruled = rows.withColumn("sources", F.array(source)).withColumn("_pattern", pattern()).drop("sources").join(
+        F.broadcast(rule), F.col("_pattern") == F.col("pattern"))  # a row for each pattern: checked in route()
+    once_more = (F.col(size) <= F.col("room")) & (place(seed)[1] < F.col("cut"))
+    return ruled.withColumn("_usual", F.when(F.col(size) > 0, F.col("passes") + once_more.cast("int")).otherwise(0)).drop(
+        "_pattern", "pattern", "passes", "room", "cut")
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix itself: a row for each time a document is taken."""
+    """The mix itself: a row for each time a document is taken.
+
+    Texts are not shuffled.  How often nearly every document is taken follows from its source, its size and
+    its place in the seeded order, by a rule that is broadcast; the others, those of one slice a source and
+    those that filled up what was left, are joined by their ids.
+    """
     docs = docs.select(*DOC_COLUMNS)
-    taken = mixed_documents(docs).where("taken > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        (F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    # repeated rows of one id, source and size are one document here: they join once each
-    taken = taken.groupBy("_id", "_source", "_size").agg(F.sum("_times").alias("_sum"), F.count("*").alias("_rows"))
-    own = docs.withColumn("_words", word_count(F.col("text")))
+    mixed, rule = _mixed_documents(docs)
+    times = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0).alias("_times")
+    taken = _usual(mixed.select("doc_id", "source", "size", times), rule, "source", "size")
+    # repeated rows of one id, source and size are one document here: each is taken as often
+    others = staged(taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(
+        F.sum("_times").alias("_sum"), F.count("*").alias("_rows"), F.first("_usual").alias("_usual")).withColumn(
+        "_times", F.ceil(F.col("_sum") / F.col("_rows"))).where("_times <> _usual").select("_id", "_source", "_size", "_times"), "others")
+    own = _usual(docs.withColumn("_words", word_count(F.col("text"))), rule, "source", "_words")
     same = (F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
             & (F.col("_words") == F.col("_size")))
-    joined = own.join(taken, same)
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_sum") / F.col("_rows")).cast("int")))).select(
-        *DOC_COLUMNS)
+    # about a row in SLICES, and those of the later rounds
+    joined = own.join(F.broadcast(others), same, "left").withColumn("_n", F.coalesce("_times", "_usual").cast("int"))
+    return joined.where("_n > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*DOC_COLUMNS)
