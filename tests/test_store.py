@@ -191,3 +191,38 @@ def test_audit_log_round_trip(spark, monitor, monkeypatch):
     assert all((m["n_customers"], m["n_accounts"], m["n_transactions"]) == (2, 2, 160) for m in loaded)
     assert [json.loads(r.metadata) for r in log if r.event_type == "etl_run"] == [{"rows": 160}]
     assert {(r.pattern, r.customer_id) for r in ground_truth_from_audit(store.audit.read()).collect()} == want
+
+
+def test_a_keyed_write_computes_its_rows_once_and_leaves_other_partitions(spark, table):
+    table.append(frame(spark, (1, D1, "a", 1), (2, D1, "b", 1), (3, D2, "c", 1)), "one")
+    ran = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            ran.add(len(b))
+            yield b
+
+    new = frame(spark, (2, D1, "new", 2), (9, D2, "more", 2)).coalesce(1).mapInPandas(counted, ROWS)
+    assert table.merge(new, ["k", "day"], "two") == 3 and ran.value == 2  # each row three times before
+    assert stored(table) == [(1, D1, "a", 1), (2, D1, "new", 2), (3, D2, "c", 1), (9, D2, "more", 2)]
+    assert {r["part"]: r["mode"] for r in table.commits() if r["batch"] == "two"} == {
+        "2024-01-01": "replace", "2024-01-02": "append"}  # no row of the second is replaced
+
+
+def test_append_absent_with_nulls_and_repeats(spark, table):
+    rows = frame(spark, (None, D1, "n", 1), (None, D1, "n", 1), (1, D1, "a", 1), (1, D1, "a", 1), (2, D1, "b", 1))
+    assert table.append_absent(rows, ["k", "day"], "one") == 3
+    assert table.append_absent(frame(spark, (1, D1, "z", 1), (2, D1, "z", 1)), ["k", "day"], "two") == 0
+    assert table.append_absent(frame(spark, (None, D1, "m", 1), (1, D1, "z", 1)), ["k", "day"], "three") == 1  # null equals none
+    assert sorted((r.k is None, r.k or 0, r.v) for r in table.read().collect()) == [
+        (False, 1, "a"), (False, 2, "b"), (True, 0, "m"), (True, 0, "n")]
+
+
+def test_a_batch_that_is_all_new_or_all_stored_moves_no_rows_for_its_keys(spark, table, monkeypatch):
+    seen = []
+    plain = StoredTable._publish
+    monkeypatch.setattr(StoredTable, "_publish", lambda self, df, *a: seen.append(
+        df._jdf.queryExecution().optimizedPlan().toString()) or plain(self, df, *a))
+    rows = frame(spark, (1, D1, "a", 1), (2, D2, "b", 1))
+    assert table.append_absent(rows, ["k", "day"], "one") == 2 and table.append_absent(rows, ["k", "day"], "two") == 0
+    assert not any(x in plan for plan in seen for x in ("Aggregate", "Join"))

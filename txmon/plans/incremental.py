@@ -28,7 +28,7 @@ from txmon.operators.enrich import ENRICHMENT_COLUMNS, enrich, first_seen_counte
 from txmon.operators.precision import ground_truth_from_audit, rule_performance
 from txmon.operators.rules import ALERT_COLUMNS, SCORE_COLUMNS, alert_rows, fire, rules_frame
 from txmon.operators.windows import HOT_ROWS
-from txmon.session import checkpoint_dir
+from txmon.session import checkpoint_dir, materialize
 from txmon.sources.monitor import MonitorSources, build_fraud_customers, load_monitor_sources
 from txmon.sources.store import StoredTable
 
@@ -118,12 +118,20 @@ class MonitorStore:
         """Transactions whose id is not stored in their partition yet."""
         return self.transactions.append_absent(transactions.withColumn("day", self.day()), ["id", "day"], batch)
 
+    def _untouched(self, days: list[str]) -> bool:
+        """No row of these partitions is enriched yet, so all of them are new."""
+        return {r["part"] for r in self.enrichment.commits() if r["rows"]}.isdisjoint(days)
+
     def _new(self, days: list[str]) -> DataFrame:
+        if self._untouched(days):
+            return self.transactions.read(days)
         done = self.enrichment.read(days).select(F.col("transaction_id").alias("id"), "day")
         return self.transactions.read(days).join(done, ["day", "id"], "left_anti")
 
     def remember(self, batch: str) -> int:
         """First rows of counterparties that are new, or earlier than the one kept."""
+        if batch in self.first_seen.batches():
+            return 0
         new = self._new(self.days_of(batch)).withColumn("us", micros("timestamp"))
         key = ["account_id", "counterparty_account"]
         mine = new.filter("counterparty_account <> ''").groupBy(*key).agg(F.min(F.struct("us", "id", "day")).alias("f"))
@@ -133,15 +141,20 @@ class MonitorStore:
 
     def enrich(self, batch: str, accounts: DataFrame, country_risk: DataFrame) -> int:
         """The batch's new transactions, enriched from their look-back and the kept first rows."""
+        if batch in self.enrichment.batches():
+            return 0
         days = self.days_of(batch)
-        new = self._new(days).select("id", "day")
         history = self.transactions.read(self._back(days)).drop("day")
         key = ["account_id", "counterparty_account"]
         asked = first_seen_counterparty(history.withColumn("us", micros("timestamp"))).select(*key)
         first = self.first_seen.read().join(asked, key, "left_semi").groupBy(*key).agg(
             F.min(F.struct("us", "id"))["id"].alias("_first_id"))
         wide = enrich(history, accounts, country_risk, first=first, hot_rows=HOT_ROWS).withColumn("day", self.day())
-        rows = wide.join(new, ["day", "id"], "left_semi").select(*ENRICHMENT_COLUMNS, "customer_id", "day")
+        if self._untouched(days):
+            wide = wide.where(F.col("day").cast("string").isin(days))
+        else:
+            wide = wide.join(self._new(days).select("id", "day"), ["day", "id"], "left_semi")
+        rows = wide.select(*ENRICHMENT_COLUMNS, "customer_id", "day")
         return self.enrichment.merge(rows, ["day", "transaction_id"], batch)
 
     def wide(self, days: list[str] | None = None) -> DataFrame:
@@ -151,10 +164,13 @@ class MonitorStore:
 
     def alert(self, batch: str, accounts: DataFrame, customers: DataFrame) -> int:
         """Alerts of the batch's partitions whose (transaction, rule) has none yet."""
+        if batch in self.alerts.batches():
+            return 0
         fired, _ = fire(self.wide(self.days_of(batch)), accounts, customers, self.rules.read())
         rows = alert_rows(fired, "customer_id", "day")
         columns = list(dict.fromkeys([*ALERT_COLUMNS, *SCORE_COLUMNS, "customer_id", "day"]))
-        return self.alerts.append_absent(rows.select(*columns), ["day", "transaction_id", "rule_id"], batch)
+        rows = materialize(rows.select(*columns), "fired")  # read for its partitions, its keys and its rows
+        return self.alerts.append_absent(rows, ["day", "transaction_id", "rule_id"], batch)
 
     def measure(self, batch: str, evaluation_date: str) -> int:
         """Rule figures of the date, by the ground truth that the audit log keeps."""

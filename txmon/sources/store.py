@@ -6,7 +6,8 @@ dies between two steps leaves no half-written partition: the next run of the sam
 folder anew, and a batch that is committed already is skipped.
 
 A commit adds rows to its partitions or replaces them.  Keyed writes read only the partitions that the
-new rows fall into.  One writer a table at a time; readers may run meanwhile.
+new rows fall into, hold keys against keys and move whole rows once, to their files; a partition is
+written anew only where a row of it is replaced.  One writer a table at a time; readers may run meanwhile.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txmon.session import materialize
+
 COMMITS = "batch string, seq bigint, part string, mode string, rows bigint, folder string"
 
 
@@ -73,15 +76,19 @@ class StoredTable:
         rows = self.spark.read.schema(self.schema + ", batch string").option("basePath", self._folder("data")).parquet(*paths)
         return rows.select(*shape.columns)
 
-    def _publish(self, df: DataFrame, batch: str, mode: str, unique: list[str] | None, touched: list[str] = ()) -> int:
-        """Write, audit, publish.  ``touched``: partitions that a replacing batch leaves empty count too."""
+    def _rows(self, df: DataFrame) -> DataFrame:
+        """``df`` in the columns and types of the table."""
         shape = self.spark.createDataFrame([], self.schema)
-        folder = f"batch={uuid.uuid4().hex}"
-        target = f"{self._folder('data')}/{folder}"
-        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in shape.schema.fields])
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in shape.schema.fields])
+
+    def _write(self, df: DataFrame, target: str) -> DataFrame:
+        """Adds to a folder that is not published yet; what stands there now."""
         # split and joined to even files by partition; a partition with a third of the rows takes many tasks
-        rows.hint("rebalance", F.col(self.part)).write.partitionBy(self.part).parquet(target)
-        back = self.spark.read.schema(self.schema).option("basePath", target).parquet(target)
+        self._rows(df).hint("rebalance", F.col(self.part)).write.mode("append").partitionBy(self.part).parquet(target)
+        return self.spark.read.schema(self.schema).option("basePath", target).parquet(target)
+
+    def _audit(self, back: DataFrame, batch: str, unique: list[str] | None) -> dict[str, int]:
+        """Rows of each partition, where the written rows may be published."""
         counts = {str(r["p"]): r["n"] for r in back.groupBy(F.col(self.part).cast("string").alias("p")).agg(
             F.count("*").alias("n")).collect()}  # a row a partition
         if "None" in counts:
@@ -90,14 +97,24 @@ class StoredTable:
             twice = back.groupBy(*unique).count().where("count > 1").limit(1).collect()
             if twice:
                 raise AuditError(f"{batch}: a key occurs {twice[0]['count']} times")
+        return counts
+
+    def _new_folder(self) -> tuple[str, str]:
+        folder = f"batch={uuid.uuid4().hex}"
+        return folder, f"{self._folder('data')}/{folder}"
+
+    def _publish(self, df: DataFrame, batch: str, mode: str, unique: list[str] | None, touched: list[str] = ()) -> int:
+        """Write, audit, publish.  ``touched``: partitions that a replacing batch leaves empty count too."""
+        folder, target = self._new_folder()
+        counts = self._audit(self._write(df, target), batch, unique)
         for p in touched:
             counts.setdefault(p, 0)
-        self._commit(batch, folder, mode, counts)
+        self._commit(batch, folder, dict.fromkeys(counts, mode), counts)
         return sum(counts.values())
 
-    def _commit(self, batch: str, folder: str, mode: str, counts: dict[str, int]) -> None:
+    def _commit(self, batch: str, folder: str, modes: dict[str, str], counts: dict[str, int]) -> None:
         seq = max((r["seq"] for r in self.commits()), default=0) + 1
-        lines = [(batch, seq, p, mode, n, folder) for p, n in sorted(counts.items())] or [(batch, seq, "", "append", 0, folder)]
+        lines = [(batch, seq, p, modes[p], n, folder) for p, n in sorted(counts.items())] or [(batch, seq, "", "append", 0, folder)]
         self.spark.createDataFrame(lines, COMMITS).coalesce(1).write.mode("append").parquet(self._folder("commits"))
 
     def _touched(self, df: DataFrame) -> list[str]:
@@ -109,27 +126,56 @@ class StoredTable:
         return 0 if batch in self.batches() else self._publish(df, batch, "append", None)
 
     def append_absent(self, df: DataFrame, keys: list[str], batch: str) -> int:
-        """Add the rows whose ``keys`` are not stored yet, one a key; equal keys share a partition."""
+        """Add the rows whose ``keys`` are not stored yet, one a key; equal keys share a partition.
+
+        Reads ``df`` three times or more.  Keys are counted first: where none repeats, rows go straight to
+        their files; where none is new, no row moves; else the rows are held against the keys that repeat.
+        """
         if batch in self.batches():
             return 0
-        new = df.dropDuplicates(keys).join(self.read(self._touched(df)).select(*keys), keys, "left_anti")
-        return self._publish(new, batch, "append", keys)
+        df = self._rows(df)
+        stored = self.read(self._touched(df)).select(*keys)
+        both = df.select(*keys, F.lit(0).alias("_old")).unionByName(stored.withColumn("_old", F.lit(1)))
+        whole = F.lit(True)  # a key with a null in it equals no stored one
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
+        seen = both.groupBy(*keys).agg(F.count_if(F.col("_old") == 0).alias("_n"), F.max("_old").alias("_old")).where(
+            "_n > 0").select(*keys, (F.col("_n") > 1).alias("_twice"), ((F.col("_old") == 1) & whole).alias("_known"))
+        n = seen.agg(F.count_if(F.col("_twice") & ~F.col("_known")).alias("twice"), F.count_if("_known").alias("known"),
+                     F.count("*").alias("all")).first()
+        if n["known"] == n["all"]:
+            df = df.limit(0)
+        elif n["known"] or n["twice"]:
+            odd = materialize(seen.where("_known OR _twice").select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_known"), "keys")
+            same = F.lit(True)
+            for k in keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+            one = df.join(odd.where("NOT _known"), same, "left_semi").dropDuplicates(keys)
+            df = df.join(odd, same, "left_anti").unionByName(one)
+        return self._publish(df, batch, "append", keys)
 
     def merge(self, df: DataFrame, keys: list[str], batch: str, version: str | None = None) -> int:
         """Replace the stored rows of ``df``'s keys and add the others; equal keys share a partition.
 
-        Only the partitions that ``df`` touches are read and replaced.  With ``version`` the highest of
-        a key wins, in ``df`` and against what is stored; without it rows of ``df`` win and a key may
-        occur in ``df`` once.
+        Only the partitions that ``df`` touches are read, and those of which a row is replaced are written
+        anew; ``df`` is computed once.  With ``version`` the highest of a key wins, in ``df`` and against
+        what is stored; without it rows of ``df`` win and a key may occur in ``df`` once.
         """
         if batch in self.batches():
             return 0
-        touched = self._touched(df)
-        old = self.read(touched)
-        df = df.select(*old.columns)
         if version:
-            rows = latest(old.unionByName(df), keys, version)
-        else:
-            rows = old.join(df.select(*keys), keys, "left_anti").unionByName(df)
-        return self._publish(rows, batch, "replace", keys, touched)
-
+            df = materialize(self._rows(df), "merge")
+            touched = self._touched(df)
+            return self._publish(latest(self.read(touched).unionByName(df), keys, version), batch, "replace", keys, touched)
+        folder, target = self._new_folder()
+        back = self._write(df, target)
+        counts = self._audit(back, batch, keys)
+        hit: list[str] = []
+        if not {r["part"] for r in self.commits() if r["rows"]}.isdisjoint(counts):
+            old, mine = self.read(sorted(counts)), back.select(*keys)
+            part = F.col(self.part).cast("string")
+            hit = [r["p"] for r in old.join(mine, keys, "left_semi").select(part.alias("p")).distinct().collect()]  # a row a partition
+        if hit:  # the rows that stay of these partitions go with the new ones
+            counts = self._audit(self._write(old.where(part.isin(hit)).join(mine, keys, "left_anti"), target), batch, keys)
+        self._commit(batch, folder, {p: "replace" if p in hit else "append" for p in counts}, counts)
+        return sum(counts.values())
