@@ -510,6 +510,34 @@ def test_html_template_of_all_pages(spark):
     assert {i: t for i, t in got.items() if t != want[i]} == {} and len(got) == len(rows)
 
 
+def test_html_menus_of_all_pages(spark, monkeypatch):
+    """A list of links that few pages of a layout have is a menu there, whichever pages these are; a node that
+    holds links on a few pages and prose on most is none."""
+    from txmon.llm import html_extract as m
+    monkeypatch.setattr(m, "GROUP", 4)  # several rounds
+    rows, want = [], {}
+    for i in range(200):
+        body = " ".join(f"w{i}x{j}" for j in range(20 + i % 7))
+        more = "".join(f"<h2>h{i}y{j}</h2><p>p{i}y{j}</p>" for j in range(i % 9))
+        links = f"<ul><li><a href=/>see {i} and {i}</a></li></ul>" if i in (40, 81, 122, 163) else ""
+        note = f"<blockquote>{f'<a href=/>n{i}</a>' if i % 50 == 3 else f'prose of page {i}, long enough'}</blockquote>"
+        rows.append((i, f"http://h{i % 4}.net/{i}", f"<div><p>{body}</p>{more}{note}{links}</div>"))
+        want[i] = " ".join([body, *(f"h{i}y{j} p{i}y{j}" for j in range(i % 9)),
+                            f"n{i}" if i % 50 == 3 else f"prose of page {i}, long enough"])
+    got = {r.page_id: r.text for r in m.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {i: (t, want[i]) for i, t in got.items() if t != want[i]} == {} and len(got) == len(rows)
+
+
+def test_html_slots_keep_their_trees():
+    from txmon.llm.html_extract import Page, Slot
+    slot = Slot.of(Page("<div class='a b'><p>one<p>two <a>link</a></div><ul><li>x</ul>").root)
+    again = Slot.load(slot.tree(), iter(slot.sizes()))
+    assert (again.tree(), again.sizes(), again.totals()) == (slot.tree(), slot.sizes(), slot.totals())
+    assert again.totals() == (11, 4)
+    again.align(slot)
+    assert again.tree() == slot.tree() and again.totals() == (22, 8)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
     docs = p.read(spark, "/root/testdata/sf0.001", "documents")

@@ -7,9 +7,11 @@ nodes.  Copies of one main text count once, and where the constant text is half
 pages are near copies and nothing is template.  Menus, adverts, forms and comments are told by their
 element and class names.
 
-On layouts that mark no article a bounded number of pages (``SAMPLES`` a layout) are also aligned by
-simple tree matching; runs of like siblings count as one node, so a list of 500 paragraphs aligns with
-one of 5.  Nodes of the aligned tree that hold links rather than prose are menus.
+On layouts that mark no article all pages are also aligned by simple tree matching; runs of like siblings
+count as one node, so a list of 500 paragraphs aligns with one of 5.  Pages with like trees add up their
+texts node by node, in plain sums; the different trees of a layout are aligned in groups of about
+``GROUP`` and the trees of the groups again, until one is left.  Nodes of the aligned tree that hold links
+rather than prose are menus.
 
 Counts are aggregated before they travel by host; only wrappers (small) do.  A host with a third of all
 pages costs no more to learn than any other, and its pages stay spread over the tasks.
@@ -25,13 +27,14 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txmon.llm.common import read, staged
 from txmon.llm.url_filter import split_url
 
-SAMPLES = 6
+#: Trees aligned by one task at a time.
+GROUP = 16
 DEPTH = 150
 #: A text is template on MOST hundredths of the pages that have its path, and on so many different pages
 #: at least: outside and inside a marked article.
@@ -252,16 +255,30 @@ class Slot:
 
     __slots__ = ("sig", "tag", "marks", "own", "linked", "below")
 
-    def __init__(self, s: Shape):
-        self.sig, self.tag, self.marks = s.sig, s.tag, s.marks
-        self.own = sum(map(len, s.texts()))
-        self.linked = self.own if s.tag == "a" else 0
-        self.below = [Slot(x) for x in s.below]
+    def __init__(self, tag: str, marks: list[str], own: int, linked: int, below: list[Slot]):
+        self.sig = f"{tag}.{'.'.join(marks)}" if marks else tag
+        self.tag, self.marks, self.own, self.linked, self.below = tag, marks, own, linked, below
 
-    def align(self, s: Shape) -> None:
-        size = sum(map(len, s.texts()))
-        self.own += size
-        self.linked += size if s.tag == "a" else 0
+    @classmethod
+    def of(cls, s: Shape) -> Slot:
+        own = sum(map(len, s.texts()))
+        return cls(s.tag, s.marks, own, own if s.tag == "a" else 0, [cls.of(x) for x in s.below])
+
+    @classmethod
+    def load(cls, tree: list, sizes: Iterator[tuple[int, int]]) -> Slot:
+        """From [tag, marks, children] and the sizes of its nodes from the top, depth first."""
+        own, linked = next(sizes)
+        return cls(tree[0], tree[1], own, linked, [cls.load(x, sizes) for x in tree[2]])
+
+    def tree(self) -> list:
+        return [self.tag, self.marks, [x.tree() for x in self.below]]
+
+    def sizes(self) -> list[tuple[int, int]]:
+        return [(self.own, self.linked), *(p for x in self.below for p in x.sizes())]
+
+    def align(self, s: Slot) -> None:
+        self.own += s.own
+        self.linked += s.linked
         pairs = dict((j, i) for i, j in match(self.below, s.below)[1])
         merged, at = [], 0
         for j, x in enumerate(s.below):
@@ -270,7 +287,7 @@ class Slot:
                 self.below[pairs[j]].align(x)
                 at = pairs[j] + 1
             else:
-                merged.append(Slot(x))
+                merged.append(x)
         self.below = merged + self.below[at:]
 
     def totals(self) -> tuple[int, int]:
@@ -308,17 +325,25 @@ def holders(root) -> set[int]:
     return set()
 
 
+def aligned(slots: list[Slot]) -> Slot:
+    root = slots[0]
+    for x in slots[1:]:
+        root.align(x)
+    return root
+
+
 def induce(pages: list[str]) -> list:
     """The wrapper of pages of one layout, as nested [signature, kind, children]."""
-    shapes = [Shape([parse(p)]) for p in pages]
-    if not shapes:
-        return ["#root", "content", []]
-    root = Slot(shapes[0])
-    for s in shapes[1:]:
-        root.align(s)
-    hold = holders(root)
+    slots = [Slot.of(Shape([parse(p)])) for p in pages]
+    return labelled(aligned(slots))[0] if slots else ["#root", "content", []]
+
+
+def labelled(root: Slot) -> tuple[list, int]:
+    """The wrapper of an aligned tree, and how many nodes are menus because of their links."""
+    hold, menus = holders(root), 0
 
     def label(s: Slot, inside: bool) -> list:
+        nonlocal menus
         inner = inside or is_article(s.tag, s.marks)
         own, linked = s.totals()
         kind = "content"
@@ -326,9 +351,10 @@ def induce(pages: list[str]) -> list:
             kind = "chrome"
         elif not hold and s.tag not in ("#root", "html", "body") and s.tag not in INLINE and own and linked > 0.5 * own:
             kind = "chrome"
+            menus += 1
         return [s.sig, kind, [] if kind == "chrome" else [label(x, inner) for x in s.below]]
 
-    return label(root, False)
+    return label(root, False), menus
 
 
 def _hash(*parts) -> int:
@@ -464,15 +490,16 @@ def wrappers(pages: DataFrame) -> DataFrame:
             for host, h, html in zip(batch["host"], batch["h"], batch["html"], strict=True):
                 page = Page(html)
                 unit, items = page.features()
-                out.append((host, h, page.layout, page.marked, unit,
-                            [{"path": p, "key": k, "size": n} for p, k, n in items]))
-            yield pd.DataFrame(out, columns=["host", "h", "layout", "marked", "unit", "items"])
+                slot = None if page.marked else Slot.of(page.root)
+                out.append((host, page.layout, page.marked, unit, [{"path": p, "key": k, "size": n} for p, k, n in items],
+                            {"h": h, "tree": slot and json.dumps(slot.tree()), "sizes": slot and _sizes(slot)}))
+            yield pd.DataFrame(out, columns=["host", "layout", "marked", "unit", "items", "slot"])
 
     hashed = pages.where("html <> ''").select("host", F.xxhash64("html").alias("h"), "html")
     units = staged(hashed.mapInPandas(
-        features, "host string, h bigint, layout bigint, marked boolean, unit bigint, "
-        "items array<struct<path:bigint,key:bigint,size:bigint>>").groupBy("host", "layout", "marked", "unit").agg(
-        F.min("h").alias("h"), F.first("items").alias("items")), "units")
+        features, "host string, layout bigint, marked boolean, unit bigint, "
+        f"items array<struct<path:bigint,key:bigint,size:bigint>>, slot struct<h:bigint,tree:string,sizes:{SIZES}>").groupBy(
+        "host", "layout", "marked", "unit").agg(F.first("items").alias("items"), F.min("slot").alias("slot")), "units")
 
     # counts over all different main texts of a layout, and over those of the host (layout 0)
     level = ["host", "layout", "marked"]
@@ -489,20 +516,53 @@ def wrappers(pages: DataFrame) -> DataFrame:
         whole, level).where("2 * chars < all")
     template = keys.groupBy("host").agg(F.to_json(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("template"))
 
-    # a few pages of each layout without articles, aligned; the rank is limited before the shuffle too
-    nth = F.row_number().over(Window.partitionBy("host", "layout").orderBy("unit"))
-    chosen = staged(units.where("NOT marked").select("host", "layout", "h", "unit").withColumn("nth", nth).where(
-        F.col("nth") <= SAMPLES).select("host", "layout", "h"), "chosen")
+    trees = menus(units.where("NOT marked").select("host", "layout", "slot.tree", "slot.sizes")).groupBy("host").agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("layout", "wrapper")))).alias("trees"))
+    return trees.join(template, "host", "full_outer")
 
-    def learn(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("h")
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "layout": [str(group["layout"].iloc[0])],
-                             "tree": [json.dumps(induce(list(group["html"])))]})
 
-    trees = hashed.join(chosen, ["host", "h"]).dropDuplicates(["host", "h"]).groupBy("host", "layout").applyInPandas(
-        learn, "host string, layout string, tree string").groupBy("host").agg(
-        F.to_json(F.map_from_entries(F.collect_list(F.struct("layout", "tree")))).alias("trees"))
-    return trees.join(template, "host", "full_outer")
+SIZES = "array<struct<own:bigint,linked:bigint>>"
+
+
+def _sizes(slot: Slot) -> list[dict]:
+    return [{"own": own, "linked": linked} for own, linked in slot.sizes()]
+
+
+def menus(pages: DataFrame) -> DataFrame:
+    """host, layout (text), wrapper: the aligned tree of all ``pages`` (host, layout, tree, sizes) of a layout,
+    where it finds menus; the others tell nothing that element and class names don't."""
+    level = ["host", "layout"]
+    kinds = pages.withColumn("k", F.xxhash64("tree"))
+    sums = kinds.select(*level, "k", F.posexplode("sizes").alias("at", "size")).groupBy(*level, "k", "at").agg(
+        F.sum("size.own").alias("own"), F.sum("size.linked").alias("linked")).groupBy(*level, "k").agg(
+        F.sort_array(F.collect_list(F.struct("at", "own", "linked"))).alias("sizes"))
+    slots = kinds.groupBy(*level, "k").agg(F.first("tree").alias("tree")).join(sums, [*level, "k"]).select(
+        *level, "k", "tree", F.transform("sizes", lambda x: F.struct(x["own"].alias("own"), x["linked"].alias("linked"))).alias("sizes"))
+
+    def loaded(group: pd.DataFrame) -> Slot:
+        group = group.sort_values("k")
+        return aligned([Slot.load(json.loads(t), iter([(x["own"], x["linked"]) for x in sizes]))
+                        for t, sizes in zip(group["tree"], group["sizes"], strict=True)])
+
+    def together(group: pd.DataFrame) -> pd.DataFrame:
+        slot = loaded(group)
+        return pd.DataFrame([(group["host"].iloc[0], group["layout"].iloc[0], group["k"].min(),
+                              json.dumps(slot.tree()), _sizes(slot))], columns=[*level, "k", "tree", "sizes"])
+
+    def last(group: pd.DataFrame) -> pd.DataFrame:
+        wrapper, found = labelled(loaded(group))
+        return pd.DataFrame([(group["host"].iloc[0], str(group["layout"].iloc[0]), json.dumps(wrapper))][:found],
+                            columns=["host", "layout", "wrapper"])
+
+    turn = 0
+    while True:  # a round leaves a GROUPth of the trees
+        slots = staged(slots, "slots")
+        counts = slots.groupBy(*level).agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+        if (counts.agg(F.max("groups")).first()[0] or 0) <= 1:
+            return slots.groupBy(*level).applyInPandas(last, "host string, layout string, wrapper string")
+        turn += 1
+        dealt = slots.join(counts, level).withColumn("_g", F.pmod(F.xxhash64("k", F.lit(turn)), F.col("groups")))
+        slots = dealt.groupBy(*level, "_g").applyInPandas(together, slots.schema)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
